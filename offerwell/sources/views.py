@@ -139,6 +139,21 @@ class Tables:
     def cards(self) -> DataFrame:
         return self._listing_view(LISTING, CARD)
 
+    @property
+    def unified(self) -> DataFrame:
+        """Listings after the price cases and the currency conversion."""
+        from offerwell.functions.text import clean_title, row_id
+        from offerwell.operators.normalise import unify
+
+        rows = self.listings.withColumns(
+            {
+                "id": row_id(F.col("source"), F.col("link")),
+                "title_clean": clean_title(F.col("title")),
+                "pct": F.lit(None).cast("double"),
+            }
+        ).withColumnsRenamed({"price_initial": "p0", "price_offre": "p1"})
+        return unify(rows, "p0", "p1", "pct")
+
     @property
     def products(self) -> DataFrame:
         return self.stored("part").selectExpr(*_items(PRODUCT))
@@ -174,7 +189,9 @@ PRODUCT = {
 }
 # One offer per order line: the buyer proposes a unit price for one product.
 OFFER = {
-    "offer_id": "l_orderkey*10+l_linenumber",
+    "offer_id": "md5(concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', "
+    "cast(l_partkey as string), '-', cast(l_suppkey as string), '-', "
+    f"cast({_CENTS} as string), '-', cast(cast(l_shipdate as date) as string)))",
     "order_id": "l_orderkey",
     "product_id": "l_partkey",
     "seller_id": "l_suppkey",
@@ -185,9 +202,8 @@ OFFER = {
     "status": "CASE o_orderstatus WHEN 'O' THEN 'EN_ATTENTE' WHEN 'F' THEN 'VALIDEE' ELSE 'REJETEE' END",
     "created": "cast(o_orderdate as date)",
     "shipped": "cast(l_shipdate as date)",
-    "cents": _CENTS,
 }
-OFFER_ORDER = ["created", "offer_id", "shipped", "cents"]
+OFFER_ORDER = ["created", "offer_id"]
 MESSAGE = {
     "negotiation": "conv_id",
     "turn": "turn",
@@ -228,8 +244,24 @@ def ansi_views() -> dict[str, str]:
     def select(cols: dict[str, str], source: str) -> str:
         return f"SELECT {', '.join(_items(cols, ANSI))} FROM {source}"
 
+    off = "floor((price_initial-price_offre)/price_initial*100*100+0.5)/100"
+    listings = select(LISTING, _STAR)
+    cased = (
+        "SELECT * EXCLUDE (price_initial, price_offre), coalesce(price_initial, price_offre) AS price_initial, "
+        "CASE WHEN price_initial <> price_offre THEN price_offre END AS price_offre, "
+        f"CASE WHEN price_initial <> price_offre AND price_initial > 0 AND price_offre <> 0 AND {off} > 0 THEN {off} "
+        f"END AS discount_pct FROM ({listings})"
+    )
+    mad = "CASE WHEN currency = 'EUR' THEN floor({0}*10.85*100+0.5)/100 ELSE {0} END AS {0}_mad"
+    unified = (
+        f"SELECT *, {mad.format('price_initial')}, {mad.format('price_offre')}, "
+        "CASE WHEN currency = 'EUR' THEN 10.85 END AS eur_to_mad_rate, title AS title_clean, "
+        "concat(upper(substr(source, 1, 3)), '_', substr(md5(concat(lower(source), '|', link)), 1, 12)) AS id "
+        f"FROM ({cased})"
+    )
     return {
-        "listings": select(LISTING, _STAR),
+        "unified": unified,
+        "listings": listings,
         "raw_listings": select({**LISTING, **RAW}, _STAR),
         "cards": select({**LISTING, **CARD}, _STAR),
         "products": select(PRODUCT, "part"),
