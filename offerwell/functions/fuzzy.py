@@ -8,9 +8,9 @@ form. Nothing is exploded, joined or shuffled: the rate costs the same few arith
 
 from __future__ import annotations
 
-from math import ceil, floor
+from math import floor
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerwell import constants as K
@@ -38,56 +38,57 @@ def activations(gap: Column, progress: Column, trend: Column) -> dict[str, Colum
     return {term: F.greatest(*fired[term]) if len(fired[term]) > 1 else fired[term][0] for term in K.FUZZY_OUTPUTS}
 
 
-def _ramp(level: Column, start: float, step: int, first: int, last: int, width: float) -> tuple[Column, Column]:
-    """Sums of min(level, j/width) and of position * min(level, j/width) for j = first..last, position start+step*j."""
-    n = F.least(F.floor(level * width), F.lit(last))
-    n = F.greatest(n, F.lit(first - 1)).cast("double")
-    below = float(first - 1)
-    s1 = (n * (n + 1.0) - below * (below + 1.0)) / 2.0
-    s2 = (n * (n + 1.0) * (2.0 * n + 1.0) - below * (below + 1.0) * (2.0 * below + 1.0)) / 6.0
-    rest1 = float(last) - n
-    rest2 = (last * (last + 1.0) - n * (n + 1.0)) / 2.0
-    area = s1 / width + level * rest1
-    moment = s2 / width + level * rest2
-    return area, area * start + moment * float(step)
-
-
-def _clipped_term(level: Column, corners: tuple[int, int, int, int]) -> tuple[Column, Column]:
-    a, b, c, d = corners
-    areas, moments = [], []
-    if b > a:
-        s, m = _ramp(level, a, 1, 0, b - a - 1, float(b - a))
-        areas.append(s), moments.append(m)
-    areas.append(level * float(c - b + 1))
-    moments.append(level * ((c * (c + 1) - b * (b - 1)) / 2.0))
-    if d > c:
-        s, m = _ramp(level, d, -1, 0, d - c - 1, float(d - c))
-        areas.append(s), moments.append(m)
-    return sum(areas[1:], areas[0]), sum(moments[1:], moments[0])
-
-
-def _clipped_overlap(level: Column, left: tuple, right: tuple) -> tuple[Column, Column]:
-    """The falling side of ``left`` against the rising side of ``right``."""
-    start, end = right[0], left[3]
-    up, down = float(right[1] - right[0]), float(left[3] - left[2])
-    crossing = (start * down + end * up) / (up + down)
-    s1, m1 = _ramp(level, start, 1, 0, floor(crossing) - start, up)
-    s2, m2 = _ramp(level, end, -1, 0, end - ceil(crossing + 1e-9), down)
-    return s1 + s2, m1 + m2
-
-
-def concession_rate(act: dict[str, Column]) -> Column:
-    """Centre of gravity of the accumulated output set; the default rate when no rule fires."""
-    terms = list(K.FUZZY_OUTPUTS)
-    area, moment = None, None
-    for term in terms:
-        s, m = _clipped_term(act[term], K.FUZZY_OUTPUTS[term])
-        area, moment = (s, m) if area is None else (area + s, moment + m)
-    for one, two in zip(terms, terms[1:]):
-        s, m = _clipped_overlap(F.least(act[one], act[two]), K.FUZZY_OUTPUTS[one], K.FUZZY_OUTPUTS[two])
-        area, moment = area - s, moment - m
-    silent = F.greatest(*act.values()) <= 0.0
-    return F.when(silent, F.lit(K.DEFAULT_RATE)).otherwise(F.try_divide(moment, area) / 1000.0)
+def _ramps() -> list[tuple[str, str | None, float, int, int, float, float]]:
+    """(term, neighbour or None, start, step, last, width, sign) of every sloped piece of the accumulated set.
+
+    A piece covers the grid points ``start + step * j`` for j = 0..last, where the unclipped height is ``j / width``.
+    A piece with a neighbour is the part counted twice where two terms overlap; it is taken off again.
+    """
+    out = []
+    terms = list(K.FUZZY_OUTPUTS.items())
+    for term, (a, b, c, d) in terms:
+        if b > a:
+            out.append((term, None, a, 1, b - a - 1, float(b - a), 1.0))
+        if d > c:
+            out.append((term, None, d, -1, d - c - 1, float(d - c), 1.0))
+    for (one, (_, _, c1, end)), (two, (start, b2, _, _)) in zip(terms, terms[1:]):
+        up, down = float(b2 - start), float(end - c1)
+        crossing = (start * down + end * up) / (up + down)
+        rising = floor(crossing)
+        out.append((one, two, start, 1, rising - start, up, -1.0))
+        out.append((one, two, end, -1, end - rising - 1, down, -1.0))
+    return out
+
+
+def with_concession_rate(df: DataFrame, gap: Column, progress: Column, trend: Column, out: str = "rate") -> DataFrame:
+    """Add the centre of gravity of the accumulated output set; the default rate when no rule fires."""
+    acts = {f"_act_{term}": c for term, c in activations(gap, progress, trend).items()}
+    df = df.withColumns(acts)
+    level, reach = {}, {}
+    for i, (term, other, _, _, last, width, _) in enumerate(_ramps()):
+        one = F.col(f"_act_{term}")
+        level[i] = F.least(one, F.col(f"_act_{other}")) if other else one
+        # Points of the slope that stay below the activation level.
+        reach[f"_reach_{i}"] = F.least(F.floor(level[i] * width), F.lit(last)).cast("double")
+    df = df.withColumns(reach)
+    area, moment = F.lit(0.0), F.lit(0.0)
+    for i, (_, _, start, step, last, width, sign) in enumerate(_ramps()):
+        n, top = F.col(f"_reach_{i}"), float(last)
+        height = n * (n + 1.0) / (2.0 * width) + level[i] * (top - n)
+        tilt = n * (n + 1.0) * (2.0 * n + 1.0) / (6.0 * width) + level[i] * (
+            (top * (top + 1.0) - n * (n + 1.0)) / 2.0
+        )
+        area = area + height * sign
+        moment = moment + (height * float(start) + tilt * float(step)) * sign
+    for term, (_, b, c, _) in K.FUZZY_OUTPUTS.items():
+        area = area + F.col(f"_act_{term}") * float(c - b + 1)
+        moment = moment + F.col(f"_act_{term}") * ((c * (c + 1) - b * (b - 1)) / 2.0)
+    df = df.withColumns({"_area": area, "_moment": moment})
+    silent = F.greatest(*[F.col(a) for a in acts]) <= 0.0
+    rate = F.when(silent, F.lit(K.DEFAULT_RATE)).otherwise(
+        F.try_divide(F.col("_moment"), F.col("_area")) / 1000.0
+    )
+    return df.withColumn(out, rate).drop("_area", "_moment", *acts, *reach)
 
 
 def fallback_rate(gap: Column, progress: Column) -> Column:
