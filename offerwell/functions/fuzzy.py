@@ -4,38 +4,45 @@ The output set is sampled on a grid of 501 points and its centre of gravity is t
 maximum of clipped trapezoids of which only neighbours overlap, so its sums over the grid are
 ``sum(clipped terms) - sum(clipped overlaps)``, and each piece is a ramp or a plateau whose grid sums have a closed
 form. Nothing is exploded, joined or shuffled: the rate costs the same few arithmetic operations on every row.
+
+The expressions are written as SQL text over column names: one parse instead of thousands of driver calls.
 """
 
 from __future__ import annotations
 
 from math import floor
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from offerwell import constants as K
 
 
-def membership(x: Column, corners: tuple[float, float, float, float]) -> Column:
+def num(v: float) -> str:
+    """Double literal."""
+    return f"{float(v)!r}D"
+
+
+def membership(x: str, corners: tuple[float, float, float, float]) -> str:
     """Trapezoid membership of a non-missing value; equal corners make a shoulder or a triangle."""
-    a, b, c, d = (float(v) for v in corners)
-    out = F.when((x < a) | (x > d), 0.0)
+    a, b, c, d = corners
+    out = f"CASE WHEN {x} < {num(a)} OR {x} > {num(d)} THEN 0.0D "
     if b > a:
-        out = out.when(x < b, (x - a) / (b - a))
+        out += f"WHEN {x} < {num(b)} THEN ({x} - {num(a)}) / {num(b - a)} "
     if d > c:
-        out = out.when(x > c, (d - x) / (d - c))
-    return out.otherwise(1.0)
+        out += f"WHEN {x} > {num(c)} THEN ({num(d)} - {x}) / {num(d - c)} "
+    return out + "ELSE 1.0D END"
 
 
-def activations(gap: Column, progress: Column, trend: Column) -> dict[str, Column]:
-    """Activation of each output term: AND is the minimum, several rules of a term the maximum."""
-    value = {"gap": gap, "progress": progress, "trend": trend}
-    mu = {key: membership(value[key[0]], corners) for key, corners in K.FUZZY_INPUTS.items()}
-    fired: dict[str, list[Column]] = {}
+def activations() -> dict[str, str]:
+    """Activation of each output term from the columns ``gap``, ``progress`` and ``trend``.
+
+    AND is the minimum; several rules of one term combine by the maximum.
+    """
+    fired: dict[str, list[str]] = {}
     for conditions, term in K.FUZZY_RULES:
-        parts = [mu[c] for c in conditions]
-        fired.setdefault(term, []).append(F.least(*parts) if len(parts) > 1 else parts[0])
-    return {term: F.greatest(*fired[term]) if len(fired[term]) > 1 else fired[term][0] for term in K.FUZZY_OUTPUTS}
+        parts = [membership(variable, K.FUZZY_INPUTS[(variable, value)]) for variable, value in conditions]
+        fired.setdefault(term, []).append(f"least({', '.join(parts)})" if len(parts) > 1 else parts[0])
+    return {t: f"greatest({', '.join(fired[t])})" if len(fired[t]) > 1 else fired[t][0] for t in K.FUZZY_OUTPUTS}
 
 
 def _ramps() -> list[tuple[str, str | None, float, int, int, float, float]]:
@@ -60,38 +67,43 @@ def _ramps() -> list[tuple[str, str | None, float, int, int, float, float]]:
     return out
 
 
-def with_concession_rate(df: DataFrame, gap: Column, progress: Column, trend: Column, out: str = "rate") -> DataFrame:
-    """Add the centre of gravity of the accumulated output set; the default rate when no rule fires."""
-    acts = {f"_act_{term}": c for term, c in activations(gap, progress, trend).items()}
-    df = df.withColumns(acts)
-    level, reach = {}, {}
+def with_concession_rate(df: DataFrame, out: str = "rate") -> DataFrame:
+    """Add the centre of gravity of the accumulated output set; the default rate when no rule fires.
+
+    Reads the columns ``gap``, ``progress`` and ``trend``.
+    """
+    kept = df.columns
+    df = df.selectExpr("*", *[f"{sql} AS _act_{term}" for term, sql in activations().items()])
+    levels, reach = [], []
     for i, (term, other, _, _, last, width, _) in enumerate(_ramps()):
-        one = F.col(f"_act_{term}")
-        level[i] = F.least(one, F.col(f"_act_{other}")) if other else one
+        level = f"least(_act_{term}, _act_{other})" if other else f"_act_{term}"
+        levels.append(level)
         # Points of the slope that stay below the activation level.
-        reach[f"_reach_{i}"] = F.least(F.floor(level[i] * width), F.lit(last)).cast("double")
-    df = df.withColumns(reach)
-    area, moment = F.lit(0.0), F.lit(0.0)
+        reach.append(f"cast(least(floor({level} * {num(width)}), {last}) AS double) AS _reach_{i}")
+    df = df.selectExpr("*", *reach)
+    area, moment = [], []
     for i, (_, _, start, step, last, width, sign) in enumerate(_ramps()):
-        n, top = F.col(f"_reach_{i}"), float(last)
-        height = n * (n + 1.0) / (2.0 * width) + level[i] * (top - n)
-        tilt = n * (n + 1.0) * (2.0 * n + 1.0) / (6.0 * width) + level[i] * (
-            (top * (top + 1.0) - n * (n + 1.0)) / 2.0
+        n, level = f"_reach_{i}", levels[i]
+        height = f"({n} * ({n} + 1D) / {num(2 * width)} + {level} * ({num(last)} - {n}))"
+        tilt = (
+            f"({n} * ({n} + 1D) * (2D * {n} + 1D) / {num(6 * width)} + "
+            f"{level} * ({num(last * (last + 1))} - {n} * ({n} + 1D)) / 2D)"
         )
-        area = area + height * sign
-        moment = moment + (height * float(start) + tilt * float(step)) * sign
+        area.append(f"{height} * {num(sign)}")
+        moment.append(f"({height} * {num(start)} + {tilt} * {num(step)}) * {num(sign)}")
     for term, (_, b, c, _) in K.FUZZY_OUTPUTS.items():
-        area = area + F.col(f"_act_{term}") * float(c - b + 1)
-        moment = moment + F.col(f"_act_{term}") * ((c * (c + 1) - b * (b - 1)) / 2.0)
-    df = df.withColumns({"_area": area, "_moment": moment})
-    silent = F.greatest(*[F.col(a) for a in acts]) <= 0.0
-    rate = F.when(silent, F.lit(K.DEFAULT_RATE)).otherwise(
-        F.try_divide(F.col("_moment"), F.col("_area")) / 1000.0
-    )
-    return df.withColumn(out, rate).drop("_area", "_moment", *acts, *reach)
+        area.append(f"_act_{term} * {num(c - b + 1)}")
+        moment.append(f"_act_{term} * {num((c * (c + 1) - b * (b - 1)) / 2)}")
+    df = df.selectExpr("*", f"{' + '.join(area)} AS _area", f"{' + '.join(moment)} AS _moment")
+    silent = f"greatest({', '.join('_act_' + t for t in K.FUZZY_OUTPUTS)}) <= 0"
+    rate = f"CASE WHEN {silent} THEN {num(K.DEFAULT_RATE)} ELSE try_divide(_moment, _area) / 1000D END"
+    return df.selectExpr(*kept, f"{rate} AS {out}")
 
 
-def fallback_rate(gap: Column, progress: Column) -> Column:
+def fallback_rate(gap: str = "gap", progress: str = "progress") -> str:
     """Step table used when no fuzzy value exists; more generous near the end."""
-    rate = F.when(gap > 45, 0.02).when(gap > 30, 0.06).when(gap > 15, 0.18).when(gap > 5, 0.32).otherwise(0.45)
-    return F.when(progress > 0.7, F.least(F.lit(0.5), rate + 0.1)).otherwise(rate)
+    rate = (
+        f"CASE WHEN {gap} > 45 THEN 0.02D WHEN {gap} > 30 THEN 0.06D WHEN {gap} > 15 THEN 0.18D "
+        f"WHEN {gap} > 5 THEN 0.32D ELSE 0.45D END"
+    )
+    return f"CASE WHEN {progress} > 0.7D THEN least(0.5D, {rate} + 0.1D) ELSE {rate} END"

@@ -8,70 +8,64 @@ allowed and the bids so far. The number of rounds is small by contract, so the b
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerwell import constants as K
-from offerwell.functions.fuzzy import fallback_rate, with_concession_rate
-from offerwell.functions.numbers import clip, half_up
-from offerwell.operators.windows import cooperation_step
+from offerwell.functions.fuzzy import fallback_rate, num, with_concession_rate
 
+OUTCOME = ["new_price", "concession", "outcome", "trend_label", "final"]
+GAP = "try_divide(current - bid, current) * 100D"
 
-def gap_pct(current: Column, bid: Column) -> Column:
-    return F.try_divide(current - bid, current) * 100.0
 
+def cents(x: str) -> str:
+    return f"floor(({x}) * 100D + 0.5D) / 100D"
 
-def behaviour(gap: Column) -> Column:
-    return F.when(gap > 30, "AGGRESSIVE").when(gap >= 10, "SERIOUS").otherwise("CLOSE")
 
+def behaviour(gap: str = "gap") -> str:
+    return f"CASE WHEN {gap} > 30 THEN 'AGGRESSIVE' WHEN {gap} >= 10 THEN 'SERIOUS' ELSE 'CLOSE' END"
 
-def trend_label(trend: Column) -> Column:
-    return F.when(trend > 0.05, "IMPROVING").when(trend < -0.05, "DECLINING").otherwise("STABLE")
+
+def trend_label(trend: str = "trend") -> str:
+    return f"CASE WHEN {trend} > 0.05D THEN 'IMPROVING' WHEN {trend} < -0.05D THEN 'DECLINING' ELSE 'STABLE' END"
 
 
 def fuzzy_inputs(rounds: DataFrame) -> DataFrame:
     """Gap percent and progress; the trend is expected as a column."""
-    return rounds.withColumns(
-        {
-            "gap": gap_pct(F.col("current"), F.col("bid")),
-            "progress": F.col("round").cast("double") / F.col("rounds_max"),
-        }
-    )
+    return rounds.selectExpr("*", f"{GAP} AS gap", "round / cast(rounds_max AS double) AS progress")
 
 
 def labels(rounds: DataFrame) -> DataFrame:
-    return rounds.withColumns({"behaviour": behaviour(F.col("gap")), "trend_label": trend_label(F.col("trend"))})
-
-
-def guard_columns(current: Column, low: Column, bid: Column, round_: Column, rounds_max: Column) -> dict[str, Column]:
-    """Outcome, price, concession, trend label and final flag of the first guard that holds; all null if none does."""
-    eps = K.PRICE_EPSILON
-    # condition, outcome, price, concession, trend, final
-    rules = [
-        (low >= current, F.lit("INVALID_CONFIG"), current, F.lit(0.0), "STABLE", True),
-        (round_ > rounds_max, F.lit("TIMEOUT"), low, current - low, "STABLE", True),
-        (bid <= 0, F.lit("INVALID"), current, F.lit(0.0), "STABLE", False),
-        (bid < low - eps, F.lit("AGGRESSIVE"), low, current - low, "DECLINING", False),
-        (bid <= low + eps, F.lit("ACCEPTED_AT_FLOOR"), low, current - low, "IMPROVING", True),
-        (current - low <= eps, F.lit("FLOOR_REACHED"), low, F.lit(0.0), "STABLE", True),
-        (bid >= current, F.lit("ACCEPTED"), bid, F.lit(0.0), "IMPROVING", True),
-        (round_ >= rounds_max, behaviour(gap_pct(current, bid)), low, current - low, "FINAL", True),
-    ]
+    return rounds.selectExpr("*", f"{behaviour()} AS behaviour", f"{trend_label()} AS trend_label")
 
-    def pick(i: int) -> Column:
-        values = [r[i] if isinstance(r[i], Column) else F.lit(r[i]) for r in rules]
-        start = F.when(rules[0][0], values[0])
-        return reduce(lambda c, rv: c.when(rv[0][0], rv[1]), zip(rules[1:], values[1:]), start)
 
-    return {"outcome": pick(1), "new_price": pick(2), "concession": pick(3), "trend_label": pick(4), "final": pick(5)}
+# Ordered guards: condition, outcome, price, concession, trend, final.
+_EPS = num(K.PRICE_EPSILON)
+_GUARDS = [
+    ("floor_price >= current", "'INVALID_CONFIG'", "current", "0D", "'STABLE'", "true"),
+    ("round > rounds_max", "'TIMEOUT'", "floor_price", "current - floor_price", "'STABLE'", "true"),
+    ("bid <= 0", "'INVALID'", "current", "0D", "'STABLE'", "false"),
+    (f"bid < floor_price - {_EPS}", "'AGGRESSIVE'", "floor_price", "current - floor_price", "'DECLINING'", "false"),
+    (f"bid <= floor_price + {_EPS}", "'ACCEPTED_AT_FLOOR'", "floor_price", "current - floor_price", "'IMPROVING'", "true"),
+    (f"current - floor_price <= {_EPS}", "'FLOOR_REACHED'", "floor_price", "0D", "'STABLE'", "true"),
+    ("bid >= current", "'ACCEPTED'", "bid", "0D", "'IMPROVING'", "true"),
+    ("round >= rounds_max", behaviour(f"({GAP})"), "floor_price", "current - floor_price", "'FINAL'", "true"),
+]
+
+
+def guard_columns(otherwise: dict[str, str] | None = None) -> list[str]:
+    """Result columns of the first guard that holds; ``otherwise`` gives them when none does (default null)."""
+    out = []
+    for name, i in (("outcome", 1), ("new_price", 2), ("concession", 3), ("trend_label", 4), ("final", 5)):
+        cases = " ".join(f"WHEN {g[0]} THEN {g[i]}" for g in _GUARDS)
+        sql = f"CASE {cases} ELSE {otherwise[name] if otherwise else 'NULL'} END"
+        out.append(f"{cents(sql) if i in (2, 3) else sql} AS {name}")
+    return out
 
 
 def guards(rounds: DataFrame) -> DataFrame:
-    cols = guard_columns(*[F.col(c) for c in ("current", "floor_price", "bid", "round", "rounds_max")])
-    cols["new_price"], cols["concession"] = half_up(cols["new_price"]), half_up(cols["concession"])
-    return rounds.withColumns(cols)
+    return rounds.selectExpr("*", *guard_columns())
 
 
 def first_bids(bids: DataFrame, rounds_max: int = K.MAX_ROUNDS, markup: float = 1.2, floor_share: float = 0.6):
@@ -82,7 +76,7 @@ def first_bids(bids: DataFrame, rounds_max: int = K.MAX_ROUNDS, markup: float =
     rank = F.row_number().over(Window.partitionBy("negotiation").orderBy("ts", "event_id"))
     early = bids.withColumn("_round", rank).where(F.col("_round") <= rounds_max)
     wide = early.groupBy("negotiation").agg(
-        *[F.max(F.when(F.col("_round") == i, F.col("bid"))).alias(f"h{i}") for i in range(1, rounds_max + 1)]
+        *[F.expr(f"max(bid) FILTER (WHERE _round = {i}) AS h{i}") for i in range(1, rounds_max + 1)]
     )
     ask = bids.groupBy("negotiation").agg((F.max("bid") * markup).alias("current"))
     return wide.join(ask, "negotiation").withColumn("floor_price", F.col("current") * floor_share)
@@ -91,58 +85,56 @@ def first_bids(bids: DataFrame, rounds_max: int = K.MAX_ROUNDS, markup: float =
 def round_rows(opening: DataFrame, rounds_max: int = K.MAX_ROUNDS) -> DataFrame:
     """Long form of ``first_bids``: one row per round, bids after the round are null."""
     names = [f"h{i}" for i in range(1, rounds_max + 1)]
-    rows = opening.select("*", F.posexplode(F.array(*names)).alias("_pos", "bid")).where(F.col("bid").isNotNull())
-    rows = rows.withColumns({"round": F.col("_pos") + 1, "rounds_max": F.lit(rounds_max)}).drop("_pos")
-    return rows.withColumns({n: F.when(F.col("round") >= i, F.col(n)) for i, n in enumerate(names, 1)})
+    rows = opening.selectExpr("*", f"posexplode(array({', '.join(names)})) AS (_pos, bid)").where("bid IS NOT NULL")
+    others = [c for c in opening.columns if c not in names]
+    return rows.selectExpr(
+        *others,
+        "bid",
+        "_pos + 1 AS round",
+        f"{rounds_max} AS rounds_max",
+        *[f"CASE WHEN _pos + 1 >= {i} THEN {n} END AS {n}" for i, n in enumerate(names, 1)],
+    )
 
 
-def _history(prefix_bids: Sequence[Column], current: Column, bid: Column, round_: Column) -> dict[str, Column]:
+def _history(bids: Sequence[str]) -> list[str]:
     """Trend, cooperation score and stagnation bonus of the bids so far (null after the round)."""
-    steps = F.lit(0)
-    previous = F.lit(None).cast("double")
-    differing = [F.lit(0)]
-    for i, h in enumerate(prefix_bids, 1):
-        if i > 1:
-            steps = steps + cooperation_step(h, prefix_bids[i - 2], current)
-            previous = F.when(round_ == i, prefix_bids[i - 2]).otherwise(previous)
-        differing.append(F.when(F.abs(h - bid) >= 0.01, F.lit(i)).otherwise(F.lit(0)))
-    run = round_ - (F.greatest(*differing) if len(differing) > 1 else differing[0])
-    step = F.try_divide(bid - previous, current)
-    return {
-        "_trend": F.coalesce(clip(step, -1.0, 1.0), F.lit(0.0)),
-        "_coop": clip(steps / 100.0, -0.15, 0.15),
-        "_stall": F.when(run >= 3, F.least(F.lit(0.20), (run - 2) * 0.05)).otherwise(0.0),
-    }
+    steps = [
+        f"CASE WHEN {b} - {a} > current * 0.001D THEN 5 WHEN abs({b} - {a}) <= current * 0.001D THEN -2 "
+        f"WHEN {b} - {a} IS NOT NULL THEN -4 ELSE 0 END"
+        for a, b in zip(bids, bids[1:])
+    ]
+    points = " + ".join(f"({s})" for s in steps) or "0"
+    before = " ".join(f"WHEN round = {i + 1} THEN {bids[i - 1]}" for i in range(1, len(bids)))
+    previous = f"CASE {before} END" if before else "cast(NULL AS double)"
+    differing = ", ".join(f"if(abs({b} - bid) >= 0.01D, {i}, 0)" for i, b in enumerate(bids, 1))
+    run = f"(round - greatest(0, {differing}))"
+    return [
+        f"greatest(-1D, least(1D, coalesce(try_divide(bid - ({previous}), current), 0D))) AS trend",
+        f"greatest(-0.15D, least(0.15D, ({points}) / 100D)) AS _coop",
+        f"CASE WHEN {run} >= 3 THEN least(0.20D, ({run} - 2) * 0.05D) ELSE 0D END AS _stall",
+    ]
 
 
-def counter_offer(rows: DataFrame, bids: Sequence[str], current: str = "current", bid: str = "bid",
-                  round_: Column | None = None, rounds_max: Column | None = None, suffix: str = "") -> DataFrame:
-    """Add ``new_price``, ``concession``, ``outcome``, ``trend_label`` and ``final`` (with ``suffix``) of one round."""
-    cur, b, low = F.col(current), F.col(bid), F.col("floor_price")
-    r = F.col("round") if round_ is None else round_
-    n = F.col("rounds_max") if rounds_max is None else rounds_max
-    rows = rows.withColumns(_history([F.col(h) for h in bids], cur, b, r))
-    rows = rows.withColumns({"_gap": gap_pct(cur, b), "_progress": r.cast("double") / n})
-    rows = rows.withColumns(
-        {f"_g_{k}": c for k, c in guard_columns(cur, low, b, r, n).items()}
-    )
-    rows = with_concession_rate(rows, F.col("_gap"), F.col("_progress"), F.col("_trend"), "_fuzzy")
-    fuzzy = F.coalesce(F.col("_fuzzy"), fallback_rate(F.col("_gap"), F.col("_progress")))
-    rows = rows.withColumn("_rate", clip(fuzzy + F.col("_coop") + F.col("_stall"), 0.01, 0.5))
-    rows = rows.withColumn("_candidate", cur - F.col("_rate") * (cur - low))
-    met = F.when(F.col("_candidate") <= b, (cur + b) / 2.0).otherwise(F.col("_candidate"))
-    rows = rows.withColumn("_price", F.least(cur, F.greatest(low, b, met)))
-    guarded = F.col("_g_outcome").isNotNull()
-    out = {
-        "new_price": half_up(F.when(guarded, F.col("_g_new_price")).otherwise(F.col("_price"))),
-        "concession": half_up(F.when(guarded, F.col("_g_concession")).otherwise(cur - F.col("_price"))),
-        "outcome": F.coalesce(F.col("_g_outcome"), behaviour(F.col("_gap"))),
-        "trend_label": F.coalesce(F.col("_g_trend_label"), trend_label(F.col("_trend"))),
-        "final": F.coalesce(F.col("_g_final"), F.col("_price") >= cur),
+def counter_offer(rows: DataFrame, bids: Sequence[str]) -> DataFrame:
+    """Add the outcome columns of one round.
+
+    Reads ``current``, ``floor_price``, ``bid``, ``round``, ``rounds_max`` and the bids so far.
+    """
+    kept = rows.columns
+    rows = rows.selectExpr("*", *_history(bids), f"{GAP} AS gap", "round / cast(rounds_max AS double) AS progress")
+    rows = with_concession_rate(rows, "_fuzzy")
+    rate = f"greatest(0.01D, least(0.5D, coalesce(_fuzzy, {fallback_rate()}) + _coop + _stall))"
+    rows = rows.selectExpr("*", f"current - {rate} * (current - floor_price) AS _candidate")
+    met = "CASE WHEN _candidate <= bid THEN (current + bid) / 2D ELSE _candidate END"
+    rows = rows.selectExpr("*", f"least(current, greatest(floor_price, bid, {met})) AS _price")
+    normal = {
+        "outcome": behaviour(),
+        "new_price": "_price",
+        "concession": "current - _price",
+        "trend_label": trend_label(),
+        "final": "_price >= current",
     }
-    temp = ["_trend", "_coop", "_stall", "_gap", "_progress", "_fuzzy", "_rate", "_candidate", "_price"]
-    temp += [f"_g_{k}" for k in out]
-    return rows.withColumns({k + suffix: v for k, v in out.items()}).drop(*temp)
+    return rows.selectExpr(*kept, *guard_columns(normal))
 
 
 def counter_price(rounds: DataFrame, rounds_max: int = K.MAX_ROUNDS) -> DataFrame:
@@ -152,12 +144,11 @@ def counter_price(rounds: DataFrame, rounds_max: int = K.MAX_ROUNDS) -> DataFram
 
 def negotiation_params(negotiations: DataFrame) -> DataFrame:
     """Floor price, next round and round cap sent with a bid."""
-    return negotiations.withColumns(
-        {
-            "floor_price": F.coalesce(F.nullif(F.col("initial_price"), F.lit(0.0)), F.col("final_price")) * 0.6,
-            "next_round": F.coalesce(F.col("rounds"), F.lit(0)) + 1,
-            "rounds_max": F.lit(K.MAX_ROUNDS),
-        }
+    return negotiations.selectExpr(
+        "*",
+        "coalesce(nullif(initial_price, 0D), final_price) * 0.6D AS floor_price",
+        "coalesce(rounds, 0) + 1 AS next_round",
+        f"{K.MAX_ROUNDS} AS rounds_max",
     )
 
 
@@ -166,30 +157,24 @@ def replay(opening: DataFrame, rounds_max: int = K.MAX_ROUNDS) -> DataFrame:
 
     One row per played round: price, outcome, final flag.
     """
-    rows = opening.withColumns({"price_0": F.col("current"), "final_0": F.lit(False)})
+    bids = [f"h{i}" for i in range(1, rounds_max + 1)]
+    state = ["negotiation", "floor_price", *bids]
+    rows = opening.selectExpr(*state, "current", "false AS ended")
     played = []
-    for k in range(1, rounds_max + 1):
-        names = [f"h{i}" for i in range(1, k + 1)]
-        rows = counter_offer(rows, names, f"price_{k - 1}", f"h{k}", F.lit(k), F.lit(rounds_max), f"_{k}")
-        active = ~F.col(f"final_{k - 1}") & F.col(f"h{k}").isNotNull()
-        rows = rows.withColumns(
-            {
-                f"active_{k}": active,
-                f"price_{k}": F.when(active, F.col(f"new_price_{k}")).otherwise(F.col(f"price_{k - 1}")),
-                f"final_{k}": F.when(active, F.col(f"final_{k}")).otherwise(F.col(f"final_{k - 1}")),
-            }
+    for k, bid in enumerate(bids, 1):
+        rows = rows.selectExpr("*", f"{bid} AS bid", f"{k} AS round", f"{rounds_max} AS rounds_max")
+        rows = counter_offer(rows, bids[:k])
+        active = f"(NOT ended AND {bid} IS NOT NULL)"
+        step = (
+            f"CASE WHEN {active} THEN named_struct('round', {k}, 'bid', bid, 'price', new_price, 'outcome', outcome, "
+            f"'final', final) END AS _round_{k}"
         )
-        played.append(
-            F.when(
-                F.col(f"active_{k}"),
-                F.struct(
-                    F.lit(k).alias("round"),
-                    F.col(f"h{k}").alias("bid"),
-                    F.col(f"price_{k}").alias("price"),
-                    F.col(f"outcome_{k}").alias("outcome"),
-                    F.col(f"final_{k}").alias("final"),
-                ),
-            )
+        rows = rows.selectExpr(
+            *state,
+            *played,
+            step,
+            f"CASE WHEN {active} THEN new_price ELSE current END AS current",
+            f"ended OR ({active} AND final) AS ended",
         )
-    rounds = F.filter(F.array(*played), lambda x: x.isNotNull())
-    return rows.select("negotiation", F.inline(rounds))
+        played.append(f"_round_{k}")
+    return rows.selectExpr("negotiation", f"inline(array_compact(array({', '.join(played)})))")

@@ -119,7 +119,7 @@ def _(t):
 def _(t):
     return inputs(t).select(
         "event_id",
-        *[half_up(membership(F.col(v), c), 4).alias(f"{v}_{n}") for (v, n), c in K.FUZZY_INPUTS.items()],
+        *[half_up(F.expr(membership(v, c)), 4).alias(f"{v}_{n}") for (v, n), c in K.FUZZY_INPUTS.items()],
     )
 
 
@@ -128,13 +128,12 @@ def _(t):
     "SELECT event_id, " + ", ".join(f'{r4(c)} AS "{t}"' for t, c in act_sql().items()) + f" FROM ({INPUTS})",
 )
 def _(t):
-    acts = activations(F.col("gap"), F.col("progress"), F.col("trend"))
-    return inputs(t).select("event_id", *[half_up(c, 4).alias(n) for n, c in acts.items()])
+    return inputs(t).select("event_id", *[half_up(F.expr(c), 4).alias(n) for n, c in activations().items()])
 
 
 @query("defuzzify", f"SELECT event_id, {r4(RATE)} AS rate FROM (SELECT *, {_ACTS} FROM ({INPUTS})) x")
 def _(t):
-    return four(with_concession_rate(inputs(t), F.col("gap"), F.col("progress"), F.col("trend")), "rate")
+    return four(with_concession_rate(inputs(t)), "rate")
 
 
 @query(
@@ -144,7 +143,7 @@ def _(t):
     AS r FROM ({INPUTS}))""",
 )
 def _(t):
-    return four(inputs(t).withColumn("rate", fallback_rate(F.col("gap"), F.col("progress"))), "rate")
+    return four(inputs(t).selectExpr("event_id", f"{fallback_rate()} AS rate"), "rate")
 
 
 @query(
