@@ -170,18 +170,15 @@ def pick_rating(nodes: Column, aria: Column) -> Column:
 
 def pick_seller(nodes: Column, title: Column, default: str) -> Column:
     """Text after "vendu par", or the tail of "vendu et expédié par", else the leading brand of the title."""
-    joined = "vendu et expédié par"
-    lower = F.transform(nodes, lambda t: F.lower(t))
-    hit = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size(nodes) - 1, F.lit(0))),
-        lambda i: (
-            (F.trim(F.get(lower, i)) == "vendu par") & (i + 1 < F.size(nodes))
-        ) | F.get(lower, i).contains(joined),
-    )
-    first = F.get(hit, F.lit(0))
-    node = F.get(nodes, first)
-    seller = F.when(
-        F.lower(node).contains(joined), F.trim(F.element_at(F.split(node, "par"), -1))
-    ).otherwise(F.get(nodes, first + 1))
+    phrase = "vendu et expédié par"
+
+    def named(t: Column, i: Column) -> Column:
+        low = F.lower(t)
+        after = F.when(i + 1 < F.size(nodes), F.get(nodes, i + 1))
+        return F.when(low.contains(phrase), F.trim(F.regexp_extract(t, "^.*par(.*)$", 1))).when(
+            F.trim(low) == "vendu par", after
+        )
+
+    seller = F.get(F.filter(F.transform(nodes, named), lambda s: s.isNotNull()), F.lit(0))
     brand = F.regexp_extract(title, r"^([A-Z][A-Z0-9\-]{2,})", 1)
     return F.coalesce(F.nullif(seller, F.lit("")), F.nullif(brand, F.lit("")), F.lit(default))

@@ -116,7 +116,7 @@ def exact_quantiles(
     span = counts.groupBy(*by).agg(
         F.sum("_n").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")
     )
-    rows = null_safe_join(counts, span, list(by), "inner") if by else _attach_one(counts, span)
+    rows = null_safe_join(counts, span, list(by), "inner") if by else attach_one(counts, span)
     width = F.col("high") - F.col("low")
     band = F.when(width > 0, F.floor((F.col("_x") - F.col("low")) / width * float(bands))).otherwise(F.lit(0))
     rows = running_sums(rows, list(by), ["_x"], band, {"_upto": F.col("_n")})
@@ -132,9 +132,8 @@ def exact_quantiles(
     return rows.groupBy(*by).agg(F.max("n").alias("n"), F.max("low").alias("low"), F.max("high").alias("high"), *picks)
 
 
-def _attach_one(df: DataFrame, one: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame as scalar subqueries."""
-    return df.withColumns({c: one.select(c).scalar() for c in one.columns})
-
-
-attach_one = _attach_one
+def attach_one(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame; they are computed once, as a single scalar subquery."""
+    row = one.select(F.struct(*one.columns).alias("r")).scalar()
+    rows = df.withColumn("_one", row)
+    return rows.select(*df.columns, *[F.col(f"_one.{c}").alias(c) for c in one.columns])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from offerwell.plans import registry
-from offerwell.plans import listings, marketplace, negotiation, parsing, warehouse  # noqa: F401
+from offerwell.plans import features, listings, marketplace, negotiation, parsing, warehouse  # noqa: F401
 
 
 def callables():
