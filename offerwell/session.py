@@ -23,6 +23,7 @@ def spark_session(app: str = "offerwell", master: str | None = None, shuffle_par
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         b = b.master(master).config("spark.driver.memory", os.environ.get("OFFERWELL_DRIVER_MEMORY", "8g"))
