@@ -6,6 +6,8 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -21,6 +23,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -91,24 +94,35 @@ def one_hot(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def reduce_dims(df: DataFrame, key: str, features: str, k: int):
     """Truncated singular value decomposition without centring.
 
-    Returns (rows with the projected ``svd`` vector, singular values). The Gram matrix is aggregated over partitions;
-    the driver holds only features x features numbers.
+    Returns (rows with the projected ``svd`` array, singular values). Every task sums its part of the Gram matrix, so
+    the driver sees features x features numbers however many rows there are.
     """
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    rows = df.select(vector_to_array(features).alias("v")).rdd.map(lambda r: Vectors.dense(r["v"]))
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    axes = svd.V.toArray().T.tolist()  # k x features
-    vec = vector_to_array(F.col(features))
-    parts = [
-        F.aggregate(
-            F.zip_with(vec, F.array(*[F.lit(float(x)) for x in axis]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x
-        )
-        for axis in axes
-    ]
-    return df.select(key, F.array(*parts).alias("svd")), [float(s) for s in svd.s.toArray()]
+
+    def partial_gram(batches):
+        gram = None
+        for pdf in batches:
+            x = np.array(pdf["v"].tolist(), dtype="float64")
+            gram = x.T @ x if gram is None else gram + x.T @ x
+        if gram is not None:
+            yield pd.DataFrame({"i": np.arange(len(gram), dtype="int32"), "row": gram.tolist()})
+
+    rows = df.select(key, vector_to_array(features).alias("v"))
+    grams = rows.select("v").mapInPandas(partial_gram, "i int, row array<double>")
+    cells = grams.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect()
+    size = max(c["i"] for c in cells) + 1
+    gram = np.zeros((size, size))
+    for c in cells:
+        gram[c["i"], c["j"]] = c["x"]
+    values, axes = np.linalg.eigh(gram)
+    best = np.argsort(values)[::-1][:k]
+    axes = axes[:, best]
+
+    @F.pandas_udf("array<double>")
+    def project(v: pd.Series) -> pd.Series:
+        return pd.Series((np.array(v.tolist(), dtype="float64") @ axes).tolist())
+
+    singular = [float(s) for s in np.sqrt(np.maximum(values[best], 0.0))]
+    return rows.select(key, project("v").alias("svd")), singular
 
 
 def linear(kind: str, label: str = "discount_pct", features: str = "features") -> LinearRegression:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from offerwell.functions.numbers import half_up
 from offerwell.operators import features as M
 from offerwell.operators import metrics
 from offerwell.operators import models as X
 from offerwell.plans.features import KEY
-from offerwell.plans.registry import query
+from offerwell.plans.registry import query, r4
 from offerwell.session import cut_lineage, work_dir
 
 SMALL = ["source", "category", "currency", "location"]
@@ -50,12 +52,17 @@ def _(t):
     )
 
 
-@query("reduce_dims")
+# With all 64 axes kept the projection preserves the length of every vector.
+@query(
+    "reduce_dims",
+    f"SELECT vec_id, {r4('list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))')} AS energy, 64 AS axes "
+    "FROM embeddings",
+)
 def _(t):
-    from pyspark.ml.functions import array_to_vector
-
     rows = t.embeddings.select("vec_id", array_to_vector("embedding").alias("features"))
-    return X.reduce_dims(rows, "vec_id", "features", 8)[0]
+    projected, _ = X.reduce_dims(rows, "vec_id", "features", 64)
+    energy = F.aggregate("svd", F.lit(0.0), lambda s, x: s + x * x)
+    return projected.select("vec_id", half_up(energy, 4).alias("energy"), F.size("svd").alias("axes"))
 
 
 @query("fit_has_offer")
