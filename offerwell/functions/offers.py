@@ -95,6 +95,20 @@ def normal_offers(c: Column, dtype) -> Column:
     return F.transform(c, shape) if is_array else F.when(c.isNotNull(), F.array(shape(c)))
 
 
+def offers_from_json(c: Column) -> Column:
+    """Offer field kept as JSON text, an array or one object, in either naming, as ``OFFER_TYPE``."""
+    text = F.trim(c)
+    listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    entry = "struct<type_offre:string,typeOffre:string,valeur_offre:string,valeurOffre:string>"
+    return F.transform(
+        F.from_json(listed, f"array<{entry}>"),
+        lambda o: F.struct(
+            F.coalesce(o["type_offre"], o["typeOffre"]).alias("type_offre"),
+            F.coalesce(o["valeur_offre"], o["valeurOffre"]).alias("valeur_offre"),
+        ),
+    )
+
+
 def offer_discount_pct(offers: Column) -> Column:
     """Value of the first percentage entry that holds a number."""
     values = F.transform(

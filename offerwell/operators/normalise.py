@@ -80,9 +80,13 @@ def _price(df: DataFrame, names) -> Column:
     values = []
     for n in names:
         if n in df.columns:
-            numeric = isinstance(df.schema[n].dataType, NumericType)
-            value = F.col(n).cast("double") if numeric else T.parse_price(F.col(n))
-            values.append(F.when(~F.isnan(value), value) if numeric else value)
+            if isinstance(df.schema[n].dataType, NumericType):
+                value = F.col(n).cast("double")
+                values.append(F.when(~F.isnan(value), value))
+            elif n.startswith("prix"):  # numbers of the numeric convention, read as text
+                values.append(F.coalesce(F.col(n).try_cast("double"), T.parse_price(F.col(n))))
+            else:
+                values.append(T.parse_price(F.col(n)))
     # A later spelling (a base price) is used when the earlier one is missing or zero.
     out = values[0] if values else F.lit(None).cast("double")
     for v in values[1:]:
@@ -94,13 +98,16 @@ def normalise(df: DataFrame, source: str, as_of: str, rate: float = K.EUR_TO_MAD
     """Unified listing columns (without the duplicate flag) of one source's raw rows."""
     f = SOURCES[source]
     offers = None
-    if "offre" in df.columns and df.schema["offre"].dataType.typeName() in ("array", "struct"):
-        offers = O.normal_offers(F.col("offre"), df.schema["offre"].dataType)
+    if "offre" in df.columns:
+        dtype = df.schema["offre"].dataType
+        is_text = dtype.typeName() == "string"
+        offers = O.offers_from_json(F.col("offre")) if is_text else O.normal_offers(F.col("offre"), dtype)
     link = _first(df, ["link"], "")
     rating = _first(df, ["rating"])
     pct = O.offer_discount_pct(offers) if offers is not None else F.lit(None).cast("double")
     if f.stored_discount:
-        pct = F.col(f.stored_discount).cast("double") if f.stored_discount in df.columns else F.lit(None).cast("double")
+        stored = F.col(f.stored_discount) if f.stored_discount in df.columns else F.lit(None)
+        pct = stored.cast("string").try_cast("double")
     category = _first(df, f.category, "")
     if f.category_from_source:
         category = F.concat(F.lit(f.name + " "), _first(df, [f.category_from_source], "Games"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from offerwell.plans import registry
-from offerwell.plans import features, listings, marketplace, models, negotiation, parsing, streams, warehouse  # noqa: F401
+from offerwell.plans import features, listings, marketplace, models, negotiation, pages, parsing, streams, warehouse  # noqa: F401
 
 
 def callables():
