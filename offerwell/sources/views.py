@@ -121,15 +121,44 @@ STORED = {
 }
 
 
+# Row keys of the large tables, used to spread a table that has only a few input splits.
+SPREAD_KEYS = {
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+}
+MAX_SPLITS_TO_SPREAD = 4
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash a table of at most a few input splits over all cores.
+
+    A small table in one file would otherwise run every expression in one task. A large table has splits enough and
+    is returned as it is: nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() <= min(MAX_SPLITS_TO_SPREAD, cores - 1):
+        return df.repartition(cores, *keys)
+    return df
+
+
 class Tables:
     """Lazy access to the stored tables of one folder and to the domain views over them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def stored(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self._open(name)
+        return self._read[name]
+
+    def _open(self, name: str) -> DataFrame:
         reader = self.spark.read.schema(STORED[name]) if name in STORED else self.spark.read
-        return reader.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+        df = reader.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+        return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
