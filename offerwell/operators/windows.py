@@ -137,5 +137,5 @@ def moving_score(scores: DataFrame, key: str = "seller_id", days: int = 7) -> Da
 def share_of_total(df: DataFrame, by: str) -> DataFrame:
     """Rows per group and their share of all rows in percent."""
     counts = df.groupBy(by).agg(F.count("*").alias("n"))
-    rows = attach_one(counts, df.agg(F.count("*").alias("_all")))
+    rows = attach_one(counts, counts.agg(F.sum("n").alias("_all")))
     return rows.select(by, "n", half_up(F.col("n") * 100.0 / F.col("_all")).alias("share"))

@@ -483,3 +483,22 @@ def _(t):
     status = F.when(F.col("o_orderstatus") == "O", "EN_ATTENTE_PAIEMENT").otherwise("PAYEE")
     orders = t.orders.select("o_orderkey", F.col("o_orderdate").alias("created"), status.alias("status"))
     return P.expire(orders, F.lit("1998-08-02").cast("timestamp")).select("o_orderkey", "status")
+
+
+@query(
+    "sql_functions",
+    f"""SELECT id, orderkey, {r2('price_initial')} AS rounded, CASE WHEN price_offre IS NOT NULL AND price_initial >
+    price_offre AND {r2('(price_initial-price_offre)/price_initial*100')} > 0 THEN
+    {r2('(price_initial-price_offre)/price_initial*100')} END AS off, {r4(_SOURCE_D)} AS discount FROM unified""",
+)
+def _(t):
+    from offerwell.functions.sql import register
+
+    register(t.spark)
+    return t.unified.selectExpr(
+        "id",
+        "orderkey",
+        "offer_round_half_up(price_initial) AS rounded",
+        "offer_discount_pct(price_initial, price_offre) AS off",
+        "floor(offer_source_discount(source, price_initial, rating, category) * 10000D + 0.5D) / 10000D AS discount",
+    )
