@@ -31,3 +31,8 @@ def discount_pct(initial: Column, offer: Column) -> Column:
 def ratio_pct(part: Column, whole: Column, digits: int = 1) -> Column:
     """``part / whole`` in percent, 0 for an empty whole."""
     return F.coalesce(half_up(F.try_divide(part * 100.0, whole), digits), F.lit(0.0))
+
+
+def exact_mean(x: Column, scale: int = 4) -> Column:
+    """Mean whose sum does not depend on the order of the rows (values are summed as decimals)."""
+    return F.sum(x.cast(f"decimal(28,{scale})")).cast("double") / F.count(x)

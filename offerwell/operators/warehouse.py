@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerwell.functions.numbers import half_up
+from offerwell.functions.numbers import exact_mean, half_up
 from offerwell.operators.joins import category_map, similar_prices, star_lookup
 from offerwell.operators.ordered import attach_one, hash_chunk, number_rows
 from offerwell.operators.windows import price_history
@@ -170,8 +170,8 @@ def agent_mart(offers: DataFrame, key: str = "seller_id") -> DataFrame:
     deal = F.col("status") == "VALIDEE"
     return offers.groupBy(key).agg(
         F.count_if(deal).alias("deals"),
-        half_up(F.avg(F.when(deal, F.col("price_proposed")))).alias("avg_negotiated"),
-        half_up(F.avg(F.when(deal, F.col("price")))).alias("avg_initial"),
+        half_up(exact_mean(F.when(deal, F.col("price_proposed")))).alias("avg_negotiated"),
+        half_up(exact_mean(F.when(deal, F.col("price")))).alias("avg_initial"),
         half_up(F.count_if("is_suspect") / F.count("*"), 4).alias("suspension_rate"),
         half_up(F.sum(F.when(deal, F.greatest(F.col("price") - F.col("price_proposed"), F.lit(0.0))))).alias("savings"),
     )
@@ -179,7 +179,7 @@ def agent_mart(offers: DataFrame, key: str = "seller_id") -> DataFrame:
 
 def supervisor_mart(scores: DataFrame, alerts: DataFrame, flows: DataFrame, key: str = "seller_id") -> DataFrame:
     """Trust, alerts and suspicious content per seller; each side is reduced before it is joined."""
-    trust = scores.groupBy(key).agg(half_up(F.avg("score"), 4).alias("avg_trust"))
+    trust = scores.groupBy(key).agg(half_up(exact_mean(F.col("score")), 4).alias("avg_trust"))
     open_ = F.col("alert_open")
     alarm = alerts.groupBy(key).agg(F.count_if(open_).alias("alerts_open"), F.count_if(~open_).alias("alerts_closed"))
     flow = flows.groupBy(key).agg(F.count_if("suspicious").alias("suspicious_items"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerwell.functions.numbers import clip, half_up
+from offerwell.functions.numbers import clip, exact_mean, half_up
 from offerwell.operators.ordered import attach_one, previous_values, running_sums
 
 
@@ -127,10 +127,16 @@ def moving_score(scores: DataFrame, key: str = "seller_id", days: int = 7) -> Da
 
     Rows are first reduced to one per (key, day), which bounds the window by the number of days.
     """
-    daily = scores.groupBy(key, F.to_date("ts").alias("day")).agg(F.avg("score").alias("_avg"))
+    daily = scores.groupBy(key, F.to_date("ts").alias("day")).agg(
+        half_up(exact_mean(F.col("score")), 6).alias("_avg")
+    )
     frame = Window.partitionBy(key).orderBy("day").rowsBetween(-(days - 1), 0)
+    total = F.sum(F.col("_avg").cast("decimal(28,6)")).over(frame).cast("double")
     return daily.select(
-        key, "day", half_up(F.col("_avg"), 4).alias("score"), half_up(F.avg("_avg").over(frame), 4).alias("moving")
+        key,
+        "day",
+        half_up(F.col("_avg"), 4).alias("score"),
+        half_up(total / F.count("_avg").over(frame), 4).alias("moving"),
     )
 
 

@@ -9,7 +9,7 @@ from offerwell.operators import joins as J
 from offerwell.operators import pricing as P
 from offerwell.operators import windows as W
 from offerwell.plans.listings import ORDER, rnd
-from offerwell.plans.registry import query, r2, r4
+from offerwell.plans.registry import mean, query, r2, r4
 from offerwell.sources.views import LISTING_ORDER, OFFER_ORDER
 
 O_ORDER = ", ".join(OFFER_ORDER)
@@ -298,9 +298,10 @@ def _(t):
 
 @query(
     "moving_score",
-    f"""WITH d AS (SELECT user_id AS seller_id, cast(ts AS DATE) AS day, avg(value) AS a FROM events GROUP BY 1, 2)
-    SELECT seller_id, cast(day AS STRING) AS day, {r4('a')} AS score, {r4('avg(a) OVER (PARTITION BY seller_id ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')}
-    AS moving FROM d""",
+    f"""WITH d AS (SELECT user_id AS seller_id, cast(ts AS DATE) AS day, {rnd(mean('value'), 6)} AS a FROM events
+    GROUP BY 1, 2) SELECT seller_id, cast(day AS STRING) AS day, {r4('a')} AS score,
+    {r4('sum(cast(a AS DECIMAL(28,6))) OVER w::DOUBLE / count(*) OVER w')} AS moving FROM d
+    WINDOW w AS (PARTITION BY seller_id ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )
 def _(t):
     scores = t.events.select(F.col("user_id").alias("seller_id"), "ts", F.col("value").alias("score"))

@@ -52,3 +52,9 @@ def r2(x: str) -> str:
 
 def r4(x: str) -> str:
     return f"floor(({x})*10000+0.5)/10000"
+
+
+def mean(x: str, where: str = "") -> str:
+    """Mean with an exact decimal sum."""
+    cond = f" FILTER ({where})" if where else ""
+    return f"sum(cast({x} AS DECIMAL(28,4))){cond}::DOUBLE / count({x}){cond}"

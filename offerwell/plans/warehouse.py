@@ -8,7 +8,7 @@ from offerwell.operators import warehouse as L
 from offerwell.operators.pricing import flag_anomalies
 from offerwell.plans.listings import ORDER, _MAP
 from offerwell.plans.marketplace import SNAPSHOT_ORDER, snapshots
-from offerwell.plans.registry import query, r2, r4
+from offerwell.plans.registry import mean, query, r2, r4
 
 
 def dim_sql(keys: str, key: str, source: str = "unified", attrs: str = "") -> str:
@@ -224,8 +224,8 @@ def _(t):
 @query(
     "agent_mart",
     f"""SELECT seller_id, count(*) FILTER (status = 'VALIDEE') AS deals,
-    {r2("avg(price_proposed) FILTER (status = 'VALIDEE')")} AS avg_negotiated,
-    {r2("avg(price) FILTER (status = 'VALIDEE')")} AS avg_initial,
+    {r2(mean('price_proposed', "status = 'VALIDEE'"))} AS avg_negotiated,
+    {r2(mean('price', "status = 'VALIDEE'"))} AS avg_initial,
     {r4(f'count(*) FILTER ({_SUSPECT}) / count(*)')} AS suspension_rate,
     {r2("sum(greatest(price - price_proposed, 0.0)) FILTER (status = 'VALIDEE')")} AS savings
     FROM ({_GAPPED}) GROUP BY 1""",
@@ -236,7 +236,7 @@ def _(t):
 
 @query(
     "supervisor_mart",
-    f"""SELECT user_id AS seller_id, {r4("avg(value) FILTER (event_type = 'view')")} AS avg_trust,
+    f"""SELECT user_id AS seller_id, {r4(mean('value', "event_type = 'view'"))} AS avg_trust,
     count(*) FILTER (event_type = 'error' AND value > 50) AS alerts_open,
     count(*) FILTER (event_type = 'error' AND value <= 50) AS alerts_closed,
     count(*) FILTER (event_type = 'click' AND value > 100) AS suspicious_items FROM events
