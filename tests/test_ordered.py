@@ -90,3 +90,11 @@ def test_stagnation_run_compares_with_the_last_bid(spark):
     df = spark.createDataFrame([(1, i, i, b) for i, b in enumerate(bids)], "negotiation int, ts int, event_id int, bid double")
     row = stagnation_bonus(df).first()
     assert row["run_length"] == 3 and abs(row["bonus"] - 0.05) < 1e-12
+
+
+def test_french_title_order(spark):
+    from offerwell.operators.ranking import sort_title_fr
+
+    titles = ["Zèbre", "étui", "Eau", "écran", None, "abri"]
+    rows = sort_title_fr(spark.createDataFrame([(t,) for t in titles], "title string")).collect()
+    assert [r["title"] for r in rows] == [None, "abri", "Eau", "écran", "étui", "Zèbre"]
