@@ -14,6 +14,7 @@ from offerwell.functions.text import short_label
 from offerwell.operators.joins import PARAM_NAMES, similar_prices, source_params
 from offerwell.operators.ordered import hash_chunk, number_rows
 from offerwell.operators.windows import allocate_stock, sample_per_group
+from offerwell.session import cut_lineage
 
 
 def _positive(c: Column, default: float) -> Column:
@@ -169,6 +170,9 @@ def settle_offers(offers: DataFrame, products: DataFrame, order: Sequence[str])
     """
     valid = accept_offers(offers).where("status = 'VALIDEE'")
     paid = allocate_stock(valid, products, order, F.lit(1)).where("accepted")
+    # Numbering reads its input twice, so the allocation is written once.
+    keep = ["offer_id", "product_id", "buyer_id", "seller_id", "created", "price_final"]
+    paid = cut_lineage(paid.select(keep), "paid")
     numbered = number_rows(
         paid.withColumn("_digest", F.md5(F.col("offer_id").cast("binary"))), ["_digest"], hash_chunk("offer_id"), "_seq"
     )
