@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwell.llm import bpe, token_counts, token_store
+from offerwell.llm import bpe, decontaminate, near_dup, repeats, token_counts, token_store
 from offerwell.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,12 +41,31 @@ def _(spark, folder):
     return token_store.documents(token_store.read_tokens(spark, path))
 
 
+@query("op2_dart_minhash")
+def _(spark, folder):
+    return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op4_longest_match_counts")
 def _(spark, folder):
     rows = token_counts.count_pieces(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
     return rows.select("doc_id", "n_words", "n_pieces", "n_unknown")
 
 
+@query("op6_suffix_array_matches")
+def _(spark, folder):
+    found = decontaminate.match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+    ids = F.array_sort(F.array_distinct(F.col("matches.item_id")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(ids).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("op9_segment_tree_bpe")
 def _(spark, folder):
     rows = bpe.encode_decode(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -56,3 +75,9 @@ def _(spark, folder):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_seed_and_extend")
+def _(spark, folder):
+    rows = repeats.remove_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
