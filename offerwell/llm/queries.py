@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwell.llm import bpe, decontaminate, near_dup, repeats, token_counts, token_store
+from offerwell.llm import bpe, decontaminate, near_dup, quality, repeats, token_counts, token_store
 from offerwell.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def _(spark, folder):
     return rows.select("doc_id", "n_words", "n_pieces", "n_unknown")
 
 
+@query("op5_co_training")
+def _(spark, folder):
+    rows = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return rows.select("doc_id", "text_score", "page_score", "bad_score", "rejected")
+
+
 @query("op6_suffix_array_matches")
 def _(spark, folder):
     found = decontaminate.match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
