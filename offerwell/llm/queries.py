@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwell.llm import bpe, decontaminate, near_dup, quality, repeats, token_counts, token_store
+from offerwell.llm import bpe, context_tree, decontaminate, near_dup, quality, repeats, token_counts, token_store
 from offerwell.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,13 @@ def _(spark, folder):
     return near_dup.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op3_context_tree")
+def _(spark, folder):
+    train = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
+    rows = context_tree.score_texts(table(spark, folder, "documents"), train)
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op4_longest_match_counts")
 def _(spark, folder):
     rows = token_counts.count_pieces(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
