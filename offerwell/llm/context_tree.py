@@ -5,8 +5,8 @@ the Krichevsky-Trofimov estimate of the bits seen in its context, and mixes it h
 weights follow bottom-up from the counts of the training documents alone, so they can be computed from a table of byte grams, and the
 mixed prediction of a gram follows top-down. The model is that table: it grows with the corpus and is never held in one place.
 
-Distribution: gram and word counts are pre-aggregated per partition. The levels below the second-last byte are computed per group of two-byte
-contexts (at most 2**24 grams each), the two levels above them from at most 256 rows. Documents are dealt into chunks of bounded size; each
+Distribution: gram and word counts are pre-aggregated per partition. The levels from two bytes on are computed per group of whole two-byte
+contexts, one decision after another, the two levels above them from at most 65,280 rows. Documents are dealt into chunks of bounded size; each
 chunk asks for its distinct grams and words only, which are joined with the tables and come back to the chunk's documents.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from offerwell.llm import text as tx
 from offerwell.session import cut_lineage
 
-DEPTH = 4
+DEPTH = 5
 CHUNK_BYTES = 32 << 20
 GROUP_GRAMS = 1 << 16
 SLICE = 3 << 20
@@ -73,23 +73,23 @@ def kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return gammaln(zeros + 0.5) + gammaln(ones + 0.5) - gammaln(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def bits(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(prefix, bit) of the eight decisions of each gram's last byte, one row per gram; a prefix starts with a 1."""
-    byte = (gram & np.uint64(255)).astype(np.int64)[:, None]
-    j = np.arange(8)[None, :]
+def decision(gram: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """(prefix, bit) of decision ``j`` (0 to 7) on each gram's last byte; a prefix starts with a 1."""
+    byte = (gram & np.uint64(255)).astype(np.int64)
     return (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
 
 
 class Levels:
-    """Nodes of all contexts of two bytes and more that the grams of whole two-byte groups have; level d has contexts of d bytes."""
-
-    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int):
-        prefix, self.bit = (x.ravel() for x in bits(gram))
-        context = np.repeat((gram >> np.uint64(8)).astype(np.int64), 8)
-        weight = np.repeat(count.astype(np.float64), 8)
-        key, self.at = np.unique(context << 8 | prefix, return_inverse=True)
-        ones = np.bincount(self.at, weight * self.bit, len(key))
-        zeros = np.bincount(self.at, weight, len(key)) - ones
+    """Nodes of one decision for all contexts of two bytes and more that the grams of whole two-byte groups have.
+
+    Level d has contexts of d bytes; the trees of different decisions are independent.
+    """
+
+    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int, j: int):
+        self.prefix, self.bit = decision(gram, j)
+        key, self.at = np.unique((gram >> np.uint64(8)).astype(np.int64) << 8 | self.prefix, return_inverse=True)
+        ones = np.bincount(self.at, count * self.bit, len(key))
+        zeros = np.bincount(self.at, count, len(key)) - ones
         own = kt(zeros, ones)
         self.level = {depth: (key, zeros, ones, own, own, None)}
         for d in range(depth - 1, 1, -1):
@@ -102,7 +102,7 @@ class Levels:
         self.depth = depth
 
     def predict(self) -> np.ndarray:
-        """Mixed probability of every decision by the levels from two bytes on."""
+        """Mixed probability of the decision on each gram by the levels from two bytes on."""
         at, p = self.at, None
         for d in range(self.depth, 1, -1):
             _, zeros, ones, own, mixed, up = self.level[d]
@@ -177,9 +177,12 @@ def _arrays(table: pa.Table, *names):
 def _second_level(depth: int):
     def run(table: pa.Table) -> pa.Table:
         gram, count = _arrays(table, "gram", "n")
-        key, zeros, ones, _, mixed, _ = Levels(gram.astype(np.uint64), count, depth).level[2]
-        columns = [key >> 8 & 255, key & 255, zeros, ones, mixed]
-        return pa.table([pa.array(c) for c in columns], names=["byte", "prefix", "zeros", "ones", "mixed"])
+        parts = []
+        for j in range(8):
+            key, zeros, ones, _, mixed, _ = Levels(gram.astype(np.uint64), count, depth, j).level[2]
+            parts.append([key >> 8 & 255, key & 255, zeros, ones, mixed])
+        names = ["byte", "prefix", "zeros", "ones", "mixed"]
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
 
     return run
 
@@ -187,13 +190,14 @@ def _second_level(depth: int):
 def _predict(depth: int, shared):
     def run(table: pa.Table) -> pa.Table:
         gram, count = _arrays(table, "gram", "n")
-        packed = gram.astype(np.uint64)
-        levels = Levels(packed, count, depth)
-        p, (prefix, bit) = levels.predict().reshape(-1, 8), bits(packed)
-        byte = (gram >> 8 & 255)[:, None]
-        for at, (stop, one) in ((byte * 256 + prefix, shared.value[1]), (prefix, shared.value[0])):
-            p = stop[at] * np.where(bit == 1, one[at], 1 - one[at]) + (1 - stop[at]) * p
-        return pa.table([pa.array(gram), pa.array(np.log10(p).sum(axis=1))], names=["gram", "value"])
+        byte, total = gram >> 8 & 255, np.zeros(len(gram))
+        for j in range(8):
+            levels = Levels(gram.astype(np.uint64), count, depth, j)
+            p = levels.predict()
+            for at, (stop, one) in ((byte * 256 + levels.prefix, shared.value[1]), (levels.prefix, shared.value[0])):
+                p = stop[at] * np.where(levels.bit == 1, one[at], 1 - one[at]) + (1 - stop[at]) * p
+            total += np.log10(p)
+        return pa.table([pa.array(gram), pa.array(total)], names=["gram", "value"])
 
     return run
 
@@ -281,11 +285,11 @@ def _score(depth: int):
             base = np.bincount(text, np.log10(count + 0.1)[token], n)
             seen = np.bincount(text, (count > 0).astype(np.float64)[token], n)
             gram, text = grams(texts, depth)
-            packed = np.sort(gram << np.uint64(24) | text.astype(np.uint64))
-            gram = packed >> np.uint64(24)
+            packed = np.sort(gram << np.uint64(16) | text.astype(np.uint64))
+            gram = packed >> np.uint64(16)
             first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
             each = np.repeat(value[np.searchsorted(key, gram[first])], np.diff(np.concatenate([first, [len(gram)]])))
-            total = np.bincount((packed & np.uint64((1 << 24) - 1)).astype(np.int64), each, n)
+            total = np.bincount((packed & np.uint64(0xFFFF)).astype(np.int64), each, n)
             columns = [part.column("doc_id"), part.column("train"), pa.array(np.diff(bounds).astype(np.int64) + 1)]
             columns += [pa.array(seen.astype(np.int64)), pa.array(base), pa.array(total), pa.array(np.diff(tx.raw(texts)[1]))]
             out.append(pa.RecordBatch.from_arrays(columns, names=SCORED_NAMES))
@@ -302,13 +306,13 @@ def score_texts(docs: DataFrame, train, depth: int = DEPTH, key: str = "doc_id",
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte) of every row.
 
     ``train`` is a column that is true for the documents to learn from. ``score`` is the log10 probability of the lower-cased (A-Z) text and
-    its end by the byte model with contexts of ``depth`` (2 to 4) bytes. ``base_score`` is the sum over the words, and one end for each text, of
+    its end by the byte model with contexts of ``depth`` (2 to 5) bytes. ``base_score`` is the sum over the words, and one end for each text, of
     log10((c + 0.1) / (N + 0.1 (V + 1))), where c, N and V count the training words and ends. A null text is empty and has its end only;
     a null ``train`` counts as false. Repeated rows are scored each for itself and counted as often as they occur; an empty table
     gives an empty table. Other columns are not read.
     """
-    if not 2 <= depth <= 4:
-        raise ValueError("depth is 2, 3 or 4")
+    if not 2 <= depth <= 5:
+        raise ValueError("depth is 2 to 5")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), body.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0

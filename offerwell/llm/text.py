@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 6 << 20
+#: Most rows of a slice, so that a row number fits in 16 bits.
+SLICE_ROWS = 1 << 16
 CACHE_ENTRIES = 800_000
 
 #: A-Z to a-z, every other byte unchanged.
@@ -99,7 +101,7 @@ def slices(batch: pa.RecordBatch, text: int, limit: int | None = None):
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start, done = 0, 0
     while start < batch.num_rows:
-        end = max(start + 1, int(np.searchsorted(size, done + limit, side="right")))
+        end = min(max(start + 1, int(np.searchsorted(size, done + limit, side="right"))), start + SLICE_ROWS)
         yield batch.slice(start, end - start)
         start, done = end, int(size[end - 1])
 
