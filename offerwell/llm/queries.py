@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwell.llm import bpe, context_tree, decontaminate, near_dup, quality, repeats, token_counts, token_store
+from offerwell.llm import bpe, context_tree, decontaminate, grid_join, near_dup, quality, repeats, token_counts, token_store
 from offerwell.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,29 @@ def _(spark, folder):
     )
 
 
+@query(
+    "op7_epsilon_grid_order",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e,
+               sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+    link AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93),
+    reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+    least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+    SELECT l.a AS vec_id, coalesce(d.n, 0)::BIGINT AS n_links, l.component_id, l.a = l.component_id AS kept
+    FROM least l LEFT JOIN degree d ON l.a = d.a
+    """,
+)
+def _(spark, folder):
+    return grid_join.similar_vectors(table(spark, folder, "embeddings"), 0.93)
+
+
 @query("op9_segment_tree_bpe")
 def _(spark, folder):
     rows = bpe.encode_decode(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
