@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwell.llm import bpe, context_tree, decontaminate, grid_join, near_dup, quality, repeats, token_counts, token_store
+from offerwell.llm import bpe, context_tree, decontaminate, fixity, grid_join, near_dup, quality, repeats, token_counts, token_store
 from offerwell.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,43 @@ def _(spark, folder):
     return grid_join.similar_vectors(table(spark, folder, "embeddings"), 0.93)
 
 
+#: The replica of the archive of ``pages`` that op8 audits: some records miss, some have another byte, some are cut short.
+REPLICA = """
+    CASE WHEN page_id % 97 = 3 THEN concat(substring(record, 1, length(record) - 5), '#', substring(record, length(record) - 3))
+         WHEN page_id % 103 = 11 THEN substring(record, 1, length(record) - 9) ELSE record END
+"""
+
+
+@query(
+    "op8_merkle_fixity",
+    rf"""
+    WITH a AS (
+        SELECT page_id, concat('WARC/1.0', crlf, 'WARC-Type: response', crlf, 'WARC-Record-ID: <urn:page:', page_id::VARCHAR, '>', crlf,
+            'WARC-Target-URI: ', coalesce(url, ''), crlf, 'Content-Length: ', strlen(coalesce(html, ''))::VARCHAR, crlf, crlf,
+            coalesce(html, ''), crlf, crlf) AS record
+        FROM pages, (SELECT chr(13) || chr(10) AS crlf) WHERE page_id IS NOT NULL),
+    b AS (SELECT page_id, {REPLICA} AS record FROM a WHERE page_id % 101 <> 7),
+    x AS (SELECT page_id, strlen(record) AS length, sha256(record) AS sha256,
+                 coalesce(sum(strlen(record)) OVER (PARTITION BY page_id // 256 ORDER BY page_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM a),
+    y AS (SELECT page_id, strlen(record) AS length, sha256(record) AS sha256,
+                 coalesce(sum(strlen(record)) OVER (PARTITION BY page_id // 256 ORDER BY page_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM b)
+    SELECT page_id, page_id // 256 AS file,
+           CASE WHEN y.sha256 IS NULL THEN 'missing' WHEN x.sha256 <> y.sha256 THEN 'changed' ELSE 'moved' END AS status,
+           x.first::BIGINT AS offset_a, x.length::BIGINT AS length_a, x.sha256 AS sha256_a,
+           y.first::BIGINT AS offset_b, y.length::BIGINT AS length_b, y.sha256 AS sha256_b
+    FROM x LEFT JOIN y USING (page_id)
+    WHERE y.sha256 IS NULL OR x.sha256 <> y.sha256 OR x.first <> y.first
+    """,
+)
+def _(spark, folder):
+    pages = table(spark, folder, "pages")
+    archive = pages.select("page_id", fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    replica = archive.where("page_id % 101 <> 7").select("page_id", F.expr(REPLICA).alias("record"))
+    return fixity.audit(archive, replica)
+
+
 @query("op9_segment_tree_bpe")
 def _(spark, folder):
     rows = bpe.encode_decode(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
