@@ -24,6 +24,7 @@ from offerwell.session import cut_lineage
 
 #: A term is a run of letters (lower-cased), digits, or of one other mark.
 TERM = r"[\p{L}\p{M}]+|\p{N}+|[^\p{L}\p{M}\p{N}\s]{1,8}"
+ALWAYS = " "  # a term of every document
 NUMBERS = ["size", "line_length", "upper_share", "mark_share", "space_share", "word_length", "distinct", "repeated"]
 
 
@@ -69,7 +70,7 @@ def views(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
         "doc",
         "lang",
         "source",
-        "terms",
+        F.concat(F.array(F.lit(ALWAYS)), "terms").alias("terms"),
         F.log1p(F.size("terms")).alias("distinct"),
         (F.size("terms") / F.greatest(F.size("all"), F.lit(1))).alias("repeated"),
         F.log1p(n).alias("size"),
@@ -94,14 +95,10 @@ def _logistic(view: str, settings: Settings) -> LogisticRegression:
 
 def _vectorizers(sample: DataFrame, settings: Settings) -> tuple:
     """Feature stages of both views, fitted on the sample's terms."""
-    terms = CountVectorizer(inputCol="terms", outputCol="text_v", vocabSize=settings.terms, minDF=settings.least_documents, binary=True)
+    least = min(settings.least_documents, sample.count())  # ALWAYS is in every document, so no vocabulary is empty
+    terms = CountVectorizer(inputCol="terms", outputCol="text_v", vocabSize=settings.terms, minDF=least, binary=True)
     page = FeatureHasher(inputCols=["lang", "source", *NUMBERS], outputCol="page_v", numFeatures=settings.buckets)
-    try:
-        return terms.fit(sample), page
-    except Exception as error:  # no term is frequent enough in a very small sample
-        if "vocabulary" not in str(error):
-            raise
-        return terms.setMinDF(1).fit(sample), page
+    return terms.fit(sample), page
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, key: str = "doc_id", text: str = "text",
