@@ -23,9 +23,8 @@ def clip(x: Column, low: float | Column | None, high: float | Column | None) ->
 
 
 def discount_pct(initial: Column, offer: Column) -> Column:
-    """Percent off when both prices are present and non-zero and the result is positive."""
-    pct = half_up(F.try_divide(initial - offer, initial) * 100.0)
-    return F.when((initial > 0) & (offer != 0) & (pct > 0), pct)
+    """Percent off when both prices are present and non-zero and the offer is lower; a tiny discount rounds to 0, not to null."""
+    return F.when((initial > 0) & (offer != 0) & (initial > offer), half_up(F.try_divide(initial - offer, initial) * 100.0))
 
 
 def ratio_pct(part: Column, whole: Column, digits: int = 1) -> Column:

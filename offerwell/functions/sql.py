@@ -34,7 +34,7 @@ def definitions() -> dict[str, str]:
         "round_half_up(x DOUBLE) RETURNS DOUBLE": "floor(x * 100D + 0.5D) / 100D",
         "parse_price(raw STRING) RETURNS DOUBLE": "try_cast(nullif(regexp_replace(replace(regexp_extract(raw, '^[^/]*', "
         "0), ',', '.'), '[^0-9.]', ''), '') AS DOUBLE)",
-        "discount_pct(initial DOUBLE, offer DOUBLE) RETURNS DOUBLE": f"CASE WHEN initial > 0 AND offer <> 0 AND {off} > 0 "
+        "discount_pct(initial DOUBLE, offer DOUBLE) RETURNS DOUBLE": f"CASE WHEN initial > 0 AND offer <> 0 AND initial > offer "
         f"THEN {off} END",
         "source_discount(source STRING, price DOUBLE, rating DOUBLE, category STRING) RETURNS DOUBLE": f"greatest(least("
         f"{raw}, {high}), {low})",

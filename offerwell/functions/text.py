@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,12 +62,11 @@ def parse_rating(c: Column) -> Column:
     return F.when(v.between(0, 5), half_up(v))
 
 
-def percent_rating(c: Column) -> Column:
-    """``NN%`` or CSS ``width:NN`` on a five point scale."""
-    pct = F.coalesce(
-        _to_double(F.regexp_extract(c, r"(\d+)" + BLANK + "*%", 1)),
-        _to_double(F.regexp_extract(c, r"width:\s*(\d+(?:\.\d+)?)", 1)),
-    )
+def percent_rating(c: Column, css: bool = True) -> Column:
+    """``NN%``, or with ``css`` also ``width:NN``, on a five point scale."""
+    pct = _to_double(F.regexp_extract(c, r"(\d+)" + BLANK + "*%", 1))
+    if css:
+        pct = F.coalesce(pct, _to_double(F.regexp_extract(c, r"width:\s*(\d+(?:\.\d+)?)", 1)))
     return half_up(pct * 5.0 / 100.0)
 
 
@@ -95,9 +96,10 @@ def canonical_link(c: Column, base: str, item_base: str | None = None) -> Column
     return F.when(item != "", F.concat(F.lit((item_base or base) + "/dp/"), item)).otherwise(plain)
 
 
-def short_label(c: Column, n: int, mark: str = "…") -> Column:
-    """Text longer than ``n`` cut to ``n - 1`` characters and a mark."""
-    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n - 1), F.lit(mark))).otherwise(c)
+def short_label(c: Column, n: int, mark: str = "…", keep: int | None = None) -> Column:
+    """Text longer than ``n`` cut to ``keep`` (by default ``n - 1``) characters and a mark."""
+    kept = n - 1 if keep is None else keep
+    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, kept), F.lit(mark))).otherwise(c)
 
 
 def display_price(source: Column, price: Column, price_offer: Column) -> Column:
@@ -115,10 +117,17 @@ def star_parts(c: Column) -> dict[str, Column]:
     return {"full_stars": full, "half_star": half, "empty_stars": 5 - full - half}
 
 
+def _accent_table() -> tuple[str, str]:
+    """Every letter that decomposes into one basic letter and marks, and that letter."""
+    pairs = []
+    for point in range(0xC0, 0x2000):
+        parts = unicodedata.normalize("NFD", chr(point))
+        if len(parts) > 1 and parts[0].isalpha() and all(unicodedata.combining(m) for m in parts[1:]):
+            pairs.append((chr(point), parts[0]))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def strip_accents(c: Column) -> Column:
-    """Fold the accented Latin letters that occur in French, Spanish and German titles."""
-    return F.translate(
-        c,
-        "àáâãäåèéêëìíîïòóôõöùúûüýÿñçÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇ",
-        "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC",
-    )
+    """Fold accented letters to their basic letters and drop combining marks."""
+    accented, plain = _accent_table()
+    return F.regexp_replace(F.translate(c, accented, plain), r"\p{Mn}", "")

@@ -22,6 +22,11 @@ from offerwell.functions import text as T
 from offerwell.operators.dedup import keep_first
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# Elements whose end tag may be left out, and the open elements that their start ends.
+_IMPLIED = {
+    "li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
+    "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"},
+}
 _STEP = re.compile(r"\s*(>?)\s*([a-zA-Z][\w-]*)?((?:[.#][\w-]+|\[[^\]]+\])*)")
 
 
@@ -32,18 +37,22 @@ class _Node:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
     def walk(self) -> Iterator[_Node]:
-        for c in self.children:
+        """All elements below this one in page order; the stack is a list, so depth has no limit."""
+        stack = self.children[::-1]
+        while stack:
+            c = stack.pop()
             if isinstance(c, _Node):
                 yield c
-                yield from c.walk()
+                stack.extend(reversed(c.children))
 
     def texts(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, _Node):
-                if c.tag not in ("script", "style"):
-                    yield from c.texts()
-            else:
+        stack = self.children[::-1]
+        while stack:
+            c = stack.pop()
+            if not isinstance(c, _Node):
                 yield c
+            elif c.tag not in ("script", "style"):
+                stack.extend(reversed(c.children))
 
 
 class _Page(HTMLParser):
@@ -56,6 +65,9 @@ class _Page(HTMLParser):
         self.close()
 
     def handle_starttag(self, tag, attrs):
+        ends = _IMPLIED.get(tag)
+        if ends and self.at.tag in ends:  # such an element ends where the next one of its kind begins
+            self.at = self.at.parent
         node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in _VOID:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerwell.functions.numbers import clip
 from offerwell.functions.text import strip_accents
-from offerwell.operators.ordered import attach_one, exact_quantiles, null_safe_join
+from offerwell.operators.ordered import attach_one, exact_quantiles, null_safe_join, running_sums
 from offerwell.operators.windows import days_since_first
 
 NUMERIC = ["price_initial_mad", "log_price_initial_mad", "rating_filled", "rating_gap_to_5", "rating_missing"]
@@ -129,12 +129,22 @@ def bucket(key: Sequence[str], buckets: int, seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
-def split(df: DataFrame, key: Sequence[str], test_share: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
+def split(
+    df: DataFrame, key: Sequence[str], test_share: float = 0.2, seed: int = 42, out: str = "is_test",
+    strata: Sequence[str] | None = None,
+) -> DataFrame:
     """Hold-out flag from a hash of the row key.
 
-    Buckets are independent of any column, so every stratum keeps the same share without being grouped.
+    Without ``strata`` every row is decided by its own hash. With them exactly the share of every stratum, rounded half up, is held out:
+    its first rows in hash order, which chunks of the hash number without putting a stratum into one task.
     """
-    return df.withColumn(out, bucket(key, 10000, seed) < int(test_share * 10000))
+    if not strata:
+        return df.withColumn(out, bucket(key, 10000, seed) < int(test_share * 10000))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *key).cast("binary"))
+    rows = df.withColumn("_digest", digest)
+    rows = running_sums(rows, list(strata), ["_digest", *key], F.substring("_digest", 1, 3), {"_at": F.lit(1)})
+    sizes = df.groupBy(*strata).agg(F.floor(F.count("*") * test_share + 0.5).alias("_held"))
+    return null_safe_join(rows, sizes, list(strata)).withColumn(out, F.col("_at") <= F.col("_held")).drop("_digest", "_at", "_held")
 
 
 def upsample_minority(df: DataFrame, label: str, key: Sequence[str]) -> DataFrame:

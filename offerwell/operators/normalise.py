@@ -123,7 +123,7 @@ def normalise(df: DataFrame, source: str, as_of: str, rate: float = K.EUR_TO_MAD
         _first(df, ["seller"], f.default_seller).alias("seller"),
         location.alias("location"),
         category.alias("category"),
-        (T.percent_rating(rating) if f.percent_rating else T.parse_rating(rating)).alias("rating"),
+        (T.percent_rating(rating, css=False) if f.percent_rating else T.parse_rating(rating)).alias("rating"),
         T.parse_date(_first(df, ["date"]), as_of).alias("date"),
         link.alias("link"),
         (O.first_offer_type(offers) if offers is not None else F.lit("")).alias("offre_type"),

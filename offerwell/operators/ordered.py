@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerwell.session import cut_lineage
+
 CHUNK = "_chunk"
 
 
@@ -105,21 +107,23 @@ def number_rows(df: DataFrame, order: Sequence[str], chunk: Column, out: str) ->
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], bands: int = 4096
+    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], bands: int = 256
 ) -> DataFrame:
     """Linear-interpolated quantiles per group as ``q0, q1, ...`` with ``n``, ``low`` and ``high``.
 
-    Equal values are counted first; ranks then run over value bands of each group, so no task holds a whole group.
+    Equal values are counted first and written, so the input is read once. Ranks then run over bands of each group that hold
+    about equally many distinct values however they are spread: their edges are approximate quantiles.
     """
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*by, F.col(value).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
+    counts = cut_lineage(counts, "value-counts")
+    cuts = F.percentile_approx("_x", [i / bands for i in range(1, bands)], 50 * bands)
     span = counts.groupBy(*by).agg(
-        F.sum("_n").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")
+        F.sum("_n").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"), cuts.alias("_cuts")
     )
     rows = null_safe_join(counts, span, list(by), "inner") if by else attach_one(counts, span)
-    width = F.col("high") - F.col("low")
-    band = F.when(width > 0, F.floor((F.col("_x") - F.col("low")) / width * float(bands))).otherwise(F.lit(0))
-    rows = running_sums(rows, list(by), ["_x"], band, {"_upto": F.col("_n")})
+    band = F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
+    rows = running_sums(rows.withColumn("_band", band).drop("_cuts"), list(by), ["_x"], F.col("_band"), {"_upto": F.col("_n")})
     first = F.col("_upto") - F.col("_n")
     picks = []
     for i, p in enumerate(probs):

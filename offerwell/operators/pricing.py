@@ -83,7 +83,7 @@ def generate_offers(df: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
         *key,
         "source",
         "category",
-        short_label(F.col("title_clean"), 50, "...").alias("product"),
+        short_label(F.col("title_clean"), 50, "...", keep=50).alias("product"),
         half_up(F.col("price")).alias("price"),
         F.col("rating"),
         half_up(F.col("discount"), 0).alias("offer_pct"),

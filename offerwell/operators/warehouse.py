@@ -11,6 +11,7 @@ from offerwell.functions.numbers import exact_mean, half_up
 from offerwell.operators.joins import category_map, similar_prices, star_lookup
 from offerwell.operators.ordered import attach_one, hash_chunk, number_rows
 from offerwell.operators.windows import price_history
+from offerwell.session import cut_lineage
 
 
 def build_dim(df: DataFrame, natural_key: Sequence[str], key: str, attrs: dict[str, Column] | None = None) -> DataFrame:
@@ -100,14 +101,15 @@ def snowflake(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def star_dims(df: DataFrame) -> dict[str, tuple[DataFrame, list[str], str]]:
-    """Flat dimensions of the listing star as (dimension, natural key, surrogate key)."""
-    return {
-        "product": (build_dim(df, ["link"], "product_id", {"title": F.col("title_clean")}), ["link"], "product_id"),
-        **{
-            n: (build_dim(df, [n], f"{n}_id"), [n], f"{n}_id")
-            for n in ("source", "seller", "category", "location")
-        },
-    }
+    """Flat dimensions of the listing star as (dimension, natural key, surrogate key).
+
+    The natural keys are read from ``df`` once, and every dimension is written once, however often it is looked up.
+    """
+    flat = ("source", "seller", "category", "location")
+    keys = cut_lineage(df.groupBy("link", *flat).agg(F.min("title_clean").alias("title")), "natural-keys")
+    dims = {"product": build_dim(keys, ["link"], "product_id", {"title": F.col("title")})}
+    dims |= {n: build_dim(keys, [n], f"{n}_id") for n in flat}
+    return {n: (cut_lineage(d, f"dim-{n}"), ["link"] if n == "product" else [n], f"{n}_id") for n, d in dims.items()}
 
 
 def load_fact_listing(df: DataFrame, dims: dict, day: str = "day") -> DataFrame:

@@ -109,7 +109,7 @@ def _(t):
 @query(
     "upsample_minority",
     f"""WITH o AS (SELECT *, md5(concat_ws('|', {_KEY_SQL})) AS h FROM unified WHERE discount_pct IS NOT NULL AND
-      offre_type <> '' AND (offre_type = 'pourcentage' OR linenumber > 2)),
+      offre_type <> ''),
     s AS (SELECT offre_type AS k, count(*) AS n FROM o GROUP BY 1),
     m AS (SELECT k AS minor, n AS small, (SELECT max(n) FROM s) AS large FROM s ORDER BY n, k LIMIT 1),
     r AS (SELECT o.*, row_number() OVER (ORDER BY h) AS pos, small, large FROM o, m WHERE offre_type = minor)
@@ -118,9 +118,7 @@ def _(t):
     FROM r""",
 )
 def _(t):
-    rows = t.unified.where(
-        "discount_pct IS NOT NULL AND offre_type <> '' AND (offre_type = 'pourcentage' OR linenumber > 2)"
-    )
+    rows = t.unified.where("discount_pct IS NOT NULL AND offre_type <> ''")
     return M.upsample_minority(rows, "offre_type", KEY).select("offre_type", "id", "copy")
 
 

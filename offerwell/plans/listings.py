@@ -302,7 +302,7 @@ def _(t):
 
 @query(
     "unseen",
-    """SELECT link, orderkey FROM listings WHERE linenumber >= 4 AND link NOT IN
+    """SELECT link, orderkey FROM listings WHERE linenumber > 1 AND link NOT IN
     (SELECT replace(link, '?ref=1', '?ref=4') FROM listings WHERE linenumber = 1)""",
 )
 def _(t):
@@ -310,7 +310,7 @@ def _(t):
     seen = rows.where("linenumber = 1").select(
         F.replace(F.col("link"), F.lit("?ref=1"), F.lit("?ref=4")).alias("link")
     )
-    return E.unseen(rows.where("linenumber >= 4"), seen, "link").select("link", "orderkey")
+    return E.unseen(rows.where("linenumber > 1"), seen, "link").select("link", "orderkey")
 
 
 # --- aggregates ---------------------------------------------------------------------------------------------------

@@ -179,13 +179,13 @@ _STORED = (
 _JUMIA_P1 = "CASE WHEN source = 'Jumia' THEN coalesce(price_offre, price_initial) ELSE price_offre END"
 _RAW_UNIFIED = f"""WITH a AS (SELECT *, CASE WHEN {_TEXT} THEN {P0} ELSE price_initial END AS p0,
       CASE WHEN {_TEXT} THEN {P1} ELSE {_JUMIA_P1} END AS p1, {_STORED} AS pct,
-      CASE WHEN source = 'Steam' THEN coalesce({_PERCENT}, {_WIDTH}) ELSE {_STRICT} END AS stars,
+      CASE WHEN source = 'Steam' THEN {_PERCENT} ELSE {_STRICT} END AS stars,
       cast(CASE WHEN regexp_matches(date_text, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast(date_text AS DATE)
         WHEN regexp_matches(date_text, '^\\d{{10,}}$') THEN cast(epoch_ms(cast(CASE WHEN regexp_matches(date_text,
         '^\\d{{10,}}$') THEN date_text END AS BIGINT)) AS DATE) WHEN regexp_matches(lower(date_text),
         'il y a|heure|minute|jour') THEN DATE '2026-04-01' END AS STRING) AS seen FROM raw_listings),
     b AS (SELECT *, coalesce(p0, p1) AS c0, CASE WHEN p0 <> p1 THEN p1 END AS c1, CASE WHEN p0 IS NULL AND p1 IS NOT NULL
-      OR p0 = p1 THEN NULL ELSE coalesce(pct, CASE WHEN p0 > 0 AND p1 <> 0 AND {r2('(p0-p1)/p0*100')} > 0 THEN
+      OR p0 = p1 THEN NULL ELSE coalesce(pct, CASE WHEN p0 > 0 AND p1 <> 0 AND p0 > p1 THEN
       {r2('(p0-p1)/p0*100')} END) END AS off FROM a)
     SELECT concat(upper(substr(source, 1, 3)), '_', substr(md5(concat(lower(source), '|', link)), 1, 12)) AS id, source,
     trim(regexp_replace(raw_title, '\\s+', ' ', 'g')) AS title_clean, c0 AS price_initial, c1 AS price_offre, currency,

@@ -253,11 +253,12 @@ def _(t):
 @query(
     "content_mart",
     f"""SELECT source, lang, count(*) AS items, {r4('count(*) FILTER (toxic = 1) / count(*)')} AS flagged_share,
-    {r4('avg(quality)')} AS avg_sentiment FROM documents JOIN labels USING (doc_id) GROUP BY ROLLUP (source, lang)""",
+    {r4('avg(quality)')} AS avg_sentiment FROM documents LEFT JOIN labels USING (doc_id) GROUP BY ROLLUP (source, lang)""",
 )
 def _(t):
-    flows = t.documents.select("doc_id", "source", "lang").join(t.labels, "doc_id")
-    return L.content_mart(flows.withColumns({"flagged": F.col("toxic") == 1, "sentiment": F.col("quality")}))
+    flows = t.documents.select("doc_id", "source", "lang").join(t.labels, "doc_id", "left")  # without a label: not flagged
+    flagged = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    return L.content_mart(flows.withColumns({"flagged": flagged, "sentiment": F.col("quality")}))
 
 
 @query(

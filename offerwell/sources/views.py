@@ -121,28 +121,6 @@ STORED = {
 }
 
 
-# Row keys of the large tables, used to spread a table that has only a few input splits.
-SPREAD_KEYS = {
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "events": ["event_id"],
-    "documents": ["doc_id"],
-    "pages": ["page_id"],
-}
-MAX_SPLITS_TO_SPREAD = 4
-
-
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash a table of at most a few input splits over all cores.
-
-    A small table in one file would otherwise run every expression in one task. A large table has splits enough and
-    is returned as it is: nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() <= min(MAX_SPLITS_TO_SPREAD, cores - 1):
-        return df.repartition(cores, *keys)
-    return df
-
-
 class Tables:
     """Lazy access to the stored tables of one folder and to the domain views over them."""
 
@@ -157,8 +135,7 @@ class Tables:
 
     def _open(self, name: str) -> DataFrame:
         reader = self.spark.read.schema(STORED[name]) if name in STORED else self.spark.read
-        df = reader.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
-        return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+        return reader.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -301,7 +278,7 @@ def ansi_views() -> dict[str, str]:
     cased = (
         "SELECT * EXCLUDE (price_initial, price_offre), coalesce(price_initial, price_offre) AS price_initial, "
         "CASE WHEN price_initial <> price_offre THEN price_offre END AS price_offre, "
-        f"CASE WHEN price_initial <> price_offre AND price_initial > 0 AND price_offre <> 0 AND {off} > 0 THEN {off} "
+        f"CASE WHEN price_initial <> price_offre AND price_initial > 0 AND price_offre <> 0 AND price_initial > price_offre THEN {off} "
         f"END AS discount_pct FROM ({listings})"
     )
     mad = "CASE WHEN currency = 'EUR' THEN floor({0}*10.85*100+0.5)/100 ELSE {0} END AS {0}_mad"

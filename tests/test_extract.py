@@ -74,3 +74,19 @@ def test_links_blocks_profile(spark):
     assert B.flag_blocked(pages).first()["is_blocked"]
     profile = {r["item"]: r["n"] for r in B.page_profile(pages, 'class="([^"]*)"', 5, ["card"]).collect()}
     assert profile["big"] == 1 and profile["price"] == 1
+
+
+def test_unclosed_tags_do_not_end_the_task(spark):
+    deep = "<div>" * 5_000 + '<article class="prd"><h3 class="name">Tief</h3><div class="prc">10 Dhs</div></article>'
+    (c,) = cards(spark, "jumia", deep)
+    assert (c["titre"], c["prixOffre"]) == ("Tief", 10.0)
+    items = '<ul>' + '<li class="x">a' * 5_000 + '</ul><article class="prd"><h3 class="name">B</h3><div class="prc">1 Dhs</div></article>'
+    (c,) = cards(spark, "jumia", items)
+    assert c["titre"] == "B"
+
+
+def test_a_list_item_ends_the_one_before():
+    page = B._Page("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table>")
+    depth = [len(list(n.walk())) for n in page.root.walk() if n.tag == "li"]
+    assert depth == [0, 0]
+    assert ["".join(n.texts()) for n in page.root.walk() if n.tag == "td"] == ["c", "d", "e"]

@@ -131,3 +131,26 @@ def test_anomaly_rules(spark):
     assert P.safe_alternatives(df).where("price_proposed = 50").select("alternative").orderBy("choice").collect() == [
         (85.0,), (75.0,), (60.0,)
     ]
+
+
+def test_a_tiny_discount_is_zero_and_not_missing(spark):
+    pct = lambda a, b: spark.range(1).select(discount_pct(F.lit(a), F.lit(b)).alias("y")).first()["y"]
+    assert pct(10000.0, 9999.9) == 0.0 and pct(10.0, 10.0) is None and pct(10.0, 12.0) is None
+
+
+def test_css_width_is_no_percent_rating(spark):
+    assert one(spark, "width:84", lambda c: T.percent_rating(c, css=False)) is None
+    assert one(spark, "width:84", T.percent_rating) == 4.2
+
+
+def test_offer_label_keeps_fifty_characters(spark):
+    rows = spark.createDataFrame(
+        [("1", "S", "Jeux", "x" * 60, 100.0, 4.0)], "id string, source string, category string, title_clean string, "
+        "price_initial double, rating double"
+    ).withColumn("price_offre", F.lit(None).cast("double"))
+    label = P.generate_offers(rows, 5, ["id"]).first()["product"]
+    assert label == "x" * 50 + "..."
+
+
+def test_accents_of_all_latin_letters(spark):
+    assert one(spark, "Żółw čaj İĞüş ßéñ é Ṽ", T.strip_accents) == "Zołw caj IGus ßen e V"

@@ -98,3 +98,34 @@ def test_french_title_order(spark):
     titles = ["Zèbre", "étui", "Eau", "écran", None, "abri"]
     rows = sort_title_fr(spark.createDataFrame([(t,) for t in titles], "title string")).collect()
     assert [r["title"] for r in rows] == [None, "abri", "Eau", "écran", "étui", "Zèbre"]
+
+
+def test_quantiles_of_a_heavy_tail_use_even_bands(spark):
+    values = [float(i % 300) / 100 for i in range(6_000)] + [10.0**k for k in range(3, 9)]
+    df = spark.createDataFrame([(1, v) for v in values], "k int, x double")
+    got = R.exact_quantiles(df, ["k"], "x", [0.0, 0.25, 0.5, 0.99, 1.0], bands=16).first()
+    assert [got[f"q{i}"] for i in range(5)] == pytest.approx(list(np.quantile(values, [0.0, 0.25, 0.5, 0.99, 1.0])))
+    known = df.groupBy("x").count()
+    cuts = known.agg(F.percentile_approx("x", [i / 16 for i in range(1, 16)], 800).alias("c"))
+    band = known.crossJoin(cuts).groupBy(F.size(F.filter("c", lambda c: c < F.col("x")))).count()
+    assert band.agg(F.max("count")).first()[0] <= 2 * known.count() / 16
+
+
+def test_distinct_offers_of_a_long_negotiation(spark):
+    rows = [(1, t, "AGENT" if t % 3 else "ACHETEUR", t % 40) for t in range(1_000)] + [(None, 5, "AGENT", 9), (2, 1, "AGENT", 0)]
+    df = spark.createDataFrame(rows, "negotiation long, turn long, sender string, price long")
+    got = {(r["negotiation"], r["price"]): r["position"] for r in E.distinct_agent_offers(df).collect()}
+    seen = {}
+    for n, t, who, p in rows:
+        if who == "AGENT" and p > 0:
+            seen.setdefault((n, p), t)
+    order = sorted((k for k in seen if k[0] == 1), key=lambda k: -seen[k])
+    assert got == {k: i + 1 for i, k in enumerate(order)} | {(None, 9): 1}
+
+
+def test_stratified_split_is_exact(spark):
+    from offerwell.operators.features import split
+
+    df = spark.range(1_000).selectExpr("id", "CASE WHEN id < 30 THEN 'rare' WHEN id < 990 THEN 'often' END AS kind")
+    held = split(df, ["id"], 0.2, strata=["kind"]).where("is_test").groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in held} == {"rare": 6, "often": 192, None: 2}
