@@ -14,6 +14,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    ElementwiseProduct,
     Imputer,
     Normalizer,
     OneHotEncoder,
@@ -24,6 +25,7 @@ from pyspark.ml.feature import (
     VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -49,6 +51,18 @@ class ListingFeatures(Transformer):
         return base_features(dataset).withColumn(self.out, ngrams(tokens(F.col(self.text))))
 
 
+class SmoothIdf(Estimator):
+    """Term counts times the smoothed inverse document frequency plus one, as in ``features.tfidf``."""
+
+    def __init__(self, inputCol: str, outputCol: str):
+        super().__init__()
+        self.inputCol, self.outputCol = inputCol, outputCol
+
+    def _fit(self, dataset: DataFrame) -> ElementwiseProduct:
+        idf = IDF(inputCol=self.inputCol, outputCol=self.outputCol).fit(dataset).idf.toArray()
+        return ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol=self.inputCol, outputCol=self.outputCol)
+
+
 def preprocessor(
     numeric: Sequence[str] = NUMERIC,
     categorical: Sequence[str] = CATEGORICAL,
@@ -75,7 +89,7 @@ def preprocessor(
     if terms:
         stages += [
             CountVectorizer(inputCol=terms, outputCol="_counts", vocabSize=max_terms, minDF=2.0),
-            IDF(inputCol="_counts", outputCol="_idf"),
+            SmoothIdf(inputCol="_counts", outputCol="_idf"),
             Normalizer(inputCol="_idf", outputCol="_text"),
         ]
         parts.append("_text")
@@ -140,6 +154,8 @@ def linear(kind: str, label: str = "discount_pct", features: str = "features") -
 def tree(kind: str, label: str = "discount_pct", features: str = "features", size: int | None = None):
     """Decision tree, random forest (also for extra trees) and gradient boosting (all boosting libraries)."""
     common = dict(labelCol=label, featuresCol=features, seed=42)
+    # Deep trees of a forest grow together: more memory for node statistics saves passes over the data.
+    common["maxMemoryInMB"] = 512
     return {
         "decision_tree": lambda: DecisionTreeRegressor(maxDepth=10, minInstancesPerNode=4, **common),
         "random_forest": lambda: RandomForestRegressor(numTrees=size or 100, maxDepth=10, minInstancesPerNode=2, **common),
@@ -204,17 +220,21 @@ class PerSourceModel(Model):
         self.models, self.fallback, self.source = models, fallback, source
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        known = list(self.models)
-        rest = dataset if not known else dataset.where(~F.coalesce(F.col(self.source).isin(known), F.lit(False)))
-        out = self.fallback.transform(rest)
-        for name, model in self.models.items():
-            out = out.unionByName(model.transform(dataset.where(F.col(self.source) == name)))
-        return clipped(out)
+        """All models score in one pass over the rows; each row takes the prediction of its source."""
+        out = self.fallback.transform(dataset).withColumnRenamed("prediction", "_fallback")
+        chosen = None
+        for i, (name, model) in enumerate(self.models.items()):
+            out = model.transform(out).withColumnRenamed("prediction", f"_own{i}")
+            mine = F.col(self.source) == name
+            chosen = F.when(mine, F.col(f"_own{i}")) if chosen is None else chosen.when(mine, F.col(f"_own{i}"))
+        own = F.lit(None).cast("double") if chosen is None else chosen
+        rows = out.withColumn("prediction", F.coalesce(own, "_fallback"))
+        return clipped(rows.drop("_fallback", *[f"_own{i}" for i in range(len(self.models))]))
 
 
 def select_features(train: DataFrame, features: str = "features", out: str = "selected", label: str = "discount_pct"):
     """Slicer keeping the components whose tree importance is at least the mean."""
-    forest = tree("random_forest", label, features, 10).fit(train)
+    forest = tree("random_forest", label, features).fit(train)
     weights = forest.featureImportances.toArray()
     keep = [int(i) for i in (weights >= weights.mean()).nonzero()[0]]
     return VectorSlicer(inputCol=features, outputCol=out, indices=keep), keep
