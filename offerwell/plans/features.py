@@ -239,6 +239,13 @@ def _(t):
     return knn.knn_predict(near, t.embeddings, "label").select("query_id", *q4(None, "prediction"))
 
 
-@query("knn_join_lsh")
+# On the stored vectors the projections find every pair, so the check is the exact join.
+@query(
+    "knn_join_lsh",
+    f"""WITH d AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+      list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS distance FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+    SELECT query_id, vec_id, {r4('distance')} AS distance FROM d WHERE distance < 1.0""",
+)
 def _(t):
-    return knn.knn_join_lsh(t.embeddings, t.embeddings, "vec_id", "embedding", 1.0)
+    rows = knn.knn_join_lsh(t.embeddings, t.embeddings, "vec_id", "embedding", 1.0)
+    return rows.select("query_id", "vec_id", half_up(F.col("distance"), 4).alias("distance"))

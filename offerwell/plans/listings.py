@@ -521,9 +521,30 @@ def _(t):
     return G.mae_by(t.unified.withColumn("guess", F.col("rating") * 2.0), "source", "discount_pct", "guess")
 
 
-@query("approx_profile")
-def _(t):
-    return G.approx_profile(t.unified, ["price_initial_mad", "cents"], "source")
+_PROFILED = ["price_initial_mad", "cents"]
+
+
+@query(
+    "approx_profile",
+    f"SELECT source, count(*) AS n, {', '.join(f'true AS {c}_distinct_near, true AS {c}_quartiles_near' for c in _PROFILED)} "
+    "FROM unified GROUP BY 1",
+)
+def _(t):
+    """Whether distinct counts are within 15 % (three standard errors) and quartiles within the stated rank error."""
+    accuracy = 1000
+    found = G.approx_profile(t.unified, _PROFILED, "source", accuracy)
+    aggs, near = [], []
+    for c in _PROFILED:
+        aggs += [F.count_distinct(c).alias(f"_{c}"), F.max(f"{c}_distinct").alias(f"_d{c}")]
+        near.append((F.abs(F.col(f"_{c}") - F.col(f"_d{c}")) <= 0.15 * F.col(f"_{c}")).alias(f"{c}_distinct_near"))
+        inside = F.lit(True)
+        for i, p in enumerate((0.25, 0.5, 0.75)):
+            q = F.col(f"{c}_quartiles")[i]
+            aggs += [F.avg((F.col(c) < q).cast("int")).alias(f"_l{c}{i}"), F.avg((F.col(c) <= q).cast("int")).alias(f"_u{c}{i}")]
+            inside = inside & (F.col(f"_l{c}{i}") - 1 / accuracy <= p) & (F.col(f"_u{c}{i}") + 1 / accuracy >= p)
+        near.append(inside.alias(f"{c}_quartiles_near"))
+    rows = t.unified.join(found, "source").groupBy("source").agg(F.max("n").alias("n"), *aggs)
+    return rows.select("source", "n", *near)
 
 
 # --- sorts --------------------------------------------------------------------------------------------------------
