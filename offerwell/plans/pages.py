@@ -240,15 +240,28 @@ def _(t):
     return _shown(t.spark.read.parquet(_written(t, "parquet"))).select(K.FINAL_COLUMNS)
 
 
-@query(
-    "write_metrics",
-    f"""SELECT source, count(*) AS n, {r4('avg(abs(discount_pct - rating*2.0))')} AS mae FROM unified
-    WHERE discount_pct IS NOT NULL AND rating IS NOT NULL GROUP BY 1""",
-)
+@query("write_clean_json", _CLEAN_SQL)
 def _(t):
+    return _shown(A.read_clean_json(t.spark, _written(t, "json")))
+
+
+_METRICS_SQL = f"""SELECT source, count(*) AS n, {r4('avg(abs(discount_pct - rating*2.0))')} AS mae FROM unified
+    WHERE discount_pct IS NOT NULL AND rating IS NOT NULL GROUP BY 1"""
+
+
+def _metric_files(t):
     known = t.unified.where("discount_pct IS NOT NULL AND rating IS NOT NULL")
     rows = known.groupBy("source").agg(
         F.count("*").alias("n"), half_up(F.avg(F.abs(F.col("discount_pct") - F.col("rating") * 2.0)), 4).alias("mae")
     )
-    paths = A.write_metrics(rows, work_dir(t.spark, "metrics"))
-    return t.spark.read.schema("source string, n bigint, mae double").json(paths["json"])
+    return A.write_metrics(rows, work_dir(t.spark, "metrics"))
+
+
+@query("write_metrics", _METRICS_SQL)
+def _(t):
+    return t.spark.read.schema("source string, n bigint, mae double").json(_metric_files(t)["json"])
+
+
+@query("write_metrics_csv", _METRICS_SQL)
+def _(t):
+    return t.spark.read.schema("source string, n bigint, mae double").option("header", True).csv(_metric_files(t)["csv"])

@@ -8,6 +8,7 @@ from offerwell.functions.numbers import half_up
 from offerwell.operators.negotiation import first_bids
 from offerwell.plans.negotiation import _replay_sql, scaled_bids
 from offerwell.plans.registry import query, r2
+from offerwell.session import work_dir
 from offerwell.sources.views import AUDIT, OFFER, STORED, _items
 from offerwell.streaming import jobs as S
 
@@ -137,9 +138,18 @@ def _(t):
     return S.late_rows(t.events, "10 DAYS").select("event_id", "is_late")
 
 
-@query("stream_late_split", "SELECT event_id, false AS is_late FROM events")
+# Four files, one micro-batch each: every fourth event, so that all but the first batch hold rows behind the time reached.
+@query(
+    "stream_late_split",
+    """WITH m AS (SELECT event_id % 4 AS part, max(ts) AS reached FROM events GROUP BY 1)
+    SELECT event_id, coalesce(ts < (SELECT max(reached) FROM m WHERE part < event_id % 4) - INTERVAL 10 DAY, false) AS is_late FROM events""",
+)
 def _(t):
-    return S.late_split(events(t), "10 DAYS", "late").select("event_id", "is_late")
+    path = work_dir(t.spark, "late-parts")
+    for i in range(4):
+        t.events.where(F.col("event_id") % 4 == i).coalesce(1).write.mode("append").parquet(path)
+    parts = S.read_files(t.spark, path, STORED["events"], "*.parquet", 1).withColumn("ts", F.col("ts").cast("timestamp"))
+    return S.late_split(parts, "10 DAYS", "late").select("event_id", "is_late")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from offerwell.operators.normalise import normalise
 from offerwell.sources import listings as A
 
@@ -14,7 +16,7 @@ def test_raw_array_file(spark, tmp_path):
     ]
     path = tmp_path / "a.json"
     path.write_text(json.dumps(records, ensure_ascii=False, indent=2), encoding="utf-8")
-    rows = {r["link"]: r for r in normalise(A.read_raw(spark, str(path)), "amazon", "2026-04-01").collect()}
+    rows = {r["link"]: r for r in normalise(A.read_raw(spark, str(path), multiline=True), "amazon", "2026-04-01").collect()}
     a, b, c = rows["l1"], rows["l2"], rows["l3"]
     assert (a["title_clean"], a["price_initial"], a["price_offre"], a["discount_pct"]) == ("TV 55", 1715.06, 1500.0, 12.0)
     assert (a["location"], a["offre_type"], str(a["date"])) == ("Amazon.fr", "pourcentage", "2026-03-29")
@@ -37,3 +39,12 @@ def test_clean_csv_with_byte_order_mark(spark, tmp_path):
     path.write_text("﻿" + ",".join(FINAL_COLUMNS) + "\n" + quoted + "\n", encoding="utf-8")
     row = A.read_clean_csv(spark, str(path)).first()
     assert (row["title_clean"], row["price_initial"], row["price_initial_mad"], row["is_duplicate"]) == ('x "y", z', 1.5, None, False)
+
+
+def test_line_breaks_do_not_break_clean_csv(spark, tmp_path):
+    from offerwell.constants import FINAL_COLUMNS
+
+    cells = [F.lit("a\r\nb").alias(c) if c == "title_clean" else F.lit(None).cast(A.CLEAN_TYPES.get(c, "string")).alias(c) for c in FINAL_COLUMNS]
+    paths = A.write_clean(spark.range(3).select(*cells), str(tmp_path / "out"))
+    assert [r["title_clean"] for r in A.read_clean_csv(spark, paths["csv"]).collect()] == ["a b"] * 3
+    assert [r["title_clean"] for r in A.read_clean_json(spark, paths["json"]).collect()] == ["a\r\nb"] * 3
