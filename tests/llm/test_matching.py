@@ -83,15 +83,33 @@ def near_rows():
     return list(enumerate(texts))
 
 
-def test_near_duplicates_equal_brute_force(docs):
+@pytest.mark.parametrize("block", [near_dup.BLOCK_ROWS, 4])
+def test_near_duplicates_equal_brute_force(docs, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", block)
     rows = near_rows()
-    random.Random(1).shuffle(rows)
-    rows.sort(key=lambda r: r[0])
     got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dup.near_duplicates(docs(rows)).collect()}
     want = classes(rows)
     assert got == {i: (want[i], want[i] == i) for i, _ in rows}
 
 
+@pytest.mark.parametrize("block", [near_dup.BLOCK_ROWS, 3])
+def test_chains_of_near_copies(docs, monkeypatch, block):
+    """Neighbours are similar, the ends are not, and the first member of a bucket often is too far away."""
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", block)
+    rng = random.Random(7)
+    rows = []
+    for c in range(3):
+        words = sentence(rng, 120)
+        for i in range(14):
+            rows.append((100 * c + (i * 5) % 14, " ".join(words)))
+            words = list(words)
+            words[(i * 9 + 4) % 120] = f"n{c}-{i}"
+    rows.sort()
+    want = classes(rows)
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs(rows)).collect()}
+    assert got == {rows[k][0]: rows[want[k]][0] for k in range(len(rows))}
+
+
 def test_near_duplicates_edge_rows(docs):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "a b c d e f"), (4, None)]
     got = sorted(map(tuple, near_dup.near_duplicates(docs(rows)).collect()), key=str)
