@@ -231,30 +231,6 @@ class ByteBpe:
         return tx.text_from_bytes(data, np.concatenate([[0], np.cumsum(size)])[bounds])
 
 
-_MADE: dict[int, ByteBpe] = {}
-
-
-def _coder(shared) -> ByteBpe:
-    """One coder for each broadcast tokenizer in a worker, so that its caches outlive a task."""
-    if shared.id not in _MADE:
-        _MADE.clear()
-        _MADE[shared.id] = ByteBpe(shared.value)
-    return _MADE[shared.id]
-
-
-class _Shared:
-    """A broadcast value with an identity that is the same in every task."""
-
-    def __init__(self, spark, value):
-        import uuid
-
-        self.id, self.broadcast = uuid.uuid4().hex, spark.sparkContext.broadcast(value)
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-
 def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """``docs`` with the columns ids (array of ids of the whole text) and decoded (the text of these ids).
 
@@ -262,10 +238,10 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
     has no ids and an empty decoded text. Rows are independent: repeated rows and ties give equal results, an empty table gives
     an empty table, extra columns pass through (columns named ids or decoded are replaced).
     """
-    shared = _Shared(docs.sparkSession, tx.read_tokenizer(tokenizer))
+    shared = tx.Shared(docs.sparkSession, tx.read_tokenizer(tokenizer))
 
     def run(text):
-        coder = _coder(shared)
+        coder = tx.made(shared, ByteBpe)
         ids, bounds = coder.encode(tx.text_array(text))
         return [tx.list_array(pa.array(ids.astype(np.int32)), bounds), coder.decode(ids, bounds)]
 

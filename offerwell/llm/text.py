@@ -7,11 +7,12 @@ Python worker does not depend on the number of rows in a batch or partition.
 from __future__ import annotations
 
 import json
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,6 +157,24 @@ class Cache:
         return found
 
 
+class Shared:
+    """A broadcast value with an identity that is the same in every task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.id, self.broadcast = uuid.uuid4().hex, spark.sparkContext.broadcast(value)
+
+
+_MADE: dict[str, object] = {}
+
+
+def made(shared: Shared, make):
+    """``make`` of the shared value, once per worker, so that its caches outlive a task."""
+    if shared.id not in _MADE:
+        _MADE.clear()
+        _MADE[shared.id] = make(shared.broadcast.value)
+    return _MADE[shared.id]
+
+
 def read_tokenizer(path: str) -> dict:
     """The tokenizer file as a dictionary; read once on the driver and sent to the tasks (a few MB at most)."""
     with open(path, encoding="utf-8") as f:

@@ -12,7 +12,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from offerwell.llm import text as tx
-from offerwell.llm.bpe import _Shared
 
 
 class LongestMatch:
@@ -74,16 +73,6 @@ class WordCounts:
         self.words = tx.Cache(lambda found: [self.automaton.count(b" " + w) for w in found])
 
 
-_MADE: dict[str, WordCounts] = {}
-
-
-def _counter(shared) -> WordCounts:
-    if shared.id not in _MADE:
-        _MADE.clear()
-        _MADE[shared.id] = WordCounts(shared.value)
-    return _MADE[shared.id]
-
-
 def count_pieces(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_pieces and n_unknown of the whole text.
 
@@ -92,12 +81,12 @@ def count_pieces(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFra
     word that has no such split counts as one unknown piece. A null or empty text has zeros. Rows are independent, so repeated rows
     give equal results and an empty table an empty one; extra columns pass through unless they bear a result's name.
     """
-    shared = _Shared(docs.sparkSession, tx.read_tokenizer(tokenizer))
+    shared = tx.Shared(docs.sparkSession, tx.read_tokenizer(tokenizer))
 
     def run(text):
         values, bounds = tx.words(tx.text_array(text))
         codes, distinct = tx.coded(values)
-        found = np.array(_counter(shared).words.many(distinct), np.int64)[codes] if distinct else np.empty(0, np.int64)
+        found = np.array(tx.made(shared, WordCounts).words.many(distinct), np.int64)[codes] if distinct else np.empty(0, np.int64)
         totals = [np.concatenate([[0], np.cumsum(x)])[bounds] for x in (np.abs(found), found < 0)]
         return [pa.array(np.diff(b).astype(np.int64)) for b in (bounds, *totals)]
 

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerwell.llm import text as tx
-from offerwell.llm.bpe import _Shared
 
 SAMPLE = 256
 SEGMENT = (
@@ -108,16 +107,6 @@ class LibraryEncoder:
         return ids, np.concatenate([[0], np.cumsum(size[codes])])[bounds]
 
 
-_MADE: dict[str, LibraryEncoder] = {}
-
-
-def _encoder(shared) -> LibraryEncoder:
-    if shared.id not in _MADE:
-        _MADE.clear()
-        _MADE[shared.id] = LibraryEncoder(shared.value)
-    return _MADE[shared.id]
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, key: str = "doc_id", text: str = "text") -> None:
     """Write the ids of all whole texts, each followed by ``end_id``, in ascending order of ``key`` below ``path``.
 
@@ -126,10 +115,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, ke
     ordered by their text. Other columns are not read. An empty table gives an empty store.
     """
     spark = docs.sparkSession
-    shared = _Shared(spark, tx.read_tokenizer(tokenizer))
+    shared = tx.Shared(spark, tx.read_tokenizer(tokenizer))
 
     def run(batches):
-        encoder, part, seq, base = _encoder(shared), TaskContext.get().partitionId(), 0, 0
+        encoder, part, seq, base = tx.made(shared, LibraryEncoder), TaskContext.get().partitionId(), 0, 0
         width = 2 if max(encoder.tokenizer.get_vocab_size(True) - 1, end_id) < 1 << 16 else 4
         for batch in batches:
             for rows in tx.slices(batch, 1):
