@@ -7,9 +7,9 @@ lowest rank is kept; the rank limit follows from the document's weight, so a sig
 text. Two documents agree on a coordinate with a probability that is their weighted Jaccard similarity.
 
 Bands of the signature are joined. Documents with equal word sequences are one class before that, so copies never meet in a bucket; in a
-bucket every member is compared with the bucket's first member, and only buckets that still hold several classes go on, with
-more leading members in each round, until all pairs of different classes in them are decided. Each candidate pair is decided
-exactly on its shingles.
+bucket every member is compared with the bucket's first member, so a group of near copies costs one comparison for each of them and band.
+Buckets that still hold several classes are decided block by block: their documents are ordered and cut into blocks of bounded size, and
+blocks of one loose group are compared inside a task. Links are decided exactly on the shingles.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwell.llm import text as tx
@@ -191,47 +191,153 @@ def near_duplicates(
     first = usable.groupBy("print").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min_by("bands", "id").alias("bands"))
     first = cut_lineage(first, "texts")  # one document of each word sequence
     spread = first.select("id", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    members = cut_lineage(spread.join(shared.select("bucket"), "bucket"), "buckets")
+    shared = spread.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
+    members = cut_lineage(spread.join(cut_lineage(shared, "shared"), "bucket"), "buckets")
     wanted = members.select("id").distinct()
     texts = plain.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     elements = tx.attach(texts, _elements, "elements array<bigint>", text="text").select("id", "elements")
     elements = cut_lineage(elements, "elements")
-    labels = _classes(members, elements, threshold)
+    labels = _classes(members, elements, threshold, bands, rows)
     named = first.select("print", "id").join(labels, "id", "left")
     named = named.select("print", F.coalesce("component", "id").alias("component"))
-    out = signed.select("id", "print").join(named, "print", "left")
+    out = signed.select("id", "print").join(cut_lineage(named, "named"), "print", "left")
     out = out.select("id", F.coalesce("component", "id").alias("class_id"))
     return out.select(F.col("id").alias(key), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
-def _classes(members: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+def _similar(a, b, threshold: float):
+    both = F.size(F.array_intersect(a, b))
+    return both >= threshold * (F.size(a) + F.size(b) - both)
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, id, label) of the buckets that hold documents of several classes."""
+    named = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("label"))
+    state = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    state = cut_lineage(state.where("low < high").select("bucket"), "open-buckets")
+    return cut_lineage(named.join(state, "bucket"), "open")
+
+
+def _classes(members: DataFrame, elements: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
     """(id, component) over the links of documents that share a bucket."""
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    tested, labels, leaders = links, spark.createDataFrame([], "id bigint, component bigint"), 1
-    while True:
-        named = members.join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("label"))
-        state = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        named = cut_lineage(named.join(state.where("low < high").select("bucket"), "bucket"), "open")
-        if named.isEmpty():
-            return labels
-        order = Window.partitionBy("bucket").orderBy("id")
-        lead = named.withColumn("at", F.row_number().over(order)).where(F.col("at") <= leaders).drop("at")
-        lead = cut_lineage(lead, "leaders")
-        first = lead.select("bucket", F.col("id").alias("a"), F.col("n").alias("m"), F.col("label").alias("other"))
-        close = F.least("n", "m") >= threshold * F.greatest("n", "m")  # no pair of other sizes can reach the threshold
-        pairs = named.join(first, "bucket").where((F.col("a") < F.col("id")) & (F.col("label") != F.col("other")) & close)
-        pairs = pairs.select("a", F.col("id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs, "pairs")
-        left, right = elements.toDF("a", "x"), elements.toDF("b", "y")
-        both = F.size(F.array_intersect("x", "y"))
-        similar = both >= threshold * (F.size("x") + F.size("y") - both)
-        found = cut_lineage(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "found")
-        if not found.isEmpty():
-            links = links.unionAll(found)
-            labels = components(links)
-        tested = tested.unionAll(pairs)
-        # All pairs of a leader are decided now. Fewer than 1,000 leaders let Spark cut the ranking before its shuffle.
-        members = named.select("bucket", "id", "n").join(lead.select("bucket", "id"), ["bucket", "id"], "left_anti")
-        leaders = min(leaders * 4, 512)
+    leaders = cut_lineage(members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("x")).select("bucket", "x.*"), "leaders")
+    leaders = leaders.toDF("bucket", "a", "m")
+    close = F.least("n", "m") >= threshold * F.greatest("n", "m")  # no pair of other sizes can reach the threshold
+    pairs = members.join(leaders, "bucket").where((F.col("a") < F.col("id")) & close).select("a", F.col("id").alias("b")).distinct()
+    both = cut_lineage(pairs, "pairs").join(elements.toDF("a", "x"), "a").join(elements.toDF("b", "y"), "b")
+    links = cut_lineage(both.where(_similar("x", "y", threshold)).select("a", "b"), "links")
+    labels = components(links)
+    left = _open(members, labels)
+    if left.isEmpty():
+        return labels
+    loose = components(left.join(left.groupBy("bucket").agg(F.min("id").alias("a")), "bucket").select("a", F.col("id").alias("b")))
+    more = _block_links(left, loose, elements, threshold, bands, rows)
+    return components(links.unionAll(more))
+
+
+BLOCK_ROWS = 256
+BLOCK = "block bigint, ids binary, labels binary, keys binary, sketch binary, sizes binary, elements binary"
+PARTS = [("ids", "<i8"), ("labels", "<i8"), ("keys", "<i8"), ("sketch", "u1"), ("sizes", "<i8"), ("elements", "<i8")]
+
+
+def _block_links(left: DataFrame, loose: DataFrame, elements: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """Links between documents of different classes that share a bucket of ``left``, found block by block.
+
+    Documents are dealt into blocks of about ``BLOCK_ROWS``: small loose groups (what buckets connect) whole, large groups by class, large classes by
+    id. Only blocks of one group meet, and blocks that hold one and the same class of it do not; a block pair returns
+    links that join its classes, not its pairs.
+    """
+    spark = left.sparkSession
+    docs = cut_lineage(left.select("id", "label").distinct().join(loose.toDF("id", "grp"), "id"), "loose")
+    groups = cut_lineage(docs.groupBy("grp").agg(F.count("*").alias("in_group")), "groups")
+    classes = cut_lineage(docs.groupBy("grp", "label").agg(F.count("*").alias("in_class")), "group-classes")
+    small, each = max(1, math.ceil(docs.count() / BLOCK_ROWS)), float(BLOCK_ROWS)
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.ceil(F.col(n) / each))
+    block = (
+        F.when(F.col("in_group") <= BLOCK_ROWS // 4, F.xxhash64(F.lit("s"), F.pmod(F.xxhash64("grp"), F.lit(small))))
+        .when(F.col("in_class") > BLOCK_ROWS // 2, F.xxhash64(F.lit("c"), "grp", "label", deal("id", "in_class")))
+        .otherwise(F.xxhash64(F.lit("g"), "grp", deal("label", "in_group")))
+    )
+    docs = docs.join(groups, "grp").join(classes, ["grp", "label"]).withColumn("block", block)
+    docs = cut_lineage(docs.select("block", "grp", "label", "id"), "dealt")
+    made = docs.join(elements, "id").select("block", "label", "id", "elements").groupBy("block").applyInArrow(_block(bands, rows), BLOCK)
+    blocks = cut_lineage(made, "blocks")
+    spots = cut_lineage(docs.groupBy("block", "grp").agg(F.min("label").alias("low"), F.max("label").alias("high")), "spots")
+    a, b = (spots.select(*[F.col(c).alias(f"{c}_{s}") for c in ("block", "low", "high")], "grp") for s in ("a", "b"))
+    several = "NOT (low_a = high_a AND low_b = high_b AND low_a = low_b)"
+    pairs = cut_lineage(a.join(b, "grp").where(f"block_a <= block_b AND {several}").select("block_a", "block_b").distinct(), "block-pairs")
+    for s in ("a", "b"):
+        body = blocks.select(F.col("block").alias(f"block_{s}"), *[F.col(c).alias(f"{c}_{s}") for c, _ in PARTS])
+        pairs = pairs.join(body, f"block_{s}")
+    names = ["block_a", "block_b", *[f"{c}_{s}" for s in ("a", "b") for c, _ in PARTS]]
+    return cut_lineage(pairs.select(names).mapInArrow(_compare(threshold, bands, rows), "a bigint, b bigint"), "block-links")
+
+
+def _block(bands: int, rows: int):
+    """One row with the packed documents of a block and their signatures, which follow from the elements."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lists = table.column("elements").chunk(0)
+        sizes = np.diff(np.asarray(lists.offsets)).astype(np.int64)
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sign = signatures(np.repeat(np.arange(len(sizes)), sizes), flat.view(np.uint64), sizes, bands * rows)
+        ids, labels = (table.column(c).to_numpy().astype(np.int64) for c in ("id", "label"))
+        data = [ids, labels, band_keys(sign, bands, rows), sign.astype(np.uint8), sizes, flat]
+        packed = {c: pa.array([x.tobytes()], pa.binary()) for (c, _), x in zip(PARTS, data)}
+        return pa.table({"block": table.column("block").slice(0, 1).combine_chunks()} | packed)
+
+    return run
+
+
+def _compare(threshold: float, bands: int, rows: int):
+    """Links that join classes of two blocks: candidates share a band key and are decided exactly, the likeliest first.
+
+    Candidates whose signatures agree on fewer coordinates than a pair at the threshold has within five standard deviations are not decided.
+    """
+    k = bands * rows
+    least = threshold - 5 * math.sqrt(threshold * (1 - threshold) / k)
+
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = {name: batch.column(i)[r].as_py() for i, name in enumerate(batch.schema.names)}
+                same = row["block_a"] == row["block_b"]
+                (ids, label, key, sketch, size, flat), (ids_b, label_b, key_b, sketch_b, size_b, flat_b) = (
+                    [np.frombuffer(row[f"{c}_{s}"], kind) for c, kind in PARTS] for s in ("a", "b")
+                )
+                key, key_b = key.reshape(-1, bands), key_b.reshape(-1, bands)
+                share = np.zeros((len(ids), len(ids_b)), bool)
+                for j in range(bands):
+                    share |= key[:, j][:, None] == key_b[:, j][None, :]
+                share &= label[:, None] != label_b[None, :]
+                share &= np.minimum(size[:, None], size_b[None, :]) >= threshold * np.maximum(size[:, None], size_b[None, :])
+                p, q = np.nonzero(np.triu(share) if same else share)
+                agree = np.zeros(len(p))
+                x, y = sketch.reshape(-1, k), sketch_b.reshape(-1, k)
+                for i in range(0, len(p), 4096):
+                    agree[i : i + 4096] = (x[p[i : i + 4096]] == y[q[i : i + 4096]]).mean(axis=1)
+                start, start_b = np.cumsum(size) - size, np.cumsum(size_b) - size_b
+                parent, found = {}, []
+
+                def root(n):
+                    while parent.get(n, n) != n:
+                        n = parent[n]
+                    return n
+
+                for i in np.argsort(-agree, kind="stable"):
+                    if agree[i] < least:
+                        break
+                    m, n = int(p[i]), int(q[i])
+                    one, other = root(int(label[m])), root(int(label_b[n]))
+                    if one == other:
+                        continue
+                    u, v = flat[start[m] : start[m] + size[m]], flat_b[start_b[n] : start_b[n] + size_b[n]]
+                    both = len(np.intersect1d(u, v))
+                    if both >= threshold * (len(u) + len(v) - both):
+                        parent[max(one, other)] = min(one, other)
+                        found.append((int(ids[m]), int(ids_b[n])))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    return run
