@@ -65,7 +65,25 @@ def _(spark, folder):
     return rows.select("doc_id", "text_score", "page_score", "bad_score", "rejected")
 
 
-@query("op6_suffix_array_matches")
+# The check knows windows of ten words only: every stored item has more.
+@query(
+    "op6_suffix_array_matches",
+    r"""
+    WITH t AS (SELECT 'd' AS side, doc_id::VARCHAR AS id, text FROM documents UNION ALL SELECT 'b', item_id::VARCHAR, text FROM benchmark),
+    w AS (SELECT side, id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM (SELECT side, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM t)),
+    s AS (SELECT *, count(*) OVER ahead AS n, string_agg(word, ' ') OVER ahead AS span FROM w
+        WINDOW ahead AS (PARTITION BY side, id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)),
+    i AS (SELECT span, list(DISTINCT id) AS items FROM s WHERE side = 'b' AND n = 10 GROUP BY 1),
+    r AS (SELECT s.*, items, max(CASE WHEN items IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY pos
+        ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS hit FROM s LEFT JOIN i ON s.span = i.span AND s.n = 10 WHERE side = 'd'),
+    g AS (SELECT id, count(*) AS n_words, sum(hit)::BIGINT AS n_hit, list_sort(list_distinct(flatten(list(items) FILTER (items IS NOT NULL)))) AS found
+        FROM r GROUP BY 1)
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(found), 0)::BIGINT AS n_items,
+           sha256(coalesce(array_to_string(found, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM documents LEFT JOIN g ON g.id = doc_id::VARCHAR
+    """,
+)
 def _(spark, folder):
     found = decontaminate.match_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
     ids = F.array_sort(F.array_distinct(F.col("matches.item_id")))
@@ -150,7 +168,21 @@ def _(spark, folder):
     )
 
 
-@query("op10_seed_and_extend")
+@query(
+    "op10_seed_and_extend",
+    r"""
+    WITH w AS (SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)),
+    s AS (SELECT *, CASE WHEN count(*) OVER ahead = 50 THEN md5(string_agg(word, ' ') OVER ahead) END AS span FROM w
+        WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+    f AS (SELECT span, min(doc_id) AS first FROM s WHERE span IS NOT NULL GROUP BY 1),
+    r AS (SELECT s.*, coalesce(max(CASE WHEN first < doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos
+        ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone FROM s LEFT JOIN f USING (span))
+    SELECT doc_id, count(word) AS n_words, coalesce(sum(gone), 0)::BIGINT AS n_removed,
+           sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0), '')) AS kept_sha256
+    FROM documents LEFT JOIN r USING (doc_id) GROUP BY 1
+    """,
+)
 def _(spark, folder):
     rows = repeats.remove_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
