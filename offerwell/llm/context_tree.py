@@ -23,9 +23,9 @@ from offerwell.llm import text as tx
 from offerwell.session import cut_lineage
 
 DEPTH = 5
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 GROUP_GRAMS = 1 << 16
-SLICE = 3 << 20
+SLICE = 1 << 20
 HALF = math.log(0.5)
 END = 0xFF  # never a byte of UTF-8
 
@@ -40,9 +40,9 @@ def grams(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     padded[np.arange(len(data)) + text * (depth + 1) + depth] = lower[data]
     ends = np.cumsum(size + depth + 1) - 1
     padded[ends] = END
-    out = np.zeros(len(padded) - depth, np.uint64)
-    for i in range(depth + 1):
-        out |= padded[depth - i : len(padded) - i].astype(np.uint64) << np.uint64(8 * i)
+    buffer = np.concatenate([np.zeros(8, np.uint8), padded])
+    last = np.ndarray((len(padded),), ">u8", buffer, offset=1, strides=(1,))  # the eight bytes up to each position
+    out = last[depth:].astype(np.uint64) & np.uint64((1 << 8 * (depth + 1)) - 1)
     return out[_inside(size, depth)], np.repeat(np.arange(len(size)), size + 1)
 
 
@@ -117,57 +117,65 @@ class Levels:
         return p
 
 
-def _count(depth: int):
-    """Distinct grams and words of a partition with their training counts; the empty word is the end of a text."""
+HELD = 1 << 20  # grams or words that a task gathers before it hands them on
+
+
+def _parts(batches):
+    for batch in batches:
+        for part in tx.slices(batch, 0, SLICE):
+            yield tx.text_array(part.column(0)), part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _count_grams(depth: int):
+    """Distinct grams of a partition with their training counts (0 where only other documents have them)."""
+
+    def merged(parts):
+        gram, count = (np.concatenate(x) for x in zip(*parts))
+        gram, at = np.unique(gram, return_inverse=True)
+        return gram, np.bincount(at, count, len(gram)).astype(np.int64)
+
+    def rows(gram, count):
+        return pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(count)], names=["gram", "n"])
 
     def run(batches):
-        held_grams, grams_n, held_words = [], 0, {}
-
-        def flush():
-            if held_grams:
-                gram, count = (np.concatenate(x) for x in zip(*held_grams))
-                gram, at = np.unique(gram, return_inverse=True)
-                held_grams[:] = [(gram, np.bincount(at, count, len(gram)).astype(np.int64))]
-
-        def out():
-            flush()
-            for gram, count in held_grams:
-                yield _rows(gram.astype(np.int64), None, count)
-            held_grams.clear()
-            yield _rows(None, list(held_words), np.fromiter(held_words.values(), np.int64, len(held_words)))
-            held_words.clear()
-
-        for batch in batches:
-            for part in tx.slices(batch, 0, SLICE):
-                train = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                texts = tx.text_array(part.column(0))
-                gram, text = grams(texts, depth)
-                for use in (True, False):
-                    found, n = np.unique(gram[train[text] == use], return_counts=True)
-                    held_grams.append((found, n if use else np.zeros(len(n), np.int64)))
-                    grams_n += len(found)
-                values, bounds = tx.words(texts, tx.LOWER)
-                codes, distinct = tx.coded(values)
-                weight = np.repeat(train.astype(np.float64), np.diff(bounds))
-                for w, n in zip(distinct, np.bincount(codes, weight, len(distinct)).astype(np.int64).tolist()):
-                    held_words[w] = held_words.get(w, 0) + n
-                held_words[b""] = held_words.get(b"", 0) + int(train.sum())
-                if grams_n > 1 << 21:
-                    flush()
-                    grams_n = len(held_grams[0][0])
-                if grams_n > 1 << 20 or len(held_words) > 1 << 20:
-                    yield from out()
-                    grams_n = 0
-        yield from out()
+        held, size = [], 0
+        for texts, train in _parts(batches):
+            gram, text = grams(texts, depth)
+            for use in (True, False):
+                found, n = np.unique(gram[train[text] == use], return_counts=True)
+                held.append((found, n if use else np.zeros(len(n), np.int64)))
+                size += len(found)
+            if size > 2 * HELD:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > HELD:
+                    yield rows(*held[0])
+                    held, size = [], 0
+        if held:
+            yield rows(*merged(held))
 
     return run
 
 
-def _rows(gram, word, count) -> pa.RecordBatch:
-    n = len(count)
-    gram = pa.nulls(n, pa.int64()) if gram is None else pa.array(gram)
-    word = pa.nulls(n, pa.binary()) if word is None else pa.array(word, pa.binary())
-    return pa.RecordBatch.from_arrays([gram, word, pa.array(count)], names=["gram", "word", "n"])
+def _count_words(batches):
+    """Distinct words of a partition with their training counts; the empty word is the end of a text."""
+    held: dict[bytes, int] = {}
+
+    def rows():
+        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+        held.clear()
+        return out
+
+    for texts, train in _parts(batches):
+        values, bounds = tx.words(texts, tx.LOWER)
+        codes, distinct = tx.coded(values)
+        weight = np.repeat(train.astype(np.float64), np.diff(bounds))
+        for w, n in zip(distinct, np.bincount(codes, weight, len(distinct)).astype(np.int64).tolist()):
+            held[w] = held.get(w, 0) + n
+        held[b""] = held.get(b"", 0) + int(train.sum())
+        if len(held) > HELD:
+            yield rows()
+    yield rows()
 
 
 def _arrays(table: pa.Table, *names):
@@ -219,10 +227,10 @@ def _top(second: DataFrame):
 def fit(rows: DataFrame, depth: int):
     """(gram table with the log10 probability of each, word table with training counts) of (text, train) rows."""
     spark = rows.sparkSession
-    counted = cut_lineage(rows.select("text", "train").mapInArrow(_count(depth), "gram bigint, word binary, n bigint"), "counted")
-    by_gram = counted.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n"))
+    plain = rows.select("text", "train")
+    by_gram = plain.mapInArrow(_count_grams(depth), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     by_gram = cut_lineage(by_gram, "grams")
-    by_word = counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
+    by_word = plain.mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     by_word = cut_lineage(by_word, "words")
     groups = max(1, by_gram.count() // GROUP_GRAMS)  # a group holds whole two-byte contexts
     dealt = by_gram.withColumn("g", F.pmod(F.xxhash64(F.col("gram").bitwiseAND(F.lit(0xFFFF00))), F.lit(groups)))
