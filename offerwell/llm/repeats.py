@@ -141,12 +141,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     rows = docs.select("d", "text", "v").where("v IS NOT NULL")
     found = cut_lineage(rows.mapInArrow(_find_anchors(length), "a bigint, c bigint, d bigint, at bigint, l smallint, n smallint"), "anchors")
+    # Written first, like the other sides below: a join of two plain exchanges is one whose hot keys Spark can split.
     repeated = found.groupBy("a").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").select("a")
+    repeated = cut_lineage(repeated, "repeated")
     seen = cut_lineage(found.join(repeated, "a"), "seeds")
     contexts = seen.groupBy("a", "c").agg(
         F.min("d").alias("d"), F.min_by("at", "d").alias("at"), F.first("l").alias("l"), F.first("n").alias("n")
     )
-    many = contexts.groupBy("a").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    contexts = cut_lineage(contexts, "contexts")
+    many = cut_lineage(contexts.groupBy("a").agg(F.min("c").alias("low"), F.max("c").alias("high")), "anchors-of-contexts")
     contexts = cut_lineage(contexts.join(many, "a").withColumn("many", F.expr("low <> high")).drop("low", "high"), "contexts")
     alone = contexts.where("NOT many").select("a", "c", "d", F.lit(None).cast("array<bigint>").alias("firsts"))
     asked = contexts.where("many").select(
@@ -159,7 +162,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     windows = windows.select("a", "c", "d", "l", F.posexplode("hashes").alias("o", "w"))
     windows = cut_lineage(windows.withColumn("r", F.col("o") - F.col("l")).drop("l"), "windows")
-    first = windows.groupBy("a", "r", "w").agg(F.min("d").alias("f"))
+    first = cut_lineage(windows.groupBy("a", "r", "w").agg(F.min("d").alias("f")), "first")
     firsts = windows.join(first, ["a", "r", "w"]).groupBy("a", "c").agg(F.collect_list(F.struct("o", "f")).alias("firsts"))
     firsts = firsts.select("a", "c", F.lit(None).cast("bigint").alias("e"), "firsts")
     alone = alone.select("a", "c", F.col("d").alias("e"), F.lit(None).cast(firsts.schema["firsts"].dataType).alias("firsts"))
@@ -169,7 +172,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.filter("firsts", lambda x: x["f"] < F.col("d")),
         lambda x: F.struct((start + x["o"]).cast("int").alias("first"), F.lit(length).alias("words")),
     )
-    hit = seen.join(alone.unionByName(firsts), ["a", "c"]).withColumn("v", F.shiftright("at", 31))
+    hit = seen.join(cut_lineage(alone.unionByName(firsts), "decided"), ["a", "c"]).withColumn("v", F.shiftright("at", 31))
     hit = hit.select("d", "v", F.when(F.col("firsts").isNotNull(), each).when(F.col("e") < F.col("d"), whole).alias("ranges"))
     return hit.where(F.size("ranges") > 0).groupBy("d", "v").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
