@@ -38,7 +38,8 @@ class Settings:
     rounds: int = 2
     share: float = 0.1  # of the unlabelled documents that a view may label in a round, for each class
     sure: float = 0.95  # least confidence of a pseudo-label
-    iterations: int = 40
+    iterations: int = 25  # of the text view
+    page_iterations: int = 15
     penalty: float = 3e-4  # L1 for the terms, so that chance words of long texts get no weight; L2 for the page view
     reject: float = 0.5  # a document is rejected from this probability on
 
@@ -89,7 +90,7 @@ def _fold(rows: DataFrame, n: int, buckets: int):
 def _logistic(view: str, settings: Settings) -> LogisticRegression:
     return LogisticRegression(
         featuresCol=view, labelCol="y", probabilityCol=f"{view}_p", rawPredictionCol=f"{view}_r", predictionCol=f"{view}_y",
-        maxIter=settings.iterations, regParam=settings.penalty, elasticNetParam=1.0 if view == "text_v" else 0.0,
+        maxIter=settings.iterations if view == "text_v" else settings.page_iterations, regParam=settings.penalty, elasticNetParam=1.0 if view == "text_v" else 0.0,
     )
 
 
