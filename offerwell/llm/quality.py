@@ -5,16 +5,18 @@ character statistics). Both are fitted on the labelled training fold; in every r
 documents it is surest of, and these become training rows of the other. Each view is then calibrated on a held-out labelled fold, and a
 logistic combination of both calibrated views scores every document.
 
-Fitting uses at most ``max_labelled`` labelled and ``max_unlabelled`` other documents, chosen by a hash of their id; scoring
+Fitting uses at most ``max_labelled`` labelled documents, chosen by a hash of their id and weighted to stand for all labelled ones.
+Terms are counted over all documents, and every unlabelled document is scored in every round and can become a training row. Scoring
 covers all documents and shuffles nothing.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, FeatureHasher
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -31,8 +33,7 @@ NUMBERS = ["size", "line_length", "upper_share", "mark_share", "space_share", "w
 @dataclass(frozen=True)
 class Settings:
     max_labelled: int = 16_000
-    max_unlabelled: int = 4_000
-    terms: int = 1 << 14
+    terms: int = 1 << 16  # the most frequent ones of all documents
     least_documents: int = 10
     buckets: int = 1 << 10
     rounds: int = 2
@@ -89,17 +90,68 @@ def _fold(rows: DataFrame, n: int, buckets: int):
 
 def _logistic(view: str, settings: Settings) -> LogisticRegression:
     return LogisticRegression(
-        featuresCol=view, labelCol="y", probabilityCol=f"{view}_p", rawPredictionCol=f"{view}_r", predictionCol=f"{view}_y",
+        featuresCol=view, labelCol="y", weightCol="w", probabilityCol=f"{view}_p", rawPredictionCol=f"{view}_r", predictionCol=f"{view}_y",
         maxIter=settings.iterations if view == "text_v" else settings.page_iterations, regParam=settings.penalty, elasticNetParam=1.0 if view == "text_v" else 0.0,
     )
 
 
-def _vectorizers(sample: DataFrame, settings: Settings) -> tuple:
-    """Feature stages of both views, fitted on the sample's terms."""
-    least = min(settings.least_documents, sample.count())  # ALWAYS is in every document, so no vocabulary is empty
-    terms = CountVectorizer(inputCol="terms", outputCol="text_v", vocabSize=settings.terms, minDF=least, binary=True)
+def _vectorizers(docs: DataFrame, text: str, settings: Settings) -> tuple:
+    """Feature stages of both views, with the terms that most of all documents have (ties at the bound are left out)."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(TERM), F.lit(0)))
+    counts = docs.select(F.explode(found).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    counts = cut_lineage(counts.where(F.col("n") >= settings.least_documents), "term-counts")
+    least, total = None, 0
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("terms")).collect(), key=lambda r: -r["n"]):
+        total += r["terms"]
+        if total >= settings.terms:  # ALWAYS takes one place
+            break
+        least = r["n"]
+    always = docs.sparkSession.createDataFrame([(ALWAYS,)], "term string")  # in every document, so no vocabulary is empty
+    vocabulary = always.unionAll(counts.where(F.col("n") >= least if least else F.lit(False)).select("term"))
+    terms = CountVectorizer(inputCol="terms", outputCol="text_v", vocabSize=settings.terms, minDF=1.0, binary=True)
     page = FeatureHasher(inputCols=["lang", "source", *NUMBERS], outputCol="page_v", numFeatures=settings.buckets)
-    return terms.fit(sample), page
+    return terms.fit(vocabulary.select(F.array("term").alias("terms"))), page
+
+
+def _step(view: str):
+    """Margin of a scored view in hundredths."""
+    return F.round(F.greatest(F.lit(-40.0), F.least(F.lit(40.0), vector_to_array(f"{view}_r")[1])) * 100).cast("int")
+
+
+def _cuts(free: DataFrame, models: dict, settings: Settings) -> dict:
+    """(step, part) of each view for surely bad and surely good documents, the surest share of all of ``free``: all
+    above the step, and of the step itself a part by a hash of the id."""
+    scored = free
+    for model in models.values():
+        scored = model.transform(scored)
+    steps = scored.select(F.explode(F.array(*[F.struct(F.lit(v).alias("view"), _step(v).alias("step")) for v in models])).alias("s"))
+    counts = [(r["view"], r["step"], r["n"]) for r in steps.groupBy("s.view", "s.step").agg(F.count("*").alias("n")).collect()]
+    sure = math.ceil(100 * math.log(settings.sure / (1 - settings.sure)))
+    cuts = {}
+    for view in models:
+        for sign in (1, -1):
+            mine = sorted(((sign * step, n) for v, step, n in counts if v == view), reverse=True)
+            wanted, cut = settings.share * sum(n for _, n in mine), (1 << 20, 0.0)  # beyond all steps: none
+            for step, n in mine:
+                if step < sure or wanted <= 0:
+                    break
+                cut = step, min(1.0, wanted / n)
+                wanted -= n
+            cuts[view, sign] = cut
+    return cuts
+
+
+def _pseudo(free: DataFrame, model: LogisticRegressionModel, view: str, cuts: dict) -> DataFrame:
+    """Training rows of the other view: the documents of ``free`` that ``view`` is surest of."""
+    place = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 20)) / (1 << 20)
+
+    def beyond(sign: int):
+        step, part = cuts[view, sign]
+        mine = sign * _step(view)
+        return (mine > step) | ((mine == step) & (place < part))
+
+    y = F.when(beyond(1), 1.0).when(beyond(-1), 0.0)
+    return model.transform(free).select(y.alias("y"), F.lit(1.0).alias("w"), "text_v", "page_v").where("y IS NOT NULL")
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, key: str = "doc_id", text: str = "text",
@@ -112,44 +164,40 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, ke
     settings = settings or Settings()
     bad = (F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)
     marks = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(bad.cast("double")).alias("y"))
-    ids = docs.select(F.col(key).alias("id")).where("id IS NOT NULL").distinct().join(marks, "id", "left")
-    order = F.xxhash64("id")
-    chosen = ids.where("y IS NOT NULL").orderBy(order, "id").limit(settings.max_labelled)
-    chosen = chosen.unionAll(ids.where("y IS NULL").orderBy(order, "id").limit(settings.max_unlabelled))
     rows = docs.select(F.col(key).alias("id"), *[F.col(c) for c in dict.fromkeys([text, lang, source])])
+    known = cut_lineage(rows.select("id").distinct().join(marks, "id"), "labelled-ids")
     # The sample's ids are bounded by the settings, so they can go to every task.
-    sample = rows.join(F.broadcast(cut_lineage(chosen, "sample-ids")), "id")
-    sample = views(sample, text, lang, source).select("doc.id", "doc.y", "lang", "source", "terms", *NUMBERS).dropDuplicates(["id"])
-    sample = cut_lineage(sample, "sample")
-    classes = [r["y"] for r in sample.where("y IS NOT NULL").select("y").distinct().collect()]  # at most two
+    chosen = cut_lineage(known.orderBy(F.xxhash64("id"), "id").limit(settings.max_labelled), "sample-ids")
+    classes = [r["y"] for r in chosen.select("y").distinct().collect()]  # at most two
     if len(classes) < 2:
         return Classifier(constant=classes[0] if classes else 0.0, settings=settings)
-    terms, page = _vectorizers(sample, settings)
-    ready = page.transform(terms.transform(sample)).select("id", "y", "text_v", "page_v")
-    ready = cut_lineage(ready.coalesce(max(1, sample.sparkSession.sparkContext.defaultParallelism)), "views")
+    terms, page = _vectorizers(rows, text, settings)
+
+    def features(some: DataFrame, *kept: str) -> DataFrame:
+        inputs = views(some, text, lang, source).select(*[f"doc.{c}" for c in kept], "lang", "source", "terms", *NUMBERS)
+        return page.transform(terms.transform(inputs)).select(*kept, "text_v", "page_v")
+
+    sample = features(rows.join(F.broadcast(chosen), "id"), "id", "y").dropDuplicates(["id"])
+    ready = sample.withColumn("w", F.lit(known.count() / chosen.count()))
+    ready = cut_lineage(ready.coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism)), "views")
+    # Joined after the texts are reduced to features; documents without an id have no label and need no join.
+    free = features(rows.where("id IS NOT NULL"), "id").join(known, "id", "left_anti").unionAll(features(rows.where("id IS NULL"), "id"))
+    free = cut_lineage(free, "unlabelled")
     fold = _fold(ready, 1, 5)
-    train, held, free = (cut_lineage(x, "fold") for x in (
-        ready.where("y IS NOT NULL").where(fold > 0), ready.where("y IS NOT NULL").where(fold == 0), ready.where("y IS NULL")
-    ))
+    train, held = (cut_lineage(x, "fold") for x in (ready.where(fold > 0), ready.where(fold == 0)))
     if train.select("y").distinct().count() < 2 or held.select("y").distinct().count() < 2:
-        train = held = ready.where("y IS NOT NULL")
+        train = held = ready
+    train = train.select("y", "w", "text_v", "page_v")
     own = {"text_v": train, "page_v": train}
     models = {}
-    share = max(1, int(free.count() * settings.share))
     for turn in range(settings.rounds + 1):
         models = {v: _logistic(v, settings).fit(own[v]) for v in own}
         if turn == settings.rounds:
             break
+        cuts = _cuts(free, models, settings)
         for view, other in (("text_v", "page_v"), ("page_v", "text_v")):
-            p = vector_to_array(f"{view}_p")[1]
-            scored = models[view].transform(free).select("id", "text_v", "page_v", p.alias("p"))
-            sure = [
-                scored.where(F.col("p") >= settings.sure).orderBy(F.desc("p"), "id").limit(share).withColumn("y", F.lit(1.0)),
-                scored.where(F.col("p") <= 1 - settings.sure).orderBy("p", "id").limit(share).withColumn("y", F.lit(0.0)),
-            ]
-            pseudo = sure[0].unionAll(sure[1]).select("id", "y", "text_v", "page_v")
             # Labels of the last round replace those of the round before.
-            own[other] = cut_lineage(train.unionAll(pseudo), "round")
+            own[other] = cut_lineage(train.unionAll(_pseudo(free, models[view], view, cuts)), "round")
     text_model, page_model = PipelineModel([terms, models["text_v"]]), PipelineModel([page, models["page_v"]])
     scored = held
     for model in models.values():

@@ -141,6 +141,22 @@ def test_co_training_on_held_out_labels(spark):
     assert sum(r["rejected"] for r in good) <= 0.05 * len(good)
 
 
+def test_co_training_uses_all_unlabelled_documents(spark):
+    """Documents far back in hash order bring terms and pseudo-labels of their own, also behind thousands of others."""
+    rng = random.Random(4)
+    plain = lambda *more: " ".join([*(f"w{rng.randrange(50)}" for _ in range(6)), *more])
+    order = [r["id"] for r in spark.range(1000, 7000).orderBy(F.xxhash64("id")).collect()]
+    bad = [i % 4 == 0 for i in range(400)]
+    # One labelled document in five has no telling word, so that its text decides nothing and its source does.
+    rows = [(i, plain(*(["vile" if b else "fine"] if i % 5 else [])), "en", "bad" if b else f"s{i % 3}") for i, b in enumerate(bad)]
+    rows += [(i, plain("fine"), "en", f"s{i % 3}") for i in order[:5500]] + [(i, plain("outlier"), "en", "bad") for i in order[5500:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, 1, int(b)) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int")
+    terms, text = quality.fit(docs, labels, quality.Settings(rounds=1, iterations=10, page_iterations=10)).text.stages
+    assert "outlier" in terms.vocabulary
+    assert text.coefficients[terms.vocabulary.index("outlier")] > 0
+
+
 def test_classifier_edges(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = docs([(1, None), (2, ""), (2, "x"), (None, "y")])
