@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, FeatureHasher
+from pyspark.ml.feature import CountVectorizer, FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +39,8 @@ class Settings:
     rounds: int = 2
     share: float = 0.1  # of the unlabelled documents that a view may label in a round, for each class
     sure: float = 0.95  # least confidence of a pseudo-label
-    iterations: int = 25  # of the text view
-    page_iterations: int = 15
+    iterations: int = 40  # of the text view
+    page_iterations: int = 40
     penalty: float = 3e-4  # L1 for the terms, so that chance words of long texts get no weight; L2 for the page view
     reject: float = 0.5  # a document is rejected from this probability on
 
@@ -51,6 +51,7 @@ class Classifier:
 
     text: PipelineModel | None = None
     page: PipelineModel | None = None
+    calibrated: PipelineModel | None = None
     combined: PipelineModel | None = None
     constant: float | None = None
     settings: Settings = field(default_factory=Settings)
@@ -202,16 +203,24 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, ke
     scored = held
     for model in models.values():
         scored = model.transform(scored)
-    margins = FeatureHasher(inputCols=["text_m", "page_m"], outputCol="margins", numFeatures=64)
-    combined = Pipeline(stages=[margins, LogisticRegression(featuresCol="margins", labelCol="y", probabilityCol="both_p",
-                        rawPredictionCol="both_r", predictionCol="both_y", maxIter=15, regParam=1e-3)]).fit(_calibrated(scored))
-    return Classifier(text_model, page_model, combined, None, settings)
+    scored = _log_odds(scored, text_m="text_v", page_m="page_v")
+    calibrated = Pipeline(stages=[*_logistic_of("text_c", "text_m"), *_logistic_of("page_c", "page_m")]).fit(scored)
+    scored = _log_odds(calibrated.transform(scored), text_l="text_c", page_l="page_c")
+    combined = Pipeline(stages=_logistic_of("both", "text_l", "page_l")).fit(scored)
+    return Classifier(text_model, page_model, calibrated, combined, None, settings)
 
 
-def _calibrated(scored: DataFrame) -> DataFrame:
-    """Margins of both views, bounded so that one view alone cannot drown the other."""
-    margin = lambda v: F.greatest(F.lit(-12.0), F.least(F.lit(12.0), vector_to_array(f"{v}_r")[1]))
-    return scored.withColumn("text_m", margin("text_v")).withColumn("page_m", margin("page_v"))
+def _logistic_of(name: str, *inputs: str) -> list:
+    """Stages of a logistic model of a few numbers."""
+    fit = LogisticRegression(featuresCol=f"{name}_in", labelCol="y", probabilityCol=f"{name}_p", rawPredictionCol=f"{name}_r",
+                             predictionCol=f"{name}_y", maxIter=40, regParam=1e-3)
+    return [VectorAssembler(inputCols=list(inputs), outputCol=f"{name}_in"), fit]
+
+
+def _log_odds(scored: DataFrame, **models: str) -> DataFrame:
+    """Margins of models as numbers, bounded so that one view alone cannot drown the other."""
+    margin = lambda m: F.greatest(F.lit(-12.0), F.least(F.lit(12.0), vector_to_array(f"{m}_r")[1]))
+    return scored.withColumns({name: margin(m) for name, m in models.items()})
 
 
 def score(docs: DataFrame, model: Classifier, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -225,9 +234,10 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", lang: str = "l
         value = F.lit(float(model.constant))
         rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
         return rows.select(*kept, *[value.alias(n) for n in new[:3]], (value >= model.settings.reject).alias("rejected"))
-    rows = _calibrated(model.page.transform(model.text.transform(views(docs, text, lang, source))))
-    rows = model.combined.transform(rows)
-    scores = [vector_to_array(c)[1] for c in ("text_v_p", "page_v_p", "both_p")]
+    rows = model.page.transform(model.text.transform(views(docs, text, lang, source)))
+    rows = model.calibrated.transform(_log_odds(rows, text_m="text_v", page_m="page_v"))
+    rows = model.combined.transform(_log_odds(rows, text_l="text_c", page_l="page_c"))
+    scores = [vector_to_array(c)[1] for c in ("text_c_p", "page_c_p", "both_p")]
     return rows.select(*kept, *[s.alias(n) for s, n in zip(scores, new)], (scores[2] >= model.settings.reject).alias("rejected"))
 
 

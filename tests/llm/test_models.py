@@ -157,6 +157,16 @@ def test_co_training_uses_all_unlabelled_documents(spark):
     assert text.coefficients[terms.vocabulary.index("outlier")] > 0
 
 
+def test_views_are_calibrated(spark):
+    docs, labels = labelled(spark)
+    known = labels.where("doc_id % 3 < 2")
+    rows = quality.classify(docs, known).join(known, "doc_id").withColumn("id", F.col("doc_id"))
+    rows = rows.where(quality._fold(None, 1, 5) == 0).collect()
+    share = sum(r["quality"] == 0 or r["toxic"] == 1 for r in rows) / len(rows)
+    for view in ("text_score", "page_score"):  # on the held-out fold a calibrated score has the mean of the labels
+        assert sum(r[view] for r in rows) / len(rows) == pytest.approx(share, abs=1e-3)
+
+
 def test_classifier_edges(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = docs([(1, None), (2, ""), (2, "x"), (None, "y")])
