@@ -20,6 +20,9 @@ SLICE_BYTES = 6 << 20
 #: Most rows of a slice, so that a row number fits in 16 bits.
 SLICE_ROWS = 1 << 16
 CACHE_ENTRIES = 800_000
+CACHE_BYTES = 96 << 20
+#: Longer byte strings (encoded blobs, unspaced text) are computed each time they occur.
+CACHED_LENGTH = 256
 
 #: A-Z to a-z, every other byte unchanged.
 LOWER = bytes(range(256)).lower()
@@ -132,18 +135,20 @@ def attach(df: DataFrame, fn, fields: str, **columns: str) -> DataFrame:
 
 
 class Cache:
-    """Values of byte strings, computed in batches and kept in two generations of bounded size."""
+    """Values of byte strings, computed in batches and kept in two generations of bounded number and size.
 
-    def __init__(self, compute, entries: int = CACHE_ENTRIES):
-        self.compute, self.entries, self.young, self.old = compute, entries, {}, {}
+    The bound counts the bytes of keys and values; keys above ``CACHED_LENGTH`` are not kept at all.
+    """
+
+    def __init__(self, compute, entries: int = CACHE_ENTRIES, room: int = CACHE_BYTES):
+        self.compute, self.entries, self.room, self.held, self.young, self.old = compute, entries, room, 0, {}, {}
 
     def many(self, keys: list[bytes]) -> list:
         young, old = self.young, self.old
         found = list(map(young.get, keys))
         if None in found:
-            missing = [i for i, v in enumerate(found) if v is None]
             fresh = []
-            for i in missing:
+            for i in [i for i, v in enumerate(found) if v is None]:
                 value = old.get(keys[i])
                 if value is None:
                     fresh.append(i)
@@ -151,9 +156,12 @@ class Cache:
                     found[i] = young[keys[i]] = value
             if fresh:
                 for i, value in zip(fresh, self.compute([keys[i] for i in fresh])):
-                    found[i] = young[keys[i]] = value
-            if len(young) > self.entries // 2:
-                self.old, self.young = young, {}
+                    found[i] = value
+                    if len(keys[i]) <= CACHED_LENGTH:
+                        young[keys[i]] = value
+                        self.held += len(keys[i]) + (len(value) if isinstance(value, bytes) else 8)
+            if len(young) > self.entries // 2 or self.held > self.room // 2:
+                self.old, self.young, self.held = young, {}, 0
         return found
 
 
