@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerwell.llm import bpe, context_tree, decontaminate, fixity, grid_join, near_dup, quality, repeats, token_counts, token_store
+from offerwell.llm import bpe, context_tree, decontaminate, fixity, grid_join, manifest, max_sketch, near_dup, packing, quality, repeats, token_counts, token_store
 from offerwell.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,43 @@ def _(spark, folder):
 def _(spark, folder):
     rows = repeats.remove_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op11_max_sketch_search",
+    r"""
+    WITH w AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    t AS (SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM w),
+    f AS (SELECT id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY id) AS n FROM t WHERE side = 'd' GROUP BY 1, 2),
+    a AS (SELECT count(DISTINCT id) AS nd, sum(tf)::BIGINT AS l FROM f),
+    v AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM f, a GROUP BY term, nd),
+    s AS (SELECT q.id AS item_id, f.id AS doc_id,
+              sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n::BIGINT * nd) // l))))::BIGINT AS score
+          FROM (SELECT DISTINCT id, term FROM t WHERE side = 'b') q JOIN f USING (term) JOIN v USING (term), a GROUP BY 1, 2),
+    r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 50
+    """,
+)
+def _(spark, folder):
+    path = work_dir(spark, "sketches")
+    max_sketch.write_index(table(spark, folder, "documents"), path)
+    return max_sketch.search(spark, path, table(spark, folder, "benchmark"), k=50)
+
+
+@query("op12_vector_best_fit")
+def _(spark, folder):
+    placed = packing.pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), tokens=4096)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op13_butterfly_manifest")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    rows = docs.select("doc_id", "source", "lang", "n_chars", "text", manifest.row_digest(*fields, F.col("text")).alias("leaf"))
+    found = F.when(tampered, manifest.row_digest(*fields, F.replace("text", F.lit("\n"), F.lit(""))))
+    rows = rows.select("doc_id", "source", "leaf", found.alias("found"))
+    proved = manifest.manifest(rows, group="source", key="doc_id", check="found")
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

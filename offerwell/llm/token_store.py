@@ -163,7 +163,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, ke
 
     Documents are dealt by ranges of ``key``; only the number of ids of each file (one per shuffle partition) comes to the
     driver. A null text is empty: it has the end id alone. Null keys come first; rows with equal keys stay separate documents,
-    ordered by hash and text. Other columns are not read. An empty table gives an empty store.
+    ordered by their text. Other columns are not read. An empty table gives an empty store.
     """
     spark = docs.sparkSession
     shared = tx.Shared(spark, tx.read_tokenizer(tokenizer))
@@ -193,8 +193,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, ke
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).cast("string").alias("t"))
-    # The hash of the text deals out rows of one key (null keys too) that would otherwise be one task.
-    rows = rows.repartitionByRange(parts, "k", F.xxhash64("t")).sortWithinPartitions("k", F.xxhash64("t"), "t")
+    # The start of the text deals out rows of one key (null keys too) that would otherwise be one task; the order is that of key and text.
+    rows = rows.repartitionByRange(parts, "k", F.substring("t", 1, 64)).sortWithinPartitions("k", "t")
     rows.mapInArrow(run, SEGMENT).write.option("compression", "zstd").parquet(f"{path}/segments")
     counts = spark.read.parquet(f"{path}/segments").groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
     first, at = [], 0
