@@ -216,7 +216,41 @@ def _(spark, folder):
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-@query("op13_butterfly_manifest")
+@query(
+    "op13_butterfly_manifest",
+    """
+    WITH RECURSIVE f AS (
+        SELECT doc_id, coalesce('=' || source, '') AS s, text, list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR],
+                   lambda v: coalesce(strlen(v)::VARCHAR || ':' || v, '-')) AS head,
+               list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                       lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) & 1 = 1 AS even
+        FROM documents),
+    d AS (SELECT doc_id, s, sha256(array_to_string(head, '') || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+                 CASE WHEN even THEN replace(text, chr(10), '') ELSE text END AS now, head FROM f),
+    l AS (SELECT doc_id, s, leaf, sha256(array_to_string(head, '') || coalesce(strlen(now)::VARCHAR || ':' || now, '-')) AS found,
+                 row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY s) AS n FROM d),
+    t AS (SELECT s, 0 AS level, place, leaf AS digest, n FROM l
+        UNION ALL SELECT s, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3 FROM t WHERE n > 1 GROUP BY s, level, place // 3, n),
+    top AS (SELECT s, level AS height, digest AS subroot, row_number() OVER (ORDER BY s) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+    u AS (SELECT 0 AS level, place, subroot AS digest, n FROM top
+        UNION ALL SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY level, place // 3, n),
+    step AS (
+        SELECT a.s, a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+               coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS after
+        FROM t a JOIN t b ON a.s = b.s AND a.level = b.level AND a.place // 3 = b.place // 3 WHERE a.n > 1 GROUP BY 1, 2, 3
+        UNION ALL
+        SELECT top.s, height + a.level, 0, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place < a.place), ''),
+               coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place > a.place), '')
+        FROM u a JOIN u b ON a.level = b.level AND a.place // 3 = b.place // 3 JOIN top ON a.place = top.place // (3 ** a.level)::BIGINT
+        WHERE a.n > 1 GROUP BY top.s, height, a.level, a.place),
+    up AS (SELECT doc_id, s, place, leaf, 0 AS level, found AS folded, '' AS proof FROM l
+        UNION ALL SELECT doc_id, up.s, up.place // 3, leaf, up.level + 1, sha256(before || folded || after), proof || before || after
+        FROM up JOIN step ON up.s = step.s AND up.level = step.level AND up.place = step.place)
+    SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+    FROM up JOIN top USING (s), (SELECT digest, level AS above FROM u WHERE n = 1) WHERE up.level = height + above
+    """,
+)
 def _(spark, folder):
     docs = table(spark, folder, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
