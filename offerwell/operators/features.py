@@ -17,18 +17,30 @@ TEMPORAL = ["day_of_week", "month", "days_since_earliest"]
 CATEGORICAL = ["source", "category", "currency", "location", "source_category", "seller_source"]
 
 
-def base_features(df: DataFrame) -> DataFrame:
-    """Filled texts, clipped rating, log price, rating filled by the source median (then 4.0), crossed keys, target."""
+def _plain(df: DataFrame) -> DataFrame:
     filled = df.fillna("unknown", ["seller", "category", "source", "currency", "location"]).fillna(
         "", ["title_clean", "offre_type"]
     )
-    rows = filled.withColumns(
+    return filled.withColumns(
         {
             "price_initial_mad": F.col("price_initial_mad").cast("string").try_cast("double"),
             "rating": clip(F.col("rating").cast("string").try_cast("double"), 0.0, 5.0),
         }
     )
-    medians = exact_quantiles(rows, ["source"], "rating", [0.5]).select("source", F.col("q0").alias("_median"))
+
+
+def rating_medians(df: DataFrame) -> DataFrame:
+    """(source, _median): the exact median rating of every source, for ``base_features``."""
+    return exact_quantiles(_plain(df), ["source"], "rating", [0.5]).select("source", F.col("q0").alias("_median"))
+
+
+def base_features(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
+    """Filled texts, clipped rating, log price, rating filled by the source median (then 4.0), crossed keys, target.
+
+    ``medians`` are those of ``rating_medians`` on the rows of a fit; without them they are taken from ``df``.
+    """
+    rows = _plain(df)
+    medians = rating_medians(df) if medians is None else medians
     rows = null_safe_join(rows, medians, ["source"], "left")
     rows = rows.withColumn("rating_filled", F.coalesce("rating", "_median", F.lit(4.0)))
     return rows.withColumns(

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (
@@ -37,18 +37,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerwell.functions.numbers import clip
-from offerwell.operators.features import CATEGORICAL, NUMERIC, base_features, bucket, class_weights, ngrams, tokens
+from offerwell.operators.features import CATEGORICAL, NUMERIC, base_features, bucket, class_weights, ngrams, rating_medians, tokens
+from offerwell.operators.persist import SavedStage
+from offerwell.session import cut_lineage
 
 
-class ListingFeatures(Transformer):
-    """``base_features`` as a pipeline stage, plus the word and word-pair column of the title."""
+class ListingFeatures(Estimator):
+    """``base_features`` as a pipeline stage, plus the word and word-pair column of the title.
+
+    The fit keeps the median rating of every source, so that a row's features do not depend on the batch it is scored in.
+    """
 
     def __init__(self, text: str = "title_clean", out: str = "terms"):
         super().__init__()
         self.text, self.out = text, out
 
+    def _fit(self, dataset: DataFrame) -> ListingFeaturesModel:
+        return ListingFeaturesModel(cut_lineage(rating_medians(dataset), "medians"), self.text, self.out)
+
+
+class ListingFeaturesModel(SavedStage, Model):
+    def __init__(self, medians: DataFrame, text: str, out: str):
+        super().__init__()
+        self.medians, self.text, self.out = medians, text, out
+
+    def fields(self) -> dict:
+        return {"text": self.text, "out": self.out}
+
+    def parts(self) -> dict:
+        return {"medians": self.medians}
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return base_features(dataset).withColumn(self.out, ngrams(tokens(F.col(self.text))))
+        return base_features(dataset, self.medians).withColumn(self.out, ngrams(tokens(F.col(self.text))))
 
 
 class SmoothIdf(Estimator):
@@ -194,9 +214,10 @@ def fit_offer_type(train: DataFrame, stages: list, max_iter: int = 50) -> Pipeli
 
 
 class PerSourceRegressor(Estimator):
-    """One regressor per source with enough rows and a global fallback.
+    """One regressor of any kind per source with enough rows and a global fallback.
 
-    The sources are a handful of names; their fits run as concurrent Spark jobs on filtered frames.
+    For a handful of sources: their fits run as concurrent Spark jobs on filtered frames. ``regression.PerSourceRidge`` fits any
+    number of them in one pass.
     """
 
     def __init__(self, base: Estimator, source: str = "source", min_rows: int = 30, parallelism: int = 4):
@@ -212,13 +233,23 @@ class PerSourceRegressor(Estimator):
             return PerSourceModel({n: f.result() for n, f in fits.items()}, fallback.result(), self.source)
 
 
-class PerSourceModel(Model):
+class PerSourceModel(SavedStage, Model):
     """Predictions of the source's model, of the fallback for other sources, clipped to 0..99."""
 
     def __init__(self, models: dict, fallback, source: str):
         super().__init__()
         self.models, self.fallback, self.source = models, fallback, source
 
+    def fields(self) -> dict:
+        return {"source": self.source, "names": list(self.models)}
+
+    def parts(self) -> dict:
+        return {"fallback": self.fallback} | {f"model-{k}": m for k, m in enumerate(self.models.values())}
+
+    @classmethod
+    def restored(cls, fields: dict, parts: dict) -> PerSourceModel:
+        return cls({n: parts[f"model-{k}"] for k, n in enumerate(fields["names"])}, parts["fallback"], fields["source"])
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """All models score in one pass over the rows; each row takes the prediction of its source."""
         out = self.fallback.transform(dataset).withColumnRenamed("prediction", "_fallback")
@@ -308,11 +339,14 @@ class LogTargetRegressor(Estimator):
         return LogTargetModel(self.base.copy({self.base.labelCol: "_log_label"}).fit(rows))
 
 
-class LogTargetModel(Model):
+class LogTargetModel(SavedStage, Model):
     def __init__(self, model):
         super().__init__()
         self.model = model
 
+    def parts(self) -> dict:
+        return {"model": self.model}
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.model.transform(dataset).withColumn("prediction", F.expm1("prediction"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from offerwell.functions.numbers import half_up
 from offerwell.operators import features as M
 from offerwell.operators import models as X
+from offerwell.operators import regression as R
 from offerwell.operators.ordered import attach_one
 from offerwell.plans.features import _BUCKET, KEY
 from offerwell.plans.registry import query, r4
@@ -31,7 +32,7 @@ def board_sql(*names: str) -> str:
 
 def dataset(t):
     """Feature rows with a hold-out flag, written once because every fit reads them several times."""
-    rows = X.ListingFeatures().transform(t.unified)
+    rows = X.ListingFeatures().fit(t.unified).transform(t.unified)
     return cut_lineage(M.split(rows, KEY), "features")
 
 
@@ -140,16 +141,38 @@ def _(t):
 )
 def _(t):
     train, test = vectors(dataset(t))
-    scored = X.PerSourceRegressor(X.linear("ridge")).fit(train).transform(test)
+    scored = R.PerSourceRidge().fit(train).transform(test)
     means = train.groupBy("source").agg(F.avg("discount_pct").alias("_mean"))
-    error = lambda c: F.avg(F.abs(F.col("discount_pct") - F.col(c)))
-    rows = scored.join(means, "source").groupBy("source")
-    out = rows.agg(F.count("prediction").alias("n"), error("prediction").alias("_mae"), error("_mean").alias("_base"))
-    # The means of a source with few rows are as uncertain as its model.
-    near = (F.col("_mae") <= F.col("_base") * SLACK) | (F.col("n") < 1_000) & (F.col("_mae") <= F.col("_base") * 2)
+    off = lambda c: F.abs(F.col("discount_pct") - F.col(c))
+    out = scored.join(means, "source").groupBy("source").agg(
+        F.count("prediction").alias("n"), F.avg(off("prediction")).alias("_mae"), F.avg(off("_mean")).alias("_base"), F.stddev_pop(off("_mean")).alias("_sd")
+    )
+    # Errors of few rows are uncertain: three standard errors are allowed besides.
+    near = F.col("_mae") <= F.col("_base") * SLACK + 3 * F.col("_sd") / F.sqrt("n")
     return out.select("source", "n", near.alias("near_baseline"))
 
 
+# Two features without penalty have a closed form: the normal equations of the centred sums.
+@query(
+    "per_source_coefficients",
+    f"""
+    WITH l AS (SELECT source, ln(1 + price_initial_mad) AS x, coalesce(rating, 0) AS z, discount_pct AS y FROM unified
+        WHERE discount_pct IS NOT NULL AND price_initial_mad IS NOT NULL),
+    m AS (SELECT source, count(*) AS n, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) AS xx, var_pop(z) AS zz, covar_pop(x, z) AS xz,
+        covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM l GROUP BY GROUPING SETS ((source), ())),
+    c AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS c FROM m)
+    SELECT source, n, {r4('b')} AS price_slope, {r4('c')} AS rating_slope, {r4('my - b * mx - c * mz')} AS intercept FROM c
+    """,
+)
+def _(t):
+    rows = t.unified.where("discount_pct IS NOT NULL AND price_initial_mad IS NOT NULL")
+    pair = F.array(F.log1p("price_initial_mad"), F.coalesce(F.col("rating").cast("double"), F.lit(0.0)))
+    rows = rows.select("source", "discount_pct", array_to_vector(pair).alias("features"))
+    fits = R.PerSourceRidge(reg=0.0, min_rows=1).fit(rows).fits
+    slope = lambda k: half_up(F.get("coefficients", F.lit(k)), 4)
+    return fits.select(F.col("name").alias("source"), "n", slope(0).alias("price_slope"), slope(1).alias("rating_slope"), half_up(F.col("intercept"), 4).alias("intercept"))
+
+
 @query("select_features", board_sql("selected"))
 def _(t):
     train, test = vectors(dataset(t))
@@ -212,13 +235,13 @@ def _(t):
 
 @query("save_load_model", f"SELECT id, discount_pct, true AS same FROM unified WHERE discount_pct IS NOT NULL AND {_HELD}")
 def _(t):
-    """A saved and loaded pipeline predicts the same."""
-    rows = dataset(t).where(F.col("discount_pct").isNotNull())
+    """The whole pipeline, from listings to the fits of every source, predicts the same after it was saved and loaded."""
+    rows = cut_lineage(M.split(t.unified, KEY).where(F.col("discount_pct").isNotNull()), "offers")
     path = work_dir(t.spark, "model")
-    model = Pipeline(stages=[*X.preprocessor(), X.linear("ridge")]).fit(rows.where(~F.col("is_test")))
+    model = Pipeline(stages=[X.ListingFeatures(), *X.preprocessor(), R.PerSourceRidge()]).fit(rows.where(~F.col("is_test")))
     X.save_model(model, path)
     chosen = rows.where(F.col("is_test")).select("id")
-    before = X.clipped(model.transform(rows.where(F.col("is_test")))).select(*KEY, F.col("prediction").alias("_before"))
+    before = model.transform(rows.where(F.col("is_test"))).select(*KEY, F.col("prediction").alias("_before"))
     after = X.score_subset(X.load_model(path), rows, chosen).where(F.col("is_test"))
     same = F.abs(F.col("prediction") - F.col("_before")) < 1e-9
     return after.join(before, KEY).select("id", "discount_pct", same.alias("same"))

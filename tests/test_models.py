@@ -1,0 +1,118 @@
+"""Per-source regression from cross products, and stages that are saved with their tables."""
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from offerwell.operators import models as X
+from offerwell.operators import regression as R
+from offerwell.session import work_dir
+
+
+def sparse_rows(spark, n=900, d=40, seed=4):
+    """Rows of four sources, one rare, one constant; sparse features, one of them never set and one constant."""
+    rng = np.random.default_rng(seed)
+    slopes = {s: rng.normal(0, 3, d) for s in "abcd"}
+    rows = []
+    for i in range(n):
+        source = "abc"[i % 3] if i % 60 else "d"
+        at = sorted(rng.choice(d - 2, 5, replace=False).tolist())
+        x = dict(zip(at, rng.normal(0, 2, 5).tolist())) | {d - 1: 1.0}
+        y = 7.0 if source == "c" else 30 + sum(slopes[source][k] * v for k, v in x.items()) + rng.normal()
+        rows.append((i, source, float(y), Vectors.sparse(d, x)))
+    return spark.createDataFrame(rows, ["id", "source", "discount_pct", "features"])
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return sparse_rows(spark).repartition(5).cache()
+
+
+@pytest.mark.parametrize("dense", [2048, 0])
+def test_equals_single_fits(spark, rows, dense, monkeypatch):
+    monkeypatch.setattr(R, "DENSE_FEATURES", dense)
+    model = R.PerSourceRidge().fit(rows)
+    fits = {r["name"]: r for r in model.fits.collect()}
+    assert set(fits) == {"a", "b", "c", None} and fits["c"]["intercept"] == pytest.approx(7.0)
+    for name in ("a", "b", None):
+        part = rows if name is None else rows.where(F.col("source") == name)
+        one = X.linear("ridge").fit(part)
+        assert np.allclose(fits[name]["coefficients"], one.coefficients.toArray(), atol=1e-6)
+        assert fits[name]["intercept"] == pytest.approx(one.intercept, abs=1e-6) and fits[name]["n"] == part.count()
+
+
+def test_one_scan_whatever_the_number_of_sources(rows):
+    plan = R.solve(R.cross_products(rows.select("source", "features", "discount_pct"), "source", "features", "discount_pct"), 40, 0.01)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("MapInArrow") <= 2 and "Join" not in text  # the cells and their sum over all sources
+
+
+def test_statistics_merge(rows):
+    cells = lambda df: R.cross_products(df, "source", "features", "discount_pct")
+    whole = {(r["name"], r["i"], r["j"]): r["s"] for r in cells(rows).collect()}
+    parts = R.merged(*[cells(rows.where(F.col("id") % 3 == k)) for k in range(3)])
+    got = {(r["name"], r["i"], r["j"]): r["s"] for r in parts.collect()}
+    assert got.keys() == whole.keys() and all(got[k] == pytest.approx(v, abs=1e-6) for k, v in whole.items())
+
+
+def test_cells_in_small_portions(rows, monkeypatch):
+    want = {(r["name"], r["i"], r["j"]): r["s"] for r in R.cross_products(rows, "source", "features", "discount_pct").collect()}
+    monkeypatch.setattr(R, "HELD_CELLS", 50)
+    got = {(r["name"], r["i"], r["j"]): r["s"] for r in R.cross_products(rows, "source", "features", "discount_pct").collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(v, abs=1e-6) for k, v in want.items())
+
+
+def test_scores_broadcast_and_joined(spark, rows, monkeypatch):
+    model = R.PerSourceRidge().fit(rows)
+    extra = spark.createDataFrame([(-1, "new", 1.0, Vectors.dense([1.0] * 40)), (-2, None, 1.0, None)], ["id", "source", "discount_pct", "features"])
+    both = rows.unionByName(extra)
+    one = {r["id"]: r["prediction"] for r in model.transform(both).collect()}
+    monkeypatch.setattr(R, "BROADCAST_CELLS", 0)
+    two = {r["id"]: r["prediction"] for r in model.transform(both).collect()}
+    assert one.keys() == two.keys() and one[-2] is None and two[-2] is None
+    assert all(one[k] == pytest.approx(two[k], abs=1e-9) for k in one if k != -2)
+    assert all(0 <= v <= 99 for k, v in one.items() if k != -2)
+
+
+def test_no_rows(spark, rows):
+    empty = rows.where("id < 0")
+    assert R.PerSourceRidge().fit(empty).transform(rows.limit(2)).select("prediction").collect() == [(None,), (None,)]
+
+
+def listings(spark, n=240):
+    rows = []
+    for i in range(n):
+        source = ["Jumia", "Avito", "Steam"][i % 3]
+        rows.append((
+            f"p{i}", source, f"Phone model {i % 7} pro", None if i % 4 == 0 else round(1 + i % 5 * 0.9, 1), float(50 + i * 3), "MAD", f"shop {i % 9}", "Casablanca",
+            f"cat {i % 4}", "pourcentage", float((i * 7) % 60),
+        ))
+    return spark.createDataFrame(
+        rows,
+        "id string, source string, title_clean string, rating double, price_initial_mad double, currency string, seller string, location string, "
+        "category string, offre_type string, discount_pct double",
+    )
+
+
+@pytest.mark.parametrize("kind", ["per_source_ridge", "per_source_tree", "log_target"])
+def test_saved_pipeline_from_raw_listings(spark, kind):
+    raw = listings(spark)
+    last = {
+        "per_source_ridge": R.PerSourceRidge(),
+        "per_source_tree": X.PerSourceRegressor(X.tree("decision_tree")),
+        "log_target": X.LogTargetRegressor(X.linear("ridge")),
+    }[kind]
+    model = Pipeline(stages=[X.ListingFeatures(), *X.preprocessor(max_terms=20), last]).fit(raw)
+    path = work_dir(spark, "saved")
+    X.save_model(model, path)
+    again = X.load_model(path)
+    assert isinstance(again, PipelineModel)
+    want = {r["id"]: r["prediction"] for r in model.transform(raw).collect()}
+    got = {r["id"]: r["prediction"] for r in again.transform(raw).collect()}
+    assert got == pytest.approx(want)
+    # Scores of a row do not depend on the batch it is in: medians are those of the fit.
+    for name in ("p0", "p4", "p8"):
+        alone = again.transform(raw.where(F.col("id") == name)).select("prediction").first()[0]
+        assert alone == pytest.approx(want[name])
