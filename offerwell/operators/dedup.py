@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerwell.operators.ordered import null_safe_join, running_sums
+from offerwell.operators.ordered import null_safe_join, scan
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
@@ -70,9 +70,8 @@ def distinct_agent_offers(messages: DataFrame) -> DataFrame:
         .groupBy("negotiation", "price")
         .agg(F.min("turn").alias("turn"))
     )
-    # Counted from the first sighting on in chunks of turns, so a long negotiation is not one task.
-    chunk = F.floor(F.col("turn") / F.lit(64))
-    rows = running_sums(prices, ["negotiation"], ["turn", "price"], chunk, {"_upto": F.lit(1)})
+    # Counted from the first sighting on, so a long negotiation is not one task.
+    rows = scan(prices, ["negotiation"], ["turn", "price"], sums={"_upto": F.lit(1)})
     total = prices.groupBy("negotiation").agg(F.count("*").alias("_all"))
     rows = null_safe_join(rows, total, ["negotiation"])
     return rows.withColumn("position", (F.col("_all") - F.col("_upto") + 1).cast("int")).drop("_upto", "_all")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerwell.functions.numbers import clip
 from offerwell.functions.text import strip_accents
-from offerwell.operators.ordered import attach_one, exact_quantiles, null_safe_join, running_sums
+from offerwell.operators.ordered import attach_one, column_quantiles, exact_quantiles, null_safe_join, number_rows, scan
 from offerwell.operators.windows import days_since_first
 
 NUMERIC = ["price_initial_mad", "log_price_initial_mad", "rating_filled", "rating_gap_to_5", "rating_missing"]
@@ -74,10 +74,10 @@ def temporal_features(df: DataFrame, date: str = "day") -> DataFrame:
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    for c in cols:
-        df = attach_one(df, exact_quantiles(df, [], c, [0.5]).select(F.col("q0").alias("_m")))
-        df = df.withColumn(c, F.coalesce(F.col(c), F.col("_m"))).drop("_m")
-    return df
+    """Missing values become the exact median of their column; all medians come from one selection."""
+    medians = column_quantiles(df, [], cols, [0.5]).agg(F.map_from_entries(F.collect_list(F.struct("column", "q0"))).alias("_m"))
+    rows = attach_one(df, medians)  # one number per column
+    return rows.withColumns({c: F.coalesce(F.col(c), F.col("_m")[c]) for c in cols}).drop("_m")
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -148,13 +148,13 @@ def split(
     """Hold-out flag from a hash of the row key.
 
     Without ``strata`` every row is decided by its own hash. With them exactly the share of every stratum, rounded half up, is held out:
-    its first rows in hash order, which chunks of the hash number without putting a stratum into one task.
+    its first rows in hash order, which a prefix scan numbers.
     """
     if not strata:
         return df.withColumn(out, bucket(key, 10000, seed) < int(test_share * 10000))
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *key).cast("binary"))
     rows = df.withColumn("_digest", digest)
-    rows = running_sums(rows, list(strata), ["_digest", *key], F.substring("_digest", 1, 3), {"_at": F.lit(1)})
+    rows = scan(rows, list(strata), ["_digest", *key], sums={"_at": F.lit(1)})
     sizes = df.groupBy(*strata).agg(F.floor(F.count("*") * test_share + 0.5).alias("_held"))
     return null_safe_join(rows, sizes, list(strata)).withColumn(out, F.col("_at") <= F.col("_held")).drop("_digest", "_at", "_held")
 
@@ -165,17 +165,13 @@ def upsample_minority(df: DataFrame, label: str, key: Sequence[str]) -> DataFram
     Every row is repeated by the whole ratio and the rest goes to the first rows in hash order, which a distributed
     numbering finds.
     """
-    from offerwell.operators.ordered import hash_chunk, number_rows
-
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     minority = sizes.orderBy("_n", label).limit(1).select(F.col(label).alias("_minor"), F.col("_n").alias("_small"))
     rows = attach_one(df, minority)
     rows = attach_one(rows, sizes.agg(F.max("_n").alias("_large")))
     minor = F.col(label) == F.col("_minor")
     digest = F.md5(F.concat_ws("|", *key).cast("binary"))
-    numbered = number_rows(
-        rows.where(minor).withColumn("_digest", digest), ["_digest", *key], hash_chunk(*key), "_pos"
-    )
+    numbered = number_rows(rows.where(minor).withColumn("_digest", digest), ["_digest", *key], "_pos")
     whole = F.floor(F.col("_large") / F.col("_small"))
     extra = F.when(F.col("_pos") <= F.col("_large") % F.col("_small"), 1).otherwise(0)
     copies = numbered.withColumn("copy", F.explode(F.sequence(F.lit(1), (whole + extra).cast("int"))))

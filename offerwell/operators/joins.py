@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerwell import constants as K
 from offerwell.operators.dedup import keep_first
-from offerwell.operators.ordered import last_values, null_safe_join
+from offerwell.operators.ordered import null_safe_join, scan
 
 
 def with_product(negotiations: DataFrame, products: DataFrame, key: str = "product_id") -> DataFrame:
@@ -108,21 +108,17 @@ def offers_valid_at(events: DataFrame, offers: DataFrame, max_days: int = 7, key
     return at.join(spread, [key, "_b"]).where("ts >= created AND ts < expires").drop("_b")
 
 
-def score_as_of(offers: DataFrame, scores: DataFrame, chunk: Column | None = None) -> DataFrame:
+def score_as_of(offers: DataFrame, scores: DataFrame) -> DataFrame:
     """Latest score of the seller at or before each offer.
 
-    Both frames have ``seller_id``, ``ts`` and ``event_id``; scores come first at equal times. Hours split the
-    history of a busy seller.
+    Both frames have ``seller_id``, ``ts`` and ``event_id``; scores come first at equal times.
     """
     both = scores.select(
         "seller_id", "ts", "event_id", F.lit(0).alias("_offer"), F.col("score").alias("_score")
     ).unionByName(
         offers.select("seller_id", "ts", "event_id", F.lit(1).alias("_offer")), allowMissingColumns=True
     )
-    chunk = F.date_trunc("hour", F.col("ts")) if chunk is None else chunk
-    rows = last_values(
-        both, ["seller_id"], ["ts", "_offer", "event_id"], chunk, {"score_t0": F.col("_score")}, include_current=True
-    )
+    rows = scan(both, ["seller_id"], ["ts", "_offer", "event_id"], last={"score_t0": F.col("_score")})
     return rows.where("_offer = 1").select("seller_id", "ts", "event_id", "score_t0")
 
 

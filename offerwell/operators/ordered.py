@@ -1,21 +1,25 @@
 """Running values, numbering and exact quantiles that do not put one hot key into one task.
 
-A plain window over a key sorts all rows of that key in a single task. The helpers here split each key along a
-``chunk`` column that grows with the order (an hour, a day, a price band): totals per (key, chunk) are aggregated with
-map-side combine, carried over the few chunks of a key, and the row-level window runs per (key, chunk).
-Keys compare null-safely, so rows with a missing key are kept.
+A plain window over a key sorts all rows of that key in a single task. ``scan`` is a prefix scan in two passes instead: rows are dealt by sampled
+ranges of (key, order) and written, so that a partition holds its share of rows however they are spread over keys and times; every
+partition then computes its own running values, and a carry says what the partitions before it hold of the key it opens with. Keys
+compare null-safely, so rows with a missing key are kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerwell.session import cut_lineage
 
-CHUNK = "_chunk"
+PART = "_part"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -28,112 +32,125 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _row_order(order: Sequence[str]) -> Column:
-    return F.struct(*order)
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` dealt by sampled ranges of (keys, order) and written; ``_part`` is the number of the range."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(parts, *keys, *order).withColumn(PART, F.spark_partition_id())
+    return cut_lineage(rows, "ranges")
 
 
-def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, sums: dict[str, Column]):
-    """Inclusive running sums per key: ``sums`` maps an output name to the summed expression."""
-    names = list(sums)
-    rows = df.withColumns({CHUNK: chunk, **{f"_v_{n}": e for n, e in sums.items()}})
-    totals = rows.groupBy(*keys, CHUNK).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys, CHUNK, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in names]
-    )
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = null_safe_join(rows, carry, [*keys, CHUNK], "inner")
-    out = {n: F.col(f"_c_{n}") + F.coalesce(F.sum(f"_v_{n}").over(inside), F.lit(0)) for n in names}
-    return joined.withColumns(out).drop(CHUNK, *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
-
-
-def last_values(
+def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    chunk: Column,
-    values: dict[str, Column],
-    include_current: bool,
-    skip_nulls: bool = True,
+    sums: dict[str, Column] | None = None,
+    last: dict[str, Column] | None = None,
+    previous: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Latest value per key up to (or strictly before) each row.
+    """``df`` with running values per key in ``order``, which must be total; no keys make the whole table one key.
 
-    ``skip_nulls`` takes the latest known value; without it the value of the previous row, null or not (``lag``).
+    ``sums`` are inclusive running sums (null counts as 0), ``last`` the latest value that is not null up to and with the row, ``previous`` the value of the
+    row before, null or not. Each maps a new column to its expression. Only keys that go on over several ranges have carries, so there are
+    fewer carry rows than ranges.
     """
-    names = list(values)
-    wrap = {f"_v_{n}": (F.when(e.isNotNull(), F.struct(e.alias("v"))) if skip_nulls else F.struct(e.alias("v")))
-            for n, e in values.items()}
-    rows = df.withColumns({CHUNK: chunk, **wrap})
-    at = _row_order(order)
-    lasts = rows.groupBy(*keys, CHUNK).agg(
-        *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_l_{n}") for n in names]
+    sums, last, previous = sums or {}, last or {}, previous or {}
+    keep = df.columns
+    wrapped = {f"_v_{n}": e for n, e in sums.items()}
+    wrapped |= {f"_v_{n}": F.when(e.isNotNull(), F.struct(e.alias("v"))) for n, e in last.items()}
+    wrapped |= {f"_v_{n}": F.struct(e.alias("v")) for n, e in previous.items()}
+    rows = ranged(df.withColumns(wrapped), keys, order)
+    at = F.struct(*order)
+    totals = rows.groupBy(*keys, PART).agg(
+        *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums],
+        *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_t_{n}") for n in [*last, *previous]],
     )
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.select(
-        *keys, CHUNK, *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in names]
+    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(PART)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        *keys,
+        PART,
+        F.row_number().over(across).alias("_nth"),
+        *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums],
+        *[F.last(f"_t_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in [*last, *previous]],
     )
-    end = 0 if include_current else -1
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    joined = null_safe_join(rows, carry, [*keys, CHUNK], "inner")
-    out = {
-        n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(inside), F.col(f"_c_{n}"))["v"] for n in names
-    }
-    return joined.withColumns(out).drop(CHUNK, *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
-
-
-def previous_values(df, keys, order, chunk, values: dict[str, Column]) -> DataFrame:
-    """``lag`` per key: the value of the row before."""
-    return last_values(df, keys, order, chunk, values, include_current=False, skip_nulls=False)
-
-
-def hash_chunk(*cols: str) -> Column:
-    """4096 even chunks in md5 order."""
-    return F.substring(F.md5(F.concat_ws("|", *cols).cast("binary")), 1, 3)
-
-
-def number_rows(df: DataFrame, order: Sequence[str], chunk: Column, out: str) -> DataFrame:
-    """1-based number of every row in (chunk, order) order, without a global sort in one task."""
-    rows = df.withColumn(CHUNK, chunk)
-    sizes = rows.groupBy(CHUNK).agg(F.count("*").alias("_n"))
-    offsets = sizes.select(
-        CHUNK,
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_o"),
+    carry = F.broadcast(carry.where("_nth > 1").drop("_nth"))  # a range opens with one key: fewer rows than ranges
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside = Window.partitionBy(*keys, PART).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    own = rows.repartitionById(parts, F.col(PART)).withColumns(
+        {f"_i_{n}": F.sum(f"_v_{n}").over(upto) for n in sums}
+        | {f"_i_{n}": F.last(f"_v_{n}", ignorenulls=True).over(upto) for n in last}
+        | {f"_i_{n}": F.lag(f"_v_{n}").over(inside) for n in previous}
     )
-    inside = Window.partitionBy(CHUNK).orderBy(*order)
-    joined = null_safe_join(rows, offsets, [CHUNK], "inner")
-    return joined.withColumn(out, F.col("_o") + F.row_number().over(inside)).drop(CHUNK, "_o")
+    joined = null_safe_join(own, carry, [*keys, PART], "left")
+    out = {n: F.coalesce(f"_c_{n}", F.lit(0)) + F.coalesce(f"_i_{n}", F.lit(0)) for n in sums}
+    out |= {n: F.coalesce(f"_i_{n}", f"_c_{n}")["v"] for n in [*last, *previous]}
+    joined = joined.withColumns(out)
+    return joined.select(*[c for c in keep if c not in out], *out)
 
 
-def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], bands: int = 256
-) -> DataFrame:
-    """Linear-interpolated quantiles per group as ``q0, q1, ...`` with ``n``, ``low`` and ``high``.
+def number_rows(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """1-based number of every row in ``order``, without a global sort in one task."""
+    return scan(df, [], order, sums={out: F.lit(1)})
+
+
+@F.arrow_udf(T.LongType())
+def _sortable(x: pa.Array) -> pa.Array:
+    """Bits of a double as an integer of the same order; both zeros are one."""
+    bits = (pc.fill_null(x, 0.0).to_numpy() + 0.0).view(np.int64)
+    return pa.array(np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits), mask=x.is_null().to_numpy(zero_copy_only=False))
+
 
-    Equal values are counted first and written, so the input is read once. Ranks then run over bands of each group that hold
-    about equally many distinct values however they are spread: their edges are approximate quantiles.
+@F.arrow_udf(T.DoubleType())
+def _double(k: pa.Array) -> pa.Array:
+    bits = pc.fill_null(k, 0).to_numpy()
+    return pa.array(np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits).view(np.float64), mask=k.is_null().to_numpy(zero_copy_only=False))
+
+
+DIGIT = 16
+
+
+def column_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles of many columns per group: rows (by, column, n, low, high, q0, q1, ...).
+
+    Radix selection: a double's bits, ordered like the double, are four digits of 16 bits. A pass counts the next digit of the values that share the
+    digits found so far for some wanted rank, and every rank settles its digit from those counts. So ``df`` is read once for any number
+    of columns and groups, its numbers (written beside the keys) four times more; nothing is sorted, and a shuffle carries at most
+    65,536 counts per wanted rank. Columns without a value in a group have no row there.
     """
-    known = df.where(F.col(value).isNotNull())
-    counts = known.groupBy(*by, F.col(value).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
-    counts = cut_lineage(counts, "value-counts")
-    cuts = F.percentile_approx("_x", [i / bands for i in range(1, bands)], 50 * bands)
-    span = counts.groupBy(*by).agg(
-        F.sum("_n").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"), cuts.alias("_cuts")
-    )
-    rows = null_safe_join(counts, span, list(by), "inner") if by else attach_one(counts, span)
-    band = F.size(F.filter("_cuts", lambda c: c < F.col("_x")))
-    rows = running_sums(rows.withColumn("_band", band).drop("_cuts"), list(by), ["_x"], F.col("_band"), {"_upto": F.col("_n")})
-    first = F.col("_upto") - F.col("_n")
+    by, probs = list(by), [float(p) for p in probs]
+    group = F.struct(*by) if by else F.lit(0)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("_c")
+    rows = df.select(group.alias("_g"), cells).where("_c.x IS NOT NULL").select("_g", F.col("_c.column").alias("_at"), _sortable("_c.x").alias("_k"))
+    rows = cut_lineage(rows, "numbers")
+    cell = ["_g", "_at"]
+    sizes = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.min("_k").alias("_low"), F.max("_k").alias("_high"))
+    sizes = cut_lineage(sizes, "sizes")
+    place = lambda p: (F.col("n") - 1) * p
+    ranks = F.array_distinct(F.array(*[f(place(p)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]))
+    wanted = sizes.select(*cell, F.explode(ranks).alias("_rank")).withColumn("_left", F.col("_rank")).withColumn("_prefix", F.lit(None).cast("bigint"))
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        live = rows.withColumn("_prefix", F.shiftright("_k", shift + DIGIT) if shift + DIGIT < 64 else F.lit(None).cast("bigint"))
+        if shift + DIGIT < 64:
+            live = null_safe_join(live, wanted.select(*cell, "_prefix").distinct(), [*cell, "_prefix"], "left_semi")
+        counts = live.groupBy(*cell, "_prefix", F.shiftright("_k", shift).alias("_digit")).agg(F.count("*").alias("_n"))
+        upto = Window.partitionBy(*cell, "_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.withColumn("_end", F.sum("_n").over(upto))
+        met = null_safe_join(wanted, counts, [*cell, "_prefix"], "inner").where("_left < _end AND _left >= _end - _n")
+        wanted = met.select(*cell, "_rank", (F.col("_left") - F.col("_end") + F.col("_n")).alias("_left"), F.col("_digit").alias("_prefix"))
+        wanted = cut_lineage(wanted, "digits")
+    found = wanted.groupBy(*cell).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_prefix"))).alias("_found"))
+    out = null_safe_join(sizes, found, cell, "inner")
     picks = []
     for i, p in enumerate(probs):
-        at = (F.col("n") - 1) * float(p)
-        lower, upper = F.floor(at), F.ceil(at)
-        lo = F.max(F.when((first <= lower) & (lower < F.col("_upto")), F.col("_x")))
-        hi = F.max(F.when((first <= upper) & (upper < F.col("_upto")), F.col("_x")))
-        frac = F.max(at - lower)
-        picks.append((lo + (hi - lo) * frac).alias(f"q{i}"))
-    return rows.groupBy(*by).agg(F.max("n").alias("n"), F.max("low").alias("low"), F.max("high").alias("high"), *picks)
+        low, high = (_double(F.element_at("_found", f(place(p)).cast("bigint"))) for f in (F.floor, F.ceil))
+        picks.append((low + (high - low) * (place(p) - F.floor(place(p)))).alias(f"q{i}"))
+    return out.select(*[F.col(f"_g.{c}").alias(c) for c in by], F.col("_at").alias("column"), "n", _double("_low").alias("low"), _double("_high").alias("high"), *picks)
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """``column_quantiles`` of one column."""
+    return column_quantiles(df, by, [value], probs).drop("column")
 
 
 def attach_one(df: DataFrame, one: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from offerwell.functions.numbers import clip, half_up
 from offerwell.functions.offers import category_factor
 from offerwell.functions.text import short_label
 from offerwell.operators.joins import PARAM_NAMES, similar_prices, source_params
-from offerwell.operators.ordered import hash_chunk, number_rows
+from offerwell.operators.ordered import number_rows
 from offerwell.operators.windows import allocate_stock, sample_per_group
 from offerwell.session import cut_lineage
 
@@ -173,9 +173,7 @@ def settle_offers(offers: DataFrame, products: DataFrame, order: Sequence[str])
     # Numbering reads its input twice, so the allocation is written once.
     keep = ["offer_id", "product_id", "buyer_id", "seller_id", "created", "price_final"]
     paid = cut_lineage(paid.select(keep), "paid")
-    numbered = number_rows(
-        paid.withColumn("_digest", F.md5(F.col("offer_id").cast("binary"))), ["_digest"], hash_chunk("offer_id"), "_seq"
-    )
+    numbered = number_rows(paid.withColumn("_digest", F.md5(F.col("offer_id").cast("binary"))), ["_digest"], "_seq")
     number = F.format_string("%06d", F.col("_seq"))
     day = F.date_format("created", "yyyyMMdd")
     return numbered.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerwell.functions.numbers import exact_mean, half_up
 from offerwell.operators.joins import category_map, similar_prices, star_lookup
-from offerwell.operators.ordered import attach_one, hash_chunk, number_rows
+from offerwell.operators.ordered import attach_one, number_rows
 from offerwell.operators.windows import price_history
 from offerwell.session import cut_lineage
 
@@ -17,13 +17,13 @@ from offerwell.session import cut_lineage
 def build_dim(df: DataFrame, natural_key: Sequence[str], key: str, attrs: dict[str, Column] | None = None) -> DataFrame:
     """One row per natural key with a dense surrogate key in md5 order of the natural key.
 
-    Attributes take their smallest value per key. Numbering runs over 4096 even hash chunks.
+    Attributes take their smallest value per key.
     """
     aggs = [F.min(c).alias(n) for n, c in (attrs or {}).items()]
     rows = df.groupBy(*natural_key).agg(*aggs) if aggs else df.select(*natural_key).distinct()
     digest = F.md5(F.concat_ws("|", *natural_key).cast("binary"))
     rows = rows.withColumn("_digest", digest)
-    return number_rows(rows, ["_digest", *natural_key], hash_chunk(*natural_key), key).drop("_digest")
+    return number_rows(rows, ["_digest", *natural_key], key).drop("_digest")
 
 
 def hashed_dim(df: DataFrame, natural_key: Sequence[str], key: str) -> DataFrame:

@@ -8,20 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerwell.functions.numbers import clip, exact_mean, half_up
-from offerwell.operators.ordered import attach_one, previous_values, running_sums
+from offerwell.operators.ordered import attach_one, scan
 
 
 def price_history(snapshots: DataFrame, keys=("product_id", "source"), order=("day",), price="price") -> DataFrame:
-    """Previous price and percent change per product and source; months split a long history."""
-    rows = previous_values(snapshots, keys, order, F.trunc("day", "MM"), {"previous_price": F.col(price)})
+    """Previous price and percent change per product and source, in a total order."""
+    rows = scan(snapshots, keys, order, previous={"previous_price": F.col(price)})
     change = F.try_divide(F.col(price) - F.col("previous_price"), F.col("previous_price")) * 100.0
     return rows.withColumn("pct_change", half_up(change))
 
 
-def _hours() -> Column:
-    return F.date_trunc("hour", F.col("ts"))
-
-
 def bid_rounds(bids: DataFrame, markup: float = 1.2, floor_share: float = 0.6) -> DataFrame:
     """Bids with round number, previous bid and the prices of their negotiation.
 
@@ -31,8 +27,7 @@ def bid_rounds(bids: DataFrame, markup: float = 1.2, floor_share: float = 0.6) -
     ask = bids.groupBy("negotiation").agg(
         (F.max("bid") * markup).alias("current"), F.count("*").alias("rounds_max")
     )
-    rows = running_sums(bids, keys, order, _hours(), {"round": F.lit(1)})
-    rows = previous_values(rows, keys, order, _hours(), {"previous_bid": F.col("bid")})
+    rows = scan(bids, keys, order, sums={"round": F.lit(1)}, previous={"previous_bid": F.col("bid")})
     return rows.join(ask, "negotiation").withColumn("floor_price", F.col("current") * floor_share)
 
 
@@ -51,7 +46,7 @@ def cooperation_step(bid: Column, previous: Column, current: Column) -> Column:
 def cooperation_score(rounds: DataFrame) -> DataFrame:
     """Running cooperation score, clamped to +-0.15 after the sum."""
     step = cooperation_step(F.col("bid"), F.col("previous_bid"), F.col("current"))
-    rows = running_sums(rounds, ["negotiation"], ["ts", "event_id"], _hours(), {"_points": step})
+    rows = scan(rounds, ["negotiation"], ["ts", "event_id"], sums={"_points": step})
     return rows.withColumn("cooperation", clip(F.col("_points") / 100.0, -0.15, 0.15)).drop("_points")
 
 
@@ -73,23 +68,15 @@ def stagnation_bonus(bids: DataFrame) -> DataFrame:
 
 def round_number(messages: DataFrame) -> DataFrame:
     """Round (buyer messages so far) and current price (last positive price) after each message."""
-    from offerwell.operators.ordered import last_values
-
-    keys, order, chunk = ["negotiation"], ["turn"], F.floor(F.col("turn") / F.lit(64))
-    rows = running_sums(messages, keys, order, chunk, {"round": F.when(F.col("sender") == "ACHETEUR", 1).otherwise(0)})
+    bought = F.when(F.col("sender") == "ACHETEUR", 1).otherwise(0)
     price = F.when(F.col("price") > 0, F.col("price"))
-    return last_values(rows, keys, order, chunk, {"current_price": price}, include_current=True)
+    return scan(messages, ["negotiation"], ["turn"], sums={"round": bought}, last={"current_price": price})
 
 
 def allocate_stock(orders: DataFrame, stock: DataFrame, order: Sequence[str], quantity: Column) -> DataFrame:
-    """First come, first served: accepted while the running quantity fits the stock; months split a busy product."""
-    rows = running_sums(
-        orders.where(F.col("product_id").isNotNull()),
-        ["product_id"],
-        order,
-        F.trunc("created", "MM"),
-        {"running_quantity": quantity},
-    )
+    """First come, first served: accepted while the running quantity fits the stock."""
+    known = orders.where(F.col("product_id").isNotNull())
+    rows = scan(known, ["product_id"], order, sums={"running_quantity": quantity})
     rows = rows.join(stock.select("product_id", "stock"), "product_id")
     return rows.withColumn("accepted", F.col("running_quantity") <= F.col("stock"))
 

@@ -1,4 +1,4 @@
-"""Chunked running values against plain pandas, with a hot key and missing keys."""
+"""Running values of prefix scans against plain pandas, with a hot key and missing keys."""
 
 import numpy as np
 import pandas as pd
@@ -22,17 +22,13 @@ def rows(spark):
     return pdf, df
 
 
-def chunk():
-    return F.floor(F.col("t") / F.lit(37))
-
-
 def by_i(df, col):
     return {r["i"]: r[col] for r in df.select("i", col).collect()}
 
 
 def test_running_sums(rows):
     pdf, df = rows
-    got = by_i(R.running_sums(df, ["k"], ["t"], chunk(), {"s": F.col("v"), "n": F.lit(1)}), "s")
+    got = by_i(R.scan(df, ["k"], ["t"], sums={"s": F.col("v"), "n": F.lit(1)}), "s")
     ordered = pdf.sort_values("t")
     want = ordered.v.fillna(0).groupby(ordered.k, dropna=False).cumsum()
     assert got == dict(zip(ordered.i, want))
@@ -41,31 +37,30 @@ def test_running_sums(rows):
 def test_last_and_previous(rows):
     pdf, df = rows
     ordered = pdf.sort_values("t")
-    last = by_i(R.last_values(df, ["k"], ["t"], chunk(), {"x": F.col("v")}, include_current=True), "x")
+    last = by_i(R.scan(df, ["k"], ["t"], last={"x": F.col("v")}), "x")
     want = ordered.groupby("k", dropna=False).v.ffill()
     assert last == {i: (None if pd.isna(v) else v) for i, v in zip(ordered.i, want)}
-    before = by_i(R.previous_values(df, ["k"], ["t"], chunk(), {"x": F.col("v")}), "x")
+    before = by_i(R.scan(df, ["k"], ["t"], previous={"x": F.col("v")}), "x")
     want = ordered.groupby("k", dropna=False).v.shift()
     assert before == {i: (None if pd.isna(v) else v) for i, v in zip(ordered.i, want)}
 
 
 def test_number_rows(rows):
     _, df = rows
-    got = by_i(R.number_rows(df, ["t"], chunk(), "no"), "no")
+    got = by_i(R.number_rows(df, ["t"], "no"), "no")
     t = by_i(df, "t")
     assert all(got[i] == t[i] + 1 for i in got)
 
 
-@pytest.mark.parametrize("bands", [1, 7, 4096])
-def test_exact_quantiles(rows, bands):
+def test_exact_quantiles(rows):
     pdf, df = rows
     probs = [0.0, 0.25, 0.5, 0.99, 1.0]
-    got = R.exact_quantiles(df, ["k"], "v", probs, bands).collect()
+    got = R.exact_quantiles(df, ["k"], "v", probs).collect()
     for r in got:
         part = pdf[pdf.k.isna() if r["k"] is None else pdf.k == r["k"]].v.dropna()
         assert r["n"] == len(part)
         np.testing.assert_allclose([r[f"q{j}"] for j in range(5)], part.quantile(probs))
-    whole = R.exact_quantiles(df, [], "v", [0.5], bands).first()
+    whole = R.exact_quantiles(df, [], "v", [0.5]).first()
     assert whole["q0"] == pdf.v.median()
 
 
@@ -100,15 +95,48 @@ def test_french_title_order(spark):
     assert [r["title"] for r in rows] == [None, "abri", "Eau", "écran", "étui", "Zèbre"]
 
 
-def test_quantiles_of_a_heavy_tail_use_even_bands(spark):
-    values = [float(i % 300) / 100 for i in range(6_000)] + [10.0**k for k in range(3, 9)]
+def test_quantiles_of_a_heavy_tail(spark):
+    values = [float(i % 300) / 100 for i in range(6_000)] + [10.0**k for k in range(3, 9)] + [-0.0, 0.0, -1e-300, -7.5, -1e300]
     df = spark.createDataFrame([(1, v) for v in values], "k int, x double")
-    got = R.exact_quantiles(df, ["k"], "x", [0.0, 0.25, 0.5, 0.99, 1.0], bands=16).first()
+    got = R.exact_quantiles(df, ["k"], "x", [0.0, 0.25, 0.5, 0.99, 1.0]).first()
     assert [got[f"q{i}"] for i in range(5)] == pytest.approx(list(np.quantile(values, [0.0, 0.25, 0.5, 0.99, 1.0])))
-    known = df.groupBy("x").count()
-    cuts = known.agg(F.percentile_approx("x", [i / 16 for i in range(1, 16)], 800).alias("c"))
-    band = known.crossJoin(cuts).groupBy(F.size(F.filter("c", lambda c: c < F.col("x")))).count()
-    assert band.agg(F.max("count")).first()[0] <= 2 * known.count() / 16
+
+
+def test_many_columns_in_one_selection(spark, monkeypatch):
+    from offerwell.operators import features
+
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({c: np.where(rng.random(500) < 0.3, np.nan, rng.normal(0, 10.0**k, 500)) for k, c in enumerate("abcd")})
+    pdf["e"] = np.nan
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "a double, b double, c double, d double, e double")
+    got = {r["column"]: r for r in R.column_quantiles(df, [], list("abcde"), [0.1, 0.5]).collect()}
+    assert set(got) == set("abcd")
+    for c in "abcd":
+        assert [got[c]["q0"], got[c]["q1"]] == pytest.approx(pdf[c].quantile([0.1, 0.5]).tolist())
+    written = []
+    monkeypatch.setattr(R, "cut_lineage", lambda d, name, cut=R.cut_lineage: written.append(name) or cut(d, name))
+    for columns in ("a", "abcd"):
+        written.clear()
+        filled = features.impute_median(df, list(columns)).collect()
+        assert written == ["numbers", "sizes", *["digits"] * 4]  # the same steps for any number of columns
+    assert [r["a"] for r in filled] == pytest.approx(pdf["a"].fillna(pdf["a"].median()).tolist())
+
+
+def test_a_hot_key_is_dealt_evenly(spark):
+    """One key holds 90 % of the rows, all of them within one hour."""
+    n = 20_000
+    df = spark.range(n).selectExpr(
+        "id", "CASE WHEN id % 10 = 0 THEN id ELSE -1 END AS k", "timestamp_micros(1700000000000000 + (id * 7919) % 3600000000) AS ts", "id % 13 AS v"
+    )
+    sizes = [r["n"] for r in R.ranged(df, ["k"], ["ts", "id"]).groupBy(R.PART).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * n / 4  # four ranges in the tests' session
+    got = R.scan(df, ["k"], ["ts", "id"], sums={"s": F.col("v")}, last={"w": F.col("v")}, previous={"p": F.col("v")})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in plan.split("BroadcastExchange")[0]  # rows meet by range only
+    pdf = got.toPandas().sort_values(["ts", "id"])
+    assert (pdf.s == pdf.groupby("k").v.cumsum()).all() and (pdf.w == pdf.v).all()
+    before = pdf.groupby("k").v.shift()
+    assert ((pdf.p == before) | (pdf.p.isna() & before.isna())).all()
 
 
 def test_distinct_offers_of_a_long_negotiation(spark):
