@@ -115,7 +115,7 @@ def column_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], p
 
     Radix selection: a double's bits, ordered like the double, are four digits of 16 bits. A pass counts the next digit of the values that share the
     digits found so far for some wanted rank, and every rank settles its digit from those counts. So ``df`` is read once for any number
-    of columns and groups, its numbers (written beside the keys) four times more; nothing is sorted, and a shuffle carries at most
+    of columns and groups, its numbers (written beside the keys) four times; nothing is sorted, and a shuffle carries at most
     65,536 counts per wanted rank. Columns without a value in a group have no row there.
     """
     by, probs = list(by), [float(p) for p in probs]
@@ -124,16 +124,21 @@ def column_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], p
     rows = df.select(group.alias("_g"), cells).where("_c.x IS NOT NULL").select("_g", F.col("_c.column").alias("_at"), _sortable("_c.x").alias("_k"))
     rows = cut_lineage(rows, "numbers")
     cell = ["_g", "_at"]
-    sizes = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.min("_k").alias("_low"), F.max("_k").alias("_high"))
-    sizes = cut_lineage(sizes, "sizes")
+    whole = F.lit(None).cast("bigint").alias("_prefix")
+    first = rows.groupBy(*cell, whole, F.shiftright("_k", 64 - DIGIT).alias("_digit")).agg(
+        F.count("*").alias("_n"), F.min("_k").alias("_low"), F.max("_k").alias("_high")
+    )
+    first = cut_lineage(first, "digits")
+    sizes = first.groupBy(*cell).agg(F.sum("_n").alias("n"), F.min("_low").alias("_low"), F.max("_high").alias("_high"))
     place = lambda p: (F.col("n") - 1) * p
     ranks = F.array_distinct(F.array(*[f(place(p)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]))
     wanted = sizes.select(*cell, F.explode(ranks).alias("_rank")).withColumn("_left", F.col("_rank")).withColumn("_prefix", F.lit(None).cast("bigint"))
     for shift in range(64 - DIGIT, -1, -DIGIT):
-        live = rows.withColumn("_prefix", F.shiftright("_k", shift + DIGIT) if shift + DIGIT < 64 else F.lit(None).cast("bigint"))
+        counts = first
         if shift + DIGIT < 64:
+            live = rows.withColumn("_prefix", F.shiftright("_k", shift + DIGIT))
             live = null_safe_join(live, wanted.select(*cell, "_prefix").distinct(), [*cell, "_prefix"], "left_semi")
-        counts = live.groupBy(*cell, "_prefix", F.shiftright("_k", shift).alias("_digit")).agg(F.count("*").alias("_n"))
+            counts = live.groupBy(*cell, "_prefix", F.shiftright("_k", shift).alias("_digit")).agg(F.count("*").alias("_n"))
         upto = Window.partitionBy(*cell, "_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
         counts = counts.withColumn("_end", F.sum("_n").over(upto))
         met = null_safe_join(wanted, counts, [*cell, "_prefix"], "inner").where("_left < _end AND _left >= _end - _n")
