@@ -9,6 +9,7 @@ from offerwell.functions import offers as O
 from offerwell.operators import aggregates as G
 from offerwell.operators import dedup as E
 from offerwell.operators import ingest, quality as D, ranking as I
+from offerwell.session import cut_lineage
 from offerwell.plans.registry import query, r2, r4
 from offerwell.sources.views import LISTING_ORDER
 
@@ -530,18 +531,22 @@ _PROFILED = ["price_initial_mad", "cents"]
     "FROM unified GROUP BY 1",
 )
 def _(t):
-    """Whether distinct counts are within 15 % (three standard errors) and quartiles within the stated rank error."""
-    accuracy = 1000
-    found = G.approx_profile(t.unified, _PROFILED, "source", accuracy)
+    """Whether distinct counts are within five standard errors (8 %) and quartiles within twice the rank error and one rank.
+
+    The profile is merged from one sketch set per product type and source, as daily ones would be.
+    """
+    parts = G.profile_sketches(t.unified, _PROFILED, ["source", "category"])
+    found = G.read_profiles(G.merge_profiles(cut_lineage(parts, "profiles"), _PROFILED, ["source"]), _PROFILED, ["source"])
     aggs, near = [], []
     for c in _PROFILED:
         aggs += [F.count_distinct(c).alias(f"_{c}"), F.max(f"{c}_distinct").alias(f"_d{c}")]
-        near.append((F.abs(F.col(f"_{c}") - F.col(f"_d{c}")) <= 0.15 * F.col(f"_{c}")).alias(f"{c}_distinct_near"))
-        inside = F.lit(True)
+        near.append((F.abs(F.col(f"_{c}") - F.col(f"_d{c}")) <= 0.08 * F.col(f"_{c}")).alias(f"{c}_distinct_near"))
+        inside, off = F.lit(True), 2 * G.PROFILE_ERROR + 1 / F.max("n")
         for i, p in enumerate((0.25, 0.5, 0.75)):
             q = F.col(f"{c}_quartiles")[i]
-            aggs += [F.avg((F.col(c) < q).cast("int")).alias(f"_l{c}{i}"), F.avg((F.col(c) <= q).cast("int")).alias(f"_u{c}{i}")]
-            inside = inside & (F.col(f"_l{c}{i}") - 1 / accuracy <= p) & (F.col(f"_u{c}{i}") + 1 / accuracy >= p)
+            below, upto = F.avg((F.col(c) < q).cast("int")) - off, F.avg((F.col(c) <= q).cast("int")) + off
+            aggs += [below.alias(f"_l{c}{i}"), upto.alias(f"_u{c}{i}")]
+            inside = inside & (F.col(f"_l{c}{i}") <= p) & (F.col(f"_u{c}{i}") >= p)
         near.append(inside.alias(f"{c}_quartiles_near"))
     rows = t.unified.join(found, "source").groupBy("source").agg(F.max("n").alias("n"), *aggs)
     return rows.select("source", "n", *near)

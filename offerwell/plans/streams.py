@@ -8,7 +8,6 @@ from offerwell.functions.numbers import half_up
 from offerwell.operators.negotiation import first_bids
 from offerwell.plans.negotiation import _replay_sql, scaled_bids
 from offerwell.plans.registry import query, r2
-from offerwell.session import work_dir
 from offerwell.sources.views import AUDIT, OFFER, STORED, _items
 from offerwell.streaming import jobs as S
 
@@ -61,28 +60,39 @@ _SESSIONS = """SELECT user_id, min(ts) AS s, max(ts) + INTERVAL 2 HOUR AS e, cou
     PARTITION BY user_id ORDER BY ts) + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, g"""
 
 
+def arrivals(rows, name: str, key: str = "event_id", mixed: bool = False):
+    """(stream, arrivals): ``rows`` in four parts that arrive one after another, each a quarter of the ids or (mixed) every fourth id."""
+    source = S.Arrivals(rows.sparkSession, name)
+    last = rows.agg(F.max(key)).first()[0] or 0
+    part = F.col(key) % 4 if mixed else F.least(F.floor(F.col(key) * 4 / (last + 1)), F.lit(3))
+    return source.stream(rows.schema), [source.part(rows.where(part == i)) for i in range(4)]
+
+
 @query(
     "stream_sessions",
     f"""SELECT user_id, strftime(s, '%Y-%m-%d %H:%M') AS session_start, strftime(e, '%Y-%m-%d %H:%M') AS session_end, n
-    FROM ({_SESSIONS}) WHERE e <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+    FROM ({_SESSIONS})""",
 )
 def _(t):
-    rows = S.append_to_files(S.sessions(events(t), "user_id"), "sessions")
+    end = S.Closing(t.spark, "sessions")
+    rows = S.append_to_files(S.sessions(end.attach(events(t)), "user_id"), "sessions", [None, end.close])
     return rows.select("user_id", minute("session_start"), minute("session_end"), "n")
 
 
 @query("stream_negotiate", _replay_sql())
 def _(t):
-    stream = events(t).selectExpr(
-        "user_id AS negotiation", "event_id AS seq", "value * 0.2D + 90.0D + event_id % 7 AS bid"
+    end = S.Closing(t.spark, "negotiate")
+    bids = t.events.selectExpr(
+        "user_id AS negotiation", "event_id AS seq", "cast(ts AS timestamp) AS ts", "value * 0.2D + 90.0D + event_id % 7 AS bid"
     )
+    rows, parts = arrivals(bids, "negotiate", "seq")
     # Opening prices are known when a negotiation starts; here they are the stored table of the batch twin.
     opening = first_bids(scaled_bids(t)).select("negotiation", "current", "floor_price")
     spark = t.spark
     before = spark.conf.get(S.STATE_PROVIDER)
     spark.conf.set(S.STATE_PROVIDER, S.ROCKSDB)
     try:
-        states = S.append_to_files(S.negotiate(stream, opening), "negotiate")
+        states = S.append_to_files(S.negotiate(end.attach(rows), opening), "negotiate", [*parts, end.close])
     finally:
         spark.conf.set(S.STATE_PROVIDER, before)
     return S.negotiated_prices(states)
@@ -106,17 +116,17 @@ _PAID = """SELECT o.event_id AS offer_id, p.event_id AS payment_id FROM events o
     AND o.event_type = 'signup' AND p.event_type = 'purchase' AND p.ts >= o.ts AND p.ts <= o.ts + INTERVAL 24 HOUR"""
 
 
-# Unpaid offers come out once both streams have passed their payment time by the delay of an hour.
 @query(
     "stream_expiry",
     f"""SELECT offer_id, payment_id, 'PAYEE' AS status FROM ({_PAID}) UNION ALL
-    SELECT event_id, NULL, 'EXPIREE' FROM events WHERE event_type = 'signup' AND event_id NOT IN (SELECT offer_id FROM
-    ({_PAID})) AND ts + INTERVAL 25 HOUR < (SELECT least(max(ts) FILTER (event_type = 'signup'),
-    max(ts) FILTER (event_type = 'purchase')) FROM events)""",
+    SELECT event_id, NULL, 'EXPIREE' FROM events WHERE event_type = 'signup' AND event_id NOT IN (SELECT offer_id FROM ({_PAID}))""",
 )
 def _(t):
-    rows = S.expiry(kind(t, "signup", "offer_id"), kind(t, "purchase", "payment_id"))
-    return S.append_to_files(rows, "expiry").select("offer_id", "payment_id", "status")
+    end = S.Closing(t.spark, "expiry")
+    offers = end.attach(kind(t, "signup", "offer_id"), buyer_id=-1)
+    payments = end.attach(kind(t, "purchase", "payment_id"), buyer_id=-2)
+    rows = S.append_to_files(S.expiry(offers, payments), "expiry", [None, end.close])
+    return rows.select("offer_id", "payment_id", "status")
 
 
 @query(
@@ -138,18 +148,15 @@ def _(t):
     return S.late_rows(t.events, "10 DAYS").select("event_id", "is_late")
 
 
-# Four files, one micro-batch each: every fourth event, so that all but the first batch hold rows behind the time reached.
+# Four arrivals: every fourth event, so that all but the first hold rows behind the time reached.
 @query(
     "stream_late_split",
     """WITH m AS (SELECT event_id % 4 AS part, max(ts) AS reached FROM events GROUP BY 1)
     SELECT event_id, coalesce(ts < (SELECT max(reached) FROM m WHERE part < event_id % 4) - INTERVAL 10 DAY, false) AS is_late FROM events""",
 )
 def _(t):
-    path = work_dir(t.spark, "late-parts")
-    for i in range(4):
-        t.events.where(F.col("event_id") % 4 == i).coalesce(1).write.mode("append").parquet(path)
-    parts = S.read_files(t.spark, path, STORED["events"], "*.parquet", 1).withColumn("ts", F.col("ts").cast("timestamp"))
-    return S.late_split(parts, "10 DAYS", "late").select("event_id", "is_late")
+    rows, parts = arrivals(t.events, "late", mixed=True)
+    return S.late_split(rows, "10 DAYS", "late", arrivals=parts).select("event_id", "is_late")
 
 
 @query(
@@ -164,6 +171,5 @@ def _(t):
 
 @query("stream_upsert", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY 1")
 def _(t):
-    return S.upsert_sink(events(t).select("user_id", "event_id", "ts"), "user_id", ["ts", "event_id"], "upsert").select(
-        "user_id", "event_id"
-    )
+    rows, parts = arrivals(t.events.select("user_id", "event_id", "ts"), "upsert")
+    return S.upsert_sink(rows, "user_id", ["ts", "event_id"], "upsert", parts).select("user_id", "event_id")

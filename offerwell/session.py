@@ -32,6 +32,10 @@ def spark_session(app: str = "offerwell", master: str | None = None, shuffle_par
     return b.getOrCreate()
 
 
+#: Scratch folder of local sessions without ``spark.checkpoint.dir``, which cannot be set once a session runs.
+_LOCAL: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """New folder for one job below the shared folder of ``spark.checkpoint.dir``.
 
@@ -41,8 +45,9 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="offerwell-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="offerwell-"))
+        base = _LOCAL[0]
     return f"{base.rstrip('/')}/offerwell-{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -1,24 +1,26 @@
 """Streaming versions of merge, window, session, negotiation, anomaly and expiry jobs.
 
 Lateness rules are ours: every job names its watermark delay. Jobs drain what is available and stop, keep offsets and
-state in a checkpoint below the shared folder, and write to files there, so a restart continues where it stopped.
+state in a checkpoint below the shared folder, and write to files there, so a restart continues where it stopped. A job can
+be given arrivals: steps that bring new input, each followed by a drain. ``Closing`` is the last arrival of a bounded source.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType
+from pyspark.sql.types import BooleanType, IntegerType, LongType
 
 from offerwell import constants as K
 from offerwell.operators.dedup import keep_first
 from offerwell.operators.negotiation import replay
+from offerwell.operators.ordered import null_safe_join
 from offerwell.operators.pricing import anomaly_columns
-from offerwell.session import work_dir
+from offerwell.session import cut_lineage, work_dir
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -32,33 +34,75 @@ def read_files(spark: SparkSession, folder: str, schema: str, pattern: str, file
     return reader.parquet(folder)
 
 
-def append_to_files(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append query into a parquet sink and return what was written."""
+class Arrivals:
+    """A folder that a stream watches. Every part is written whole, in as many files as Spark makes of it, before the next drain."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.made = spark, work_dir(spark, f"{name}-arrivals"), 0
+
+    def stream(self, schema) -> DataFrame:
+        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/part-*")
+
+    def part(self, df: DataFrame) -> Callable[[], None]:
+        self.made += 1
+        path = f"{self.folder}/part-{self.made}"
+        return lambda: df.write.parquet(path)
+
+
+#: Event time of the closing row: every real event is before it, and pandas can hold it.
+END = "2200-01-01"
+
+
+class Closing:
+    """Ends a bounded source: one row far behind all events moves the watermark past the last of them.
+
+    ``attach`` goes before the watermark of a stream; the row has its event time and null elsewhere, so it belongs to no key, and nothing that
+    it opens is ever emitted. Columns that a join compares need a value that no other stream's row has, as rows with null are filtered
+    before they reach the watermark. Pass ``close`` as the last arrival.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.ends = spark, name, []
+
+    def attach(self, stream: DataFrame, ts: str = "ts", **values) -> DataFrame:
+        end = Arrivals(self.spark, f"{self.name}-end")
+        values[ts] = END
+        row = self.spark.range(1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema])
+        self.ends.append(end.part(row))
+        return stream.unionByName(end.stream(stream.schema))
+
+    def close(self) -> None:
+        for end in self.ends:
+            end()
+
+
+def _drain(writer, checkpoint: str, arrivals: Iterable[Callable[[], None] | None]):
+    """Run the query until all that is there is read, once per arrival; returns the last run."""
+    query = None
+    for arrive in arrivals:
+        if arrive is not None:
+            arrive()
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return query
+
+
+def append_to_files(stream: DataFrame, name: str, arrivals: Iterable = (None,), progress: list | None = None) -> DataFrame:
+    """Run an append query into a parquet sink and return what was written; ``progress`` gets the report of the last run."""
     spark = stream.sparkSession
     path = work_dir(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{path}/out")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", f"{path}/out")
+    query = _drain(writer, f"{path}/checkpoint", arrivals)
+    if progress is not None:
+        progress.extend(query.recentProgress)
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
-def run_batches(stream: DataFrame, name: str, mode: str, handle: Callable[[DataFrame, int, str], None]) -> str:
+def run_batches(stream: DataFrame, name: str, mode: str, handle: Callable[[DataFrame, int, str], None], arrivals: Iterable = (None,)) -> str:
     """Run ``handle(batch, batch_id, path)`` per micro-batch; returns the output path."""
     path = work_dir(stream.sparkSession, name)
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .foreachBatch(lambda batch, i: handle(batch, i, f"{path}/out"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, i: handle(batch, i, f"{path}/out"))
+    _drain(writer, f"{path}/checkpoint", arrivals)
     return f"{path}/out"
 
 
@@ -144,7 +188,7 @@ def late_rows(df: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
     return rows.withColumn("is_late", F.expr(f"{ts} < _latest - INTERVAL {delay}")).drop("_latest")
 
 
-def late_split(stream: DataFrame, delay: str, name: str, ts: str = "ts") -> DataFrame:
+def late_split(stream: DataFrame, delay: str, name: str, ts: str = "ts", arrivals: Iterable = (None,)) -> DataFrame:
     """Rows of each micro-batch flagged late against the event time reached by the earlier batches.
 
     Late rows are kept next to the others; the reached time of a batch is stored with it for the next one.
@@ -160,72 +204,138 @@ def late_split(stream: DataFrame, delay: str, name: str, ts: str = "ts") -> Data
         reached = batch.agg(F.max(ts).alias("m")).select(F.greatest("m", seen).alias("reached"))
         reached.write.mode("overwrite").parquet(f"{path}/mark/batch_id={i}")
 
-    path = run_batches(stream, name, "append", write)
+    path = run_batches(stream, name, "append", write, arrivals)
     schema = stream.schema.add("is_late", BooleanType()).add("batch_id", LongType())
     return spark.read.schema(schema).parquet(f"{path}/rows")
 
 
-def upsert_sink(stream: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
-    """Merge each micro-batch into the stored table: only keys not stored yet are added.
+#: Buckets of the stored table of ``upsert_sink``, and 32,768-bit words of the membership filter of each.
+BUCKETS, WORDS = 64, 8
+
+
+def _bits(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("filter"), F.col(key)), F.lit(WORDS * 32768)) + 1
+
+
+def _bit_is_set(bits: Column, position: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (position % 8).cast("int")) == 1
+
 
-    A batch writes its own folder and compares with the folders of earlier batches only, so a repeated batch gives
-    the same table.
+def _stored(spark: SparkSession, path: str, schema, buckets: list[int], before: int) -> DataFrame:
+    """Rows of earlier batches in the named buckets; the folders of others are not opened."""
+    full = schema.add("batch_id", LongType()).add("bucket", IntegerType())
+    rows = spark.read.schema(full).parquet(f"{path}/rows")
+    return rows.where((F.col("batch_id") < before) & F.col("bucket").isin(buckets))
+
+
+def upsert_sink(stream: DataFrame, key: str, order: Sequence[str], name: str, arrivals: Iterable = (None,)) -> DataFrame:
+    """Merge each micro-batch into the stored table: only keys not stored yet are added, with their first row in ``order``.
+
+    The table lies in buckets of the key's hash, with a bitmap of key hashes per bucket. A micro-batch asks the bitmaps first: keys whose bit is
+    not set are new, and only the buckets of the others are read to compare keys. A batch writes its own folders and looks at those of
+    earlier batches only, so a repeated batch gives the same table. A null key is a key.
     """
     spark = stream.sparkSession
 
     def write(batch: DataFrame, i: int, path: str) -> None:
-        first = keep_first(batch, [key], order)
+        first = keep_first(batch, [key], order).withColumns({"bucket": F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"), "_bit": _bits(key)})
+        first = cut_lineage(first.withColumn("_word", F.bitmap_bucket_number("_bit")), "upsert")
         if i > 0:
-            stored = spark.read.schema(stream.schema.add("batch_id", LongType())).parquet(path)
-            first = first.join(stored.where(F.col("batch_id") < i).select(key), key, "left_anti")
-        first.write.mode("overwrite").parquet(f"{path}/batch_id={i}")
-
-    path = run_batches(stream, name, "append", write)
-    return spark.read.schema(stream.schema).parquet(path)
+            filters = spark.read.schema("bucket int, _word bigint, bits binary, batch_id bigint").parquet(f"{path}/filters").where(F.col("batch_id") < i)
+            filters = filters.groupBy("bucket", "_word").agg(F.bitmap_or_agg("bits").alias("_bits"))  # BUCKETS * WORDS rows at most
+            asked = first.join(filters, ["bucket", "_word"], "left")
+            seen = F.coalesce(_bit_is_set(F.col("_bits"), F.bitmap_bit_position("_bit")), F.lit(False))
+            asked = asked.withColumn("_seen", seen).drop("_bits")
+            touched = sorted(r["bucket"] for r in asked.where("_seen").select("bucket").distinct().collect())  # BUCKETS rows at most
+            known = null_safe_join(asked.where("_seen"), _stored(spark, path, stream.schema, touched, i).select(key), [key], "left_anti")
+            first = asked.where("NOT _seen").unionByName(known).drop("_seen")
+        first = cut_lineage(first, "upsert-new")
+        first.drop("_bit", "_word").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows/batch_id={i}")
+        bits = first.groupBy("bucket", "_word").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("bits"))
+        bits.write.mode("overwrite").parquet(f"{path}/filters/batch_id={i}")
+
+    path = run_batches(stream, name, "append", write, arrivals)
+    return spark.read.schema(stream.schema.add("batch_id", LongType()).add("bucket", IntegerType())).parquet(f"{path}/rows").select(*stream.columns)
 
 
 # --- negotiation state --------------------------------------------------------------------------------------------
 
 
 class FirstBids(StatefulProcessor):
-    """Keeps the first bids of a negotiation (a handful by contract) and emits them after each accepted bid."""
+    """Keeps the first bids of a negotiation (a handful by contract) and emits them after each accepted bid.
+
+    With the last round the bids are dropped; a mark that the negotiation is over stays, so that bids which still come are not taken for a new
+    one. Bids and mark are removed when the watermark is ``idle`` milliseconds past the last bid of the key.
+    """
+
+    def __init__(self, idle: int):
+        self.idle = idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.bids = handle.getValueState("bids", "bids array<double>")
+        self.handle = handle
+        self.bids = handle.getValueState("bids", "bids array<double>, seen bigint")
+        self.over = handle.getValueState("over", "seen bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        held = list(self.bids.get()[0]) if self.bids.exists() else []
-        start = len(held)
+        if pd.isna(key[0]):  # the closing row
+            return
+        held, seen = self.bids.get() or ([], 0)
+        over = None if held else self.over.get()
+        held, seen = list(held), over[0] if over else seen
+        start, fresh = len(held), not held and not over
         arrived = []
         for pdf in rows:
+            seen = max(seen, int(pdf["ts"].max().value // 1_000_000))
             # Only as many of the earliest rows as there are rounds left can matter.
-            if start < K.MAX_ROUNDS:
+            if not over and start < K.MAX_ROUNDS:
                 arrived.append(pdf.nsmallest(K.MAX_ROUNDS - start, "seq"))
-        if arrived:
-            new = pd.concat(arrived).nsmallest(K.MAX_ROUNDS - start, "seq")
-            out = []
-            for bid in new["bid"]:
-                held.append(float(bid))
-                padded = held + [None] * (K.MAX_ROUNDS - len(held))
-                out.append((int(key[0]), len(held), *padded))
-            self.bids.update((held,))
-            names = ["negotiation", "upto", *[f"h{i}" for i in range(1, K.MAX_ROUNDS + 1)]]
-            yield pd.DataFrame(out, columns=names).astype({n: "float64" for n in names[2:]})
+        if fresh:
+            self.handle.registerTimer(seen + self.idle)
+        if over:
+            self.over.update((seen,))
+            return
+        new = pd.concat(arrived).nsmallest(K.MAX_ROUNDS - start, "seq")
+        out = []
+        for bid in new["bid"]:
+            held.append(float(bid))
+            padded = held + [None] * (K.MAX_ROUNDS - len(held))
+            out.append((int(key[0]), len(held), *padded))
+        if len(held) == K.MAX_ROUNDS:
+            self.bids.clear()
+            self.over.update((seen,))
+        else:
+            self.bids.update((held, seen))
+        names = ["negotiation", "upto", *[f"h{i}" for i in range(1, K.MAX_ROUNDS + 1)]]
+        yield pd.DataFrame(out, columns=names).astype({n: "float64" for n in names[2:]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        state = self.bids.get()
+        seen = state[1] if state else (self.over.get() or (0,))[0]
+        due = seen + self.idle
+        if due > timerValues.getCurrentWatermarkInMs():  # bids came since the timer was set
+            self.handle.registerTimer(due)
+        else:
+            self.bids.clear()
+            self.over.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def negotiate(bids: DataFrame, opening: DataFrame) -> DataFrame:
+def negotiate(bids: DataFrame, opening: DataFrame, idle: str = "60 days", delay: str = "1 hour") -> DataFrame:
     """Price after every bid of a stream (append).
 
     State holds the bids so far and nothing else; the price is the native replay of those few rounds, so pricing has one
-    definition. ``bids``: negotiation, seq (order), bid; ``opening``: negotiation, current, floor_price.
+    definition. ``bids``: negotiation, seq (order), ts, bid; ``opening``: negotiation, current, floor_price. A negotiation without a bid for
+    ``idle`` is over and its state removed; a later bid opens a new one.
     """
     names = [f"h{i}" for i in range(1, K.MAX_ROUNDS + 1)]
     schema = "negotiation bigint, upto int, " + ", ".join(f"{n} double" for n in names)
-    states = bids.groupBy("negotiation").transformWithStateInPandas(
-        statefulProcessor=FirstBids(), outputStructType=schema, outputMode="Append", timeMode="None"
+    wait = int(pd.Timedelta(idle).total_seconds() * 1000)
+    states = bids.withWatermark("ts", delay).groupBy("negotiation").transformWithStateInPandas(
+        statefulProcessor=FirstBids(wait), outputStructType=schema, outputMode="Append", timeMode="EventTime"
     )
     return states.join(opening, "negotiation")
 

@@ -154,3 +154,19 @@ def test_offer_label_keeps_fifty_characters(spark):
 
 def test_accents_of_all_latin_letters(spark):
     assert one(spark, "Żółw čaj İĞüş ßéñ é Ṽ", T.strip_accents) == "Zołw caj IGus ßen e V"
+
+
+def test_merged_profiles_are_near_those_of_all_rows(spark):
+    from offerwell.operators import aggregates as G
+
+    df = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN id % 3 END AS g", "id % 7 AS day", "CASE WHEN id % 11 > 0 THEN cast((id * 7919) % 30011 AS double) END AS x", "cast(NULL AS double) AS z"
+    )
+    merged = G.merge_profiles(G.profile_sketches(df, ["x", "z"], ["g", "day"]), ["x", "z"], ["g"])
+    got = {r["g"]: r for r in G.read_profiles(merged, ["x"], ["g"]).collect()}
+    pdf = df.toPandas()
+    for g, r in got.items():
+        x = pdf[pdf.g.isna() if g is None else pdf.g == g].x
+        assert r["n"] == len(x) and abs(r["x_distinct"] - x.nunique()) <= 0.08 * x.nunique()
+        for p, q in zip((0.25, 0.5, 0.75), r["x_quartiles"]):
+            assert abs((x.dropna() <= q).mean() - p) <= 2 * G.PROFILE_ERROR + 1 / x.count()

@@ -60,18 +60,94 @@ def test_windows_drop_rows_behind_the_watermark(spark, tmp_path):
     assert [(str(r["window_start"])[:10], r["n"]) for r in got] == [("2024-01-01", 3), ("2024-01-03", 3)]
 
 
-def test_negotiation_state_survives_batches(spark, tmp_path):
-    files(spark, tmp_path, PARTS)
-    bids = spark.createDataFrame([r for p in PARTS for r in p], "event_id long, ts string, negotiation long, k string, bid double")
+def test_negotiation_state_survives_batches_and_is_removed(spark, tmp_path):
+    # Negotiation 1 goes on after its last round, in the same and in a later batch.
+    more = [(10 + i, f"2024-01-04 {10 + i}:00:00", 1, "a", 96.0 + i) for i in range(8)]
+    parts = [*PARTS, more, [(30, "2024-01-05 10:00:00", 1, "a", 150.0), (31, "2024-01-05 10:00:00", 3, "a", 25.0)]]
+    files(spark, tmp_path, parts)
+    bids = spark.createDataFrame([r for p in parts for r in p], "event_id long, ts string, negotiation long, k string, bid double")
     wide = first_bids(bids.withColumn("ts", F.col("event_id")))  # arrival order
     opening = wide.select("negotiation", "current", "floor_price")
     before = spark.conf.get(S.STATE_PROVIDER)
     spark.conf.set(S.STATE_PROVIDER, S.ROCKSDB)
     try:
-        source = stream(spark, tmp_path).selectExpr("user_id AS negotiation", "event_id AS seq", "value AS bid")
-        states = S.append_to_files(S.negotiate(source, opening), "t-negotiate")
+        end = S.Closing(spark, "t-negotiate")
+        source = stream(spark, tmp_path).selectExpr("user_id AS negotiation", "event_id AS seq", "ts", "value AS bid")
+        open_, done = [], []
+        S.append_to_files(S.negotiate(source, opening), "t-open", progress=open_)
+        states = S.append_to_files(S.negotiate(end.attach(source), opening), "t-negotiate", [None, end.close], done)
     finally:
         spark.conf.set(S.STATE_PROVIDER, before)
     key = lambda df: sorted(tuple(r) for r in df.collect())
-    assert states.count() == 6
     assert key(S.negotiated_prices(states)) == key(replay(wide))
+    assert len({r["upto"] for r in states.where("negotiation = 1").collect()}) == states.where("negotiation = 1").count()
+    rows = lambda reports: reports[-1].stateOperators[0].numRowsTotal
+    assert rows(open_) > 0 and rows(done) == 0
+
+
+def test_an_idle_negotiation_is_forgotten(spark, tmp_path):
+    parts = [[(1, "2024-01-01 10:00:00", 1, "a", 90.0)], [(2, "2024-01-09 10:00:00", 2, "a", 80.0)], [(3, "2024-01-09 11:00:00", 2, "a", 85.0)],
+             [(4, "2024-01-10 10:00:00", 1, "a", 91.0)]]
+    files(spark, tmp_path, parts)
+    opening = spark.createDataFrame([(1, 100.0, 60.0), (2, 100.0, 60.0)], "negotiation long, current double, floor_price double")
+    before = spark.conf.get(S.STATE_PROVIDER)
+    spark.conf.set(S.STATE_PROVIDER, S.ROCKSDB)
+    try:
+        source = stream(spark, tmp_path).selectExpr("user_id AS negotiation", "event_id AS seq", "ts", "value AS bid")
+        states = S.append_to_files(S.negotiate(source, opening, idle="3 days"), "t-idle")
+    finally:
+        spark.conf.set(S.STATE_PROVIDER, before)
+    assert sorted((r["negotiation"], r["upto"], r["h1"]) for r in states.collect()) == [(1, 1, 90.0), (1, 1, 91.0), (2, 1, 80.0), (2, 2, 80.0)]
+
+
+def test_closing_emits_what_is_open(spark, tmp_path):
+    files(spark, tmp_path, PARTS)
+    one = S.append_to_files(S.sessions(stream(spark, tmp_path), "user_id"), "t-open").count()
+    end = S.Closing(spark, "t-sessions")
+    rows = S.append_to_files(S.sessions(end.attach(stream(spark, tmp_path)), "user_id"), "t-closed", [None, end.close])
+    got = sorted((r["user_id"], str(r["session_start"]), r["n"]) for r in rows.collect())
+    # Event 5 came behind the watermark of its batch.
+    assert one < len(got) and [g for g in got if g[0] != 2] == [(1, "2024-01-01 10:00:00", 1), (1, "2024-01-03 10:00:00", 2), (3, "2024-01-03 11:00:00", 1)]
+    end = S.Closing(spark, "t-expiry")
+    offers = stream(spark, tmp_path).selectExpr("user_id AS buyer_id", "event_id AS offer_id", "ts").where("offer_id IN (1, 4)")
+    paid = stream(spark, tmp_path).selectExpr("user_id AS buyer_id", "event_id AS payment_id", "ts").where("payment_id IN (3, 6)")
+    rows = S.expiry(end.attach(offers, buyer_id=-1), end.attach(paid, buyer_id=-2))
+    got = S.append_to_files(rows, "t-expiry", [None, end.close]).collect()
+    assert sorted((r["offer_id"], r["status"]) for r in got) == [(1, "EXPIREE"), (4, "EXPIREE")]
+
+
+def test_upsert_reads_only_the_buckets_it_touches(spark, monkeypatch):
+    read = []
+    real = S._stored
+
+    def counted(spark, path, schema, buckets, before):
+        rows = real(spark, path, schema, buckets, before)
+        assert not buckets or "bucket" in rows._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+        files_read = rows.select(F.input_file_name()).distinct().count()
+        read.append((len(buckets), files_read, len(spark.read.parquet(f"{path}/rows").inputFiles())))
+        return rows
+
+    monkeypatch.setattr(S, "_stored", counted)
+    source = S.Arrivals(spark, "t-upsert")
+    make = lambda ids: spark.createDataFrame([(i, j) for j, i in enumerate(ids)], "k long, at long").coalesce(1)
+    parts = [make(range(500)), make([3, 3, 7, 1_000, None]), make([3, 1_000, None, 2_000]), make([9_000])]
+    rows = S.upsert_sink(source.stream(parts[0].schema), "k", ["at"], "t-upsert", [source.part(p) for p in parts])
+    got = rows.collect()
+    assert sorted((r["k"] is None, r["k"] or 0) for r in got) == sorted([(False, i) for i in [*range(500), 1_000, 2_000, 9_000]] + [(True, 0)])
+    assert {r["k"]: r["at"] for r in got if r["k"] in (3, 1_000, 2_000)} == {3: 3, 1_000: 3, 2_000: 3}
+    for buckets, files_read, stored in read:
+        assert buckets <= 4 and files_read <= 3 * buckets < stored
+
+
+def test_a_repeated_batch_gives_the_same_table(spark, monkeypatch):
+    """The handler runs twice for every batch, as after a lost driver."""
+    real = S.run_batches
+
+    def twice(stream, name, mode, handle, arrivals=(None,)):
+        return real(stream, name, mode, lambda b, i, path: [handle(b, i, path), handle(b, i, path)], arrivals)
+
+    monkeypatch.setattr(S, "run_batches", twice)
+    source = S.Arrivals(spark, "t-twice")
+    parts = [spark.range(a, b).selectExpr("id AS k", f"{a} AS at") for a, b in ((0, 50), (30, 80), (10, 90))]
+    rows = S.upsert_sink(source.stream(parts[0].schema), "k", ["at"], "t-twice", [source.part(p) for p in parts])
+    assert sorted((r["k"], r["at"]) for r in rows.collect()) == [(i, 0 if i < 50 else 30 if i < 80 else 10) for i in range(90)]
