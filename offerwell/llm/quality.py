@@ -6,8 +6,8 @@ documents it is surest of, and these become training rows of the other. Each vie
 logistic combination of both calibrated views scores every document.
 
 Fitting uses at most ``max_labelled`` labelled documents, chosen by a hash of their id and weighted to stand for all labelled ones.
-Terms are counted over all documents, and every unlabelled document is scored in every round and can become a training row. Scoring
-covers all documents and shuffles nothing.
+Terms are counted over all documents, and every unlabelled document is scored in every round and can become a training row. The features
+of all documents are computed and written once, for fitting and scoring.
 """
 
 from __future__ import annotations
@@ -162,27 +162,32 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, ke
     A null label counts as good (quality) or clean (toxic); of several labels for one id any bad one counts. Labels without a document are not used.
     Without labels, or with labels of one class, every document gets that class (kept where there are none).
     """
+    return _fit(docs, labels, settings, key, text, lang, source, [])[0]
+
+
+def _fit(docs: DataFrame, labels: DataFrame, settings: Settings | None, key: str, text: str, lang: str, source: str, keep: list) -> tuple:
+    """(classifier, features of all documents with the columns ``keep`` in doc; none where the classifier is constant)."""
     settings = settings or Settings()
     bad = (F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)
     marks = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(bad.cast("double")).alias("y"))
-    rows = docs.select(F.col(key).alias("id"), *[F.col(c) for c in dict.fromkeys([text, lang, source])])
-    known = cut_lineage(rows.select("id").distinct().join(marks, "id"), "labelled-ids")
+    known = cut_lineage(docs.select(F.col(key).alias("id")).distinct().join(marks, "id"), "labelled-ids")
     # The sample's ids are bounded by the settings, so they can go to every task.
     chosen = cut_lineage(known.orderBy(F.xxhash64("id"), "id").limit(settings.max_labelled), "sample-ids")
     classes = [r["y"] for r in chosen.select("y").distinct().collect()]  # at most two
     if len(classes) < 2:
-        return Classifier(constant=classes[0] if classes else 0.0, settings=settings)
-    terms, page = _vectorizers(rows, text, settings)
-
-    def features(some: DataFrame, *kept: str) -> DataFrame:
-        inputs = views(some, text, lang, source).select(*[f"doc.{c}" for c in kept], "lang", "source", "terms", *NUMBERS)
-        return page.transform(terms.transform(inputs)).select(*kept, "text_v", "page_v")
-
-    sample = features(rows.join(F.broadcast(chosen), "id"), "id", "y").dropDuplicates(["id"])
+        return Classifier(constant=classes[0] if classes else 0.0, settings=settings), None
+    terms, page = _vectorizers(docs, text, settings)
+
+    inputs = views(docs.select(*dict.fromkeys([key, text, lang, source, *keep])), text, lang, source)
+    passed = F.struct(*[F.col(f"doc.`{c}`").alias(c) for c in keep or [key]]).alias("doc")
+    inputs = inputs.select(F.col(f"doc.`{key}`").alias("id"), passed, "lang", "source", "terms", *NUMBERS)
+    table = cut_lineage(page.transform(terms.transform(inputs)).select("id", "doc", "text_v", "page_v"), "features")
+    numbers = table.select("id", "text_v", "page_v")
+    sample = numbers.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
     ready = sample.withColumn("w", F.lit(known.count() / chosen.count()))
-    ready = cut_lineage(ready.coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism)), "views")
-    # Joined after the texts are reduced to features; documents without an id have no label and need no join.
-    free = features(rows.where("id IS NOT NULL"), "id").join(known, "id", "left_anti").unionAll(features(rows.where("id IS NULL"), "id"))
+    ready = cut_lineage(ready.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism)), "views")
+    # Documents without an id have no label and need no join.
+    free = numbers.where("id IS NOT NULL").join(known, "id", "left_anti").unionAll(numbers.where("id IS NULL"))
     free = cut_lineage(free, "unlabelled")
     fold = _fold(ready, 1, 5)
     train, held = (cut_lineage(x, "fold") for x in (ready.where(fold > 0), ready.where(fold == 0)))
@@ -207,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, ke
     calibrated = Pipeline(stages=[*_logistic_of("text_c", "text_m"), *_logistic_of("page_c", "page_m")]).fit(scored)
     scored = _log_odds(calibrated.transform(scored), text_l="text_c", page_l="page_c")
     combined = Pipeline(stages=_logistic_of("both", "text_l", "page_l")).fit(scored)
-    return Classifier(text_model, page_model, calibrated, combined, None, settings)
+    return Classifier(text_model, page_model, calibrated, combined, None, settings), table
 
 
 def _logistic_of(name: str, *inputs: str) -> list:
@@ -228,20 +233,38 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", lang: str = "l
 
     All columns of ``docs`` pass through, unless they bear a result's name. Null texts are scored as empty ones, null metadata as a value of its own.
     """
-    new = ["text_score", "page_score", "bad_score", "rejected"]
-    kept = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in new]
-    if model.constant is not None:
-        value = F.lit(float(model.constant))
-        rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
-        return rows.select(*kept, *[value.alias(n) for n in new[:3]], (value >= model.settings.reject).alias("rejected"))
-    rows = model.page.transform(model.text.transform(views(docs, text, lang, source)))
+    if model.constant is None:
+        rows = views(docs, text, lang, source)
+        for part in (model.text, model.page):
+            rows = part.stages[0].transform(rows)
+        return _scored(rows, model, docs.columns)
+    value = F.lit(float(model.constant))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
+    return rows.select(*_passed(docs.columns), *[value.alias(n) for n in NEW[:3]], (value >= model.settings.reject).alias("rejected"))
+
+
+NEW = ["text_score", "page_score", "bad_score", "rejected"]
+
+
+def _passed(columns: list) -> list:
+    return [F.col(f"doc.`{c}`").alias(c) for c in columns if c not in NEW]
+
+
+def _scored(rows: DataFrame, model: Classifier, columns: list) -> DataFrame:
+    """Scores of rows with the features of both views and the struct doc of ``columns``."""
+    for part in (model.text, model.page):
+        rows = part.stages[1].transform(rows)
     rows = model.calibrated.transform(_log_odds(rows, text_m="text_v", page_m="page_v"))
     rows = model.combined.transform(_log_odds(rows, text_l="text_c", page_l="page_c"))
     scores = [vector_to_array(c)[1] for c in ("text_c_p", "page_c_p", "both_p")]
-    return rows.select(*kept, *[s.alias(n) for s, n in zip(scores, new)], (scores[2] >= model.settings.reject).alias("rejected"))
+    return rows.select(*_passed(columns), *[s.alias(n) for s, n in zip(scores, NEW)], (scores[2] >= model.settings.reject).alias("rejected"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, **columns: str) -> DataFrame:
-    """Fit on ``labels`` and score all ``docs`` (see :func:`fit` and :func:`score`)."""
-    names = {k: v for k, v in columns.items() if k != "key"}
-    return score(docs, fit(docs, labels, settings, **columns), **names)
+def classify(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, key: str = "doc_id", text: str = "text",
+             lang: str = "lang", source: str = "source", keep: list | None = None) -> DataFrame:
+    """Fit on ``labels`` and score all ``docs`` (see :func:`fit` and :func:`score`); ``keep`` names the columns that pass through, all by default."""
+    keep = docs.columns if keep is None else keep
+    model, table = _fit(docs, labels, settings, key, text, lang, source, keep)
+    if table is None:
+        return score(docs, model, text, lang, source).select(*[c for c in keep if c not in NEW], *NEW)
+    return _scored(table, model, keep)

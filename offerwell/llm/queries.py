@@ -61,7 +61,7 @@ def _(spark, folder):
 
 @query("op5_co_training")
 def _(spark, folder):
-    rows = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    rows = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=["doc_id"])
     return rows.select("doc_id", "text_score", "page_score", "bad_score", "rejected")
 
 
