@@ -233,7 +233,37 @@ def test_query_equals_sql(spark, name):
 
 def test_entry_registers_every_operator():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in names} and "pipeline" in names
+
+
+def test_stage_quality_drops_planted_documents(spark, docs, tmp_path):
+    """Toxic and junk documents that no label names go, clean ones stay as they are; the columns are those of the input."""
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("mo", "ra", "ti", "ke", "lu", "so") for b in ("ban", "rel", "tin", "dor", "mas", "lek", "vo")]
+    toxic = ["scumlike", "idiotic", "worthlessly", "vilest"]
+    rows, labels, fate = [], [], {}
+    for i in range(1_200):
+        text = rng.choices(words, k=rng.randint(30, 120))
+        kind = ("toxic", "junk", *["clean"] * 6)[i % 8]
+        if kind == "toxic":
+            for _ in range(3):
+                text.insert(rng.randrange(len(text)), rng.choice(toxic))
+        body = " ".join(text) + "." if kind != "junk" else "$$$ CLICK!!! >>> " * rng.randint(10, 40)
+        rows.append((i, body))
+        fate[i] = kind
+        if rng.random() < 0.5:
+            labels.append((i, int(kind != "junk"), int(kind == "toxic")))
+    rows.append((5_000, None))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    whole = docs(rows, extra=False)
+    kept = corpus_pipeline.keep_quality(spark, whole, str(tmp_path))
+    assert kept.columns == whole.columns
+    got = {r["doc_id"]: r["text"] for r in kept.collect()}
+    texts, named = dict(rows), {i for i, *_ in labels}
+    lost = lambda kind: [i not in got for i, k in fate.items() if k == kind and i not in named]
+    assert all(got[i] == texts[i] for i in got)
+    assert sum(lost("toxic")) >= 0.9 * len(lost("toxic")) and sum(lost("junk")) >= 0.9 * len(lost("junk"))
+    assert sum(lost("clean")) <= 0.01 * len(lost("clean"))
 
 
 def test_pipeline_stages(spark, docs, byte_bpe):
