@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerwell.functions.numbers import clip
 from offerwell.functions.text import strip_accents
 from offerwell.operators.ordered import attach_one, column_quantiles, exact_quantiles, null_safe_join, number_rows, scan
 from offerwell.operators.windows import days_since_first
+from offerwell.session import cut_lineage
 
 NUMERIC = ["price_initial_mad", "log_price_initial_mad", "rating_filled", "rating_gap_to_5", "rating_missing"]
 TEMPORAL = ["day_of_week", "month", "days_since_earliest"]
@@ -116,23 +121,65 @@ def ngrams(words: Column) -> Column:
     return F.concat(words, pairs)
 
 
+_COUNTED = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())]))
+_WEIGHTED = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())]))
+#: Largest vocabulary that is sent to every task; weights of larger ones come from a join.
+LOCAL_TERMS = 1 << 18
+
+
+def _lists(owner: np.ndarray, rows: int, names: list[str], *columns: pa.Array) -> pa.Array:
+    """Lists of structs from entries in row order."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays(columns, names=names))
+
+
+@F.arrow_udf(_COUNTED)
+def _counted(terms: pa.Array) -> pa.Array:
+    """(term, tf) of every distinct term of a row; none for a null row."""
+    size = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    found = terms.flatten().dictionary_encode()
+    codes = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    width = max(len(found.dictionary), 1)
+    pairs, tf = np.unique(np.repeat(np.arange(len(terms)), size) * width + codes, return_counts=True)
+    row, code = np.divmod(pairs, width)
+    return _lists(row, len(terms), ["term", "tf"], found.dictionary.take(pa.array(code)), pa.array(tf))
+
+
 def tfidf(df: DataFrame, key: str, text: str, max_terms: int, min_df: int = 2) -> DataFrame:
-    """Sparse rows (key, term, weight): smoothed idf plus one, unit length per document.
+    """Sparse rows (key, term, weight): smoothed idf plus one, unit length per document, which is a row of ``df``.
 
-    Terms are counted per document first; the kept vocabulary has at most ``max_terms`` rows and is the only thing
-    that is broadcast.
+    Terms are counted inside their row and written, so that only term counts, summed up in every task, are shuffled. The kept vocabulary has at
+    most ``max_terms`` rows and is broadcast up to ``LOCAL_TERMS``.
     """
-    words = df.select(key, tokens(F.col(text)).alias("_w")).select(key, F.explode(ngrams(F.col("_w"))).alias("term"))
-    counts = words.groupBy(key, "term").agg(F.count("*").alias("tf"))
-    terms = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("_all"))
+    words = df.select(F.col(key).alias("key"), tokens(F.col(text)).alias("w"))  # split once, not for every pair
+    rows = words.select("key", _counted(ngrams(F.col("w"))).alias("t"))
+    rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()), "term-counts")
+    each = rows.select("key", "row", F.explode("t").alias("t")).select("key", "row", "t.term", "t.tf")
+    terms = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("_all"))
     vocabulary = terms.where(F.col("df") >= min_df).orderBy(F.desc("_all"), "term").limit(max_terms)
-    docs = df.agg(F.count("*").alias("_docs"))
-    idf = attach_one(vocabulary, docs).select(
+    idf = attach_one(vocabulary, rows.agg(F.count("*").alias("_docs"))).select(
         "term", (F.log((F.col("_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")
     )
-    weighted = counts.join(F.broadcast(idf), "term").withColumn("_x", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", (F.col("_x") / norm).alias("weight"))
+    if max_terms > LOCAL_TERMS:
+        weighted = each.join(idf, "term").withColumn("_x", F.col("tf") * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy("row")))
+        return weighted.select(F.col("key").alias(key), "term", (F.col("_x") / norm).alias("weight"))
+    known = idf.collect()  # at most LOCAL_TERMS rows
+    shared = df.sparkSession.sparkContext.broadcast(([r["term"] for r in known], [r["idf"] for r in known]))
+
+    @F.arrow_udf(_WEIGHTED)
+    def weigh(counted: pa.Array) -> pa.Array:
+        names, factors = pa.array(shared.value[0], pa.string()), np.array(shared.value[1], np.float64)
+        flat, n = counted.flatten(), len(counted)
+        size = pc.fill_null(pc.list_value_length(counted), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = pc.index_in(flat.field("term"), names)
+        kept = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        row, at = np.repeat(np.arange(n), size)[kept], at.drop_null().to_numpy()
+        x = flat.field("tf").to_numpy()[kept] * factors[at] if len(kept) else np.empty(0)
+        norm = np.sqrt(np.bincount(row, weights=x * x, minlength=n))
+        return _lists(row, n, ["term", "weight"], names.take(pa.array(at)), pa.array(x / norm[row]))
+
+    return rows.select(F.col("key").alias(key), F.explode(weigh("t")).alias("w")).select(key, "w.term", "w.weight")
 
 
 def bucket(key: Sequence[str], buckets: int, seed: int = 42) -> Column:

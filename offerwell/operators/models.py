@@ -68,7 +68,8 @@ class ListingFeaturesModel(SavedStage, Model):
         return {"medians": self.medians}
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return base_features(dataset, self.medians).withColumn(self.out, ngrams(tokens(F.col(self.text))))
+        rows = base_features(dataset, self.medians).withColumn("_words", tokens(F.col(self.text)))  # split once, not for every pair
+        return rows.withColumn(self.out, ngrams(F.col("_words"))).drop("_words")
 
 
 class SmoothIdf(Estimator):
