@@ -17,7 +17,8 @@ from offerwell.session import cut_lineage
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
-    return quality.classify(docs, table(spark, sf_dir, "labels")).where("NOT rejected").select(*docs.columns)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))  # scored from the texts: they are not written once more beside the features
+    return quality.score(docs, model).where("NOT rejected").select(*docs.columns)
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
