@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerwell.session import cut_lineage
+from offerwell.session import cut_lineage, release
 
 #: A term is a run of letters (lower-cased), digits, or of one other mark.
 TERM = r"[\p{L}\p{M}]+|\p{N}+|[^\p{L}\p{M}\p{N}\s]{1,8}"
@@ -197,7 +197,10 @@ def _fit(docs: DataFrame, labels: DataFrame, settings: Settings | None, key: str
     own = {"text_v": train, "page_v": train}
     models = {}
     for turn in range(settings.rounds + 1):
-        models = {v: _logistic(v, settings).fit(own[v]) for v in own}
+        models = {}
+        for view, rows in own.items():
+            release(docs.sparkSession)  # a fit is dozens of jobs
+            models[view] = _logistic(view, settings).fit(rows)
         if turn == settings.rounds:
             break
         cuts = _cuts(free, models, settings)
@@ -208,10 +211,13 @@ def _fit(docs: DataFrame, labels: DataFrame, settings: Settings | None, key: str
     scored = held
     for model in models.values():
         scored = model.transform(scored)
+    release(docs.sparkSession)
     scored = _log_odds(scored, text_m="text_v", page_m="page_v")
     calibrated = Pipeline(stages=[*_logistic_of("text_c", "text_m"), *_logistic_of("page_c", "page_m")]).fit(scored)
     scored = _log_odds(calibrated.transform(scored), text_l="text_c", page_l="page_c")
+    release(docs.sparkSession)
     combined = Pipeline(stages=_logistic_of("both", "text_l", "page_l")).fit(scored)
+    release(docs.sparkSession)
     return Classifier(text_model, page_model, calibrated, combined, None, settings), table
 
 

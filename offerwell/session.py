@@ -51,6 +51,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/offerwell-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Drop what finished jobs left on the driver.
+
+    Broadcasts, shuffles and plans are cleaned up when a collection finds them unused. Long runs of small jobs make much garbage and hold little, so that
+    the driver's heap would grow to its limit without one.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df, name: str):
     """Materialise ``df`` as parquet in the shared folder and read it back, so lost executors lose no work."""
     spark = df.sparkSession
