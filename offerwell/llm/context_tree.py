@@ -13,6 +13,7 @@ chunk asks for its distinct grams and words only, which are joined with the tabl
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from offerwell.session import cut_lineage
 DEPTH = 5
 CHUNK_BYTES = 16 << 20
 GROUP_GRAMS = 1 << 16
-SLICE = 1 << 20
+SLICE = 1 << 18
 HALF = math.log(0.5)
 END = 0xFF  # never a byte of UTF-8
 
@@ -68,9 +69,27 @@ def gammaln(x: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series + shift
 
 
+TABLED = 1 << 14  # counts up to this have their logs of Gamma in a table; nearly all are small
+
+
+@lru_cache(maxsize=2)
+def _table(shift: float) -> np.ndarray:
+    return gammaln(np.arange(TABLED) + shift)
+
+
+def _log_gamma(count: np.ndarray, shift: float) -> np.ndarray:
+    """``gammaln(count + shift)`` of whole counts."""
+    at = count.astype(np.int64)
+    out = _table(shift)[np.minimum(at, TABLED - 1)]
+    large = np.flatnonzero(at >= TABLED)
+    if len(large):
+        out[large] = gammaln(count[large] + shift)
+    return out
+
+
 def kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of a bit sequence with these counts."""
-    return gammaln(zeros + 0.5) + gammaln(ones + 0.5) - gammaln(zeros + ones + 1.0) - math.log(math.pi)
+    return _log_gamma(zeros, 0.5) + _log_gamma(ones, 0.5) - _log_gamma(zeros + ones, 1.0) - math.log(math.pi)
 
 
 def decision(gram: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,8 +150,11 @@ def _count_grams(depth: int):
 
     def merged(parts):
         gram, count = (np.concatenate(x) for x in zip(*parts))
-        gram, at = np.unique(gram, return_inverse=True)
-        return gram, np.bincount(at, count, len(gram)).astype(np.int64)
+        parts.clear()
+        order = np.argsort(gram)
+        gram, count = gram[order], count[order]
+        first = _firsts(gram)
+        return (gram[first], np.add.reduceat(count, first)) if len(gram) else (gram, count)
 
     def rows(gram, count):
         return pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(count)], names=["gram", "n"])
@@ -153,10 +175,16 @@ def _count_grams(depth: int):
                     held, size = [], 0
         if held:
             yield rows(*merged(held))
+        tx.release()
 
     return run
 
 
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Positions of the first of each run of equal values."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+
+
 def _count_words(batches):
     """Distinct words of a partition with their training counts; the empty word is the end of a text."""
     held: dict[bytes, int] = {}
@@ -176,6 +204,7 @@ def _count_words(batches):
         if len(held) > HELD:
             yield rows()
     yield rows()
+    tx.release()
 
 
 def _arrays(table: pa.Table, *names):
@@ -254,9 +283,15 @@ def _asked_words(table: pa.Table) -> pa.Table:
 
 def _asked_grams(depth: int):
     def run(table: pa.Table) -> pa.Table:
-        found = np.empty(0, np.uint64)
+        found, held, size = np.empty(0, np.uint64), [], 0
         for part in _slices(table):
-            found = np.union1d(found, grams(part[1], depth)[0])
+            held.append(np.unique(grams(part[1], depth)[0]))
+            size += len(held[-1])
+            if size > HELD:
+                found, held, size = np.unique(np.concatenate([found, *held])), [], 0
+        found = np.unique(np.concatenate([found, *held]))
+        del held
+        tx.release()
         chunk = pa.array(np.full(len(found), table.column("chunk")[0].as_py(), np.int32))
         return pa.table([chunk, pa.array(found.astype(np.int64))], names=["chunk", "gram"])
 
@@ -274,15 +309,15 @@ def _score(depth: int):
         key, value = answers.column("key").to_numpy(), answers.column("value").to_numpy()
         order = np.argsort(key, kind="stable")
         key, value = key[order], value[order]
+        del order
         split = int(np.searchsorted(key, 0))
         known = value[:split][::-1]  # count of the chunk's word number 0, 1, ...
         key, value = key[split:].astype(np.uint64), value[split:]
-        parts, found, names = list(_slices(docs)), [], {b""}
+        parts, found, names = list(_slices(docs)), [], {b"": b""}
         for _, texts in parts:
             values, bounds = tx.words(texts, tx.LOWER)
             codes, distinct = tx.coded(values)
-            found.append((codes.astype(np.int32), distinct, bounds))
-            names.update(distinct)
+            found.append((codes.astype(np.int32), [names.setdefault(w, w) for w in distinct], bounds))  # each word is held once
         number = {w: i for i, w in enumerate(sorted(names))}
         out = []
         for (part, texts), (codes, distinct, bounds) in zip(parts, found):
@@ -295,12 +330,14 @@ def _score(depth: int):
             gram, text = grams(texts, depth)
             packed = np.sort(gram << np.uint64(16) | text.astype(np.uint64))
             gram = packed >> np.uint64(16)
-            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            first = _firsts(gram)
             each = np.repeat(value[np.searchsorted(key, gram[first])], np.diff(np.concatenate([first, [len(gram)]])))
             total = np.bincount((packed & np.uint64(0xFFFF)).astype(np.int64), each, n)
             columns = [part.column("doc_id"), part.column("train"), pa.array(np.diff(bounds).astype(np.int64) + 1)]
             columns += [pa.array(seen.astype(np.int64)), pa.array(base), pa.array(total), pa.array(np.diff(tx.raw(texts)[1]))]
             out.append(pa.RecordBatch.from_arrays(columns, names=SCORED_NAMES))
+        del key, value, known, found, names, number
+        tx.release()
         return pa.Table.from_batches(out)
 
     return run

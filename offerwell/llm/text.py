@@ -6,6 +6,7 @@ Python worker does not depend on the number of rows in a batch or partition.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import uuid
 
@@ -110,6 +111,14 @@ def slices(batch: pa.RecordBatch, text: int, limit: int | None = None):
         start, done = end, int(size[end - 1])
 
 
+def release() -> None:
+    """Give the memory that a worker has freed back to the system; it would keep it while it waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def attach(df: DataFrame, fn, fields: str, **columns: str) -> DataFrame:
     """``df`` with the columns of ``fields`` (DDL), which ``fn`` computes from bounded slices of rows.
 
