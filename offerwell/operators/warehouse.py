@@ -21,9 +21,9 @@ def build_dim(df: DataFrame, natural_key: Sequence[str], key: str, attrs: dict[s
     """
     aggs = [F.min(c).alias(n) for n, c in (attrs or {}).items()]
     rows = df.groupBy(*natural_key).agg(*aggs) if aggs else df.select(*natural_key).distinct()
-    digest = F.md5(F.concat_ws("|", *natural_key).cast("binary"))
+    digest = F.unhex(F.md5(F.concat_ws("|", *natural_key).cast("binary")))  # the order of the hex digits in half the bytes
     rows = rows.withColumn("_digest", digest)
-    return number_rows(rows, ["_digest", *natural_key], key).drop("_digest")
+    return number_rows(rows, ["_digest", *natural_key], key, drop=["_digest"])
 
 
 def hashed_dim(df: DataFrame, natural_key: Sequence[str], key: str) -> DataFrame:
@@ -74,16 +74,20 @@ def build_hour_dim(df: DataFrame, ts: str) -> DataFrame:
 def snowflake(df: DataFrame) -> dict[str, DataFrame]:
     """Normalised dimensions: category > super category, location > region > country, seller > source,
     product > currency. Needs ``category, location, region, country, seller, source, link, title, currency``.
+
+    The rows are read twice: for the products, and for the distinct combinations of all other keys, which are written once.
     """
     supers = category_map(df.sparkSession).withColumnRenamed("group_label", "super_category")
-    mapped = df.join(F.broadcast(supers), "category", "left").withColumn(
+    small = ("category", "location", "region", "country", "seller", "source", "currency")
+    keys = cut_lineage(df.select(*small).distinct(), "natural-keys")
+    mapped = keys.join(F.broadcast(supers), "category", "left").withColumn(
         "super_category", F.coalesce("super_category", F.lit("Other"))
     )
     out = {
         "super_category": build_dim(mapped, ["super_category"], "super_category_id"),
-        "country": build_dim(df, ["country"], "country_id"),
-        "source": build_dim(df, ["source"], "source_id"),
-        "currency": build_dim(df, ["currency"], "currency_id"),
+        "country": build_dim(keys, ["country"], "country_id"),
+        "source": build_dim(keys, ["source"], "source_id"),
+        "currency": build_dim(keys, ["currency"], "currency_id"),
     }
 
     def child(rows, natural, key, parent, parent_natural, parent_key):
@@ -91,10 +95,10 @@ def snowflake(df: DataFrame) -> dict[str, DataFrame]:
         return star_lookup(dim, {parent: (out[parent], [parent_natural], parent_key)}).drop(parent_natural)
 
     out["category"] = child(mapped, "category", "category_id", "super_category", "super_category", "super_category_id")
-    out["region"] = child(df, "region", "region_id", "country", "country", "country_id")
-    places = star_lookup(df.select("location", "region").distinct(), {"r": (out["region"], ["region"], "region_id")})
+    out["region"] = child(keys, "region", "region_id", "country", "country", "country_id")
+    places = star_lookup(keys.select("location", "region").distinct(), {"r": (out["region"], ["region"], "region_id")})
     out["location"] = build_dim(places, ["location"], "location_id", {"region_id": F.col("region_id")})
-    out["seller"] = child(df, "seller", "seller_id", "source", "source", "source_id")
+    out["seller"] = child(keys, "seller", "seller_id", "source", "source", "source_id")
     products = build_dim(df, ["link"], "product_id", {"title": F.col("title"), "currency": F.col("currency")})
     out["product"] = star_lookup(products, {"c": (out["currency"], ["currency"], "currency_id")}).drop("currency")
     return out
@@ -103,17 +107,19 @@ def snowflake(df: DataFrame) -> dict[str, DataFrame]:
 def star_dims(df: DataFrame) -> dict[str, tuple[DataFrame, list[str], str]]:
     """Flat dimensions of the listing star as (dimension, natural key, surrogate key).
 
-    The natural keys are read from ``df`` once, and every dimension is written once, however often it is looked up.
+    ``df`` is read twice, for the products and for the distinct combinations of the other keys; every dimension is written once,
+    however often it is looked up.
     """
     flat = ("source", "seller", "category", "location")
-    keys = cut_lineage(df.groupBy("link", *flat).agg(F.min("title_clean").alias("title")), "natural-keys")
-    dims = {"product": build_dim(keys, ["link"], "product_id", {"title": F.col("title")})}
+    keys = cut_lineage(df.select(*flat).distinct(), "natural-keys")
+    dims = {"product": build_dim(df, ["link"], "product_id", {"title": F.col("title_clean")})}
     dims |= {n: build_dim(keys, [n], f"{n}_id") for n in flat}
     return {n: (cut_lineage(d, f"dim-{n}"), ["link"] if n == "product" else [n], f"{n}_id") for n, d in dims.items()}
 
 
 def load_fact_listing(df: DataFrame, dims: dict, day: str = "day") -> DataFrame:
-    rows = star_lookup(df, dims)
+    # Products come last: the shuffle by link carries the other keys as numbers.
+    rows = star_lookup(df, dict(sorted(dims.items(), key=lambda d: d[0] == "product")))
     return rows.select(
         *[key for _, _, key in dims.values()],
         date_key(F.col(day)).alias("date_id"),
