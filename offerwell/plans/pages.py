@@ -222,7 +222,7 @@ _CLEAN_SQL = f"""SELECT id, source, title_clean, currency, {_CAPPED}, eur_to_mad
 
 def _written(t, fmt: str) -> str:
     kept = D.apply_quality_rules(t.unified, LISTING_ORDER).withColumn("date", F.col("day"))
-    return A.write_clean(kept, work_dir(t.spark, "clean"), [fmt])[fmt]
+    return A.write_clean(kept, work_dir(t.spark, "clean"), [fmt], compression="gzip" if fmt in ("csv", "json") else None)[fmt]
 
 
 def _shown(df):

@@ -41,11 +41,13 @@ def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_clean(df: DataFrame, path: str, formats=("csv", "json", "parquet")) -> dict[str, str]:
+def write_clean(df: DataFrame, path: str, formats=("csv", "json", "parquet"), compression: str | None = None) -> dict[str, str]:
     """The fixed columns in every format, partitioned by source where the reader can prune; returns the paths.
 
     The rows are evaluated once for all formats. Line breaks inside text become spaces in CSV, so its files can be split.
+    ``compression`` (``gzip``) packs the CSV and JSON files; a packed file is read by one task, and a task of the rows writes one.
     """
+    packed = {"compression": compression} if compression else {}
     rows = df.select(FINAL_COLUMNS)
     if len(formats) > 1:
         rows = cut_lineage(rows, "clean")
@@ -55,9 +57,9 @@ def write_clean(df: DataFrame, path: str, formats=("csv", "json", "parquet")) ->
         out[fmt] = f"{path}/{fmt}"
         writer = rows.write.mode("overwrite")
         if fmt == "csv":
-            rows.select(flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(out[fmt])
+            rows.select(flat).write.mode("overwrite").options(**packed, header=True, escape='"').csv(out[fmt])
         elif fmt == "json":
-            writer.option("ignoreNullFields", False).json(out[fmt])
+            writer.options(**packed, ignoreNullFields=False).json(out[fmt])
         else:
             writer.partitionBy("source").parquet(out[fmt])
     return out

@@ -48,3 +48,15 @@ def test_line_breaks_do_not_break_clean_csv(spark, tmp_path):
     paths = A.write_clean(spark.range(3).select(*cells), str(tmp_path / "out"))
     assert [r["title_clean"] for r in A.read_clean_csv(spark, paths["csv"]).collect()] == ["a b"] * 3
     assert [r["title_clean"] for r in A.read_clean_json(spark, paths["json"]).collect()] == ["a\r\nb"] * 3
+
+
+def test_packed_text_files_read_back_the_same(spark, tmp_path):
+    cells = [F.lit("a é\n" if A.CLEAN_TYPES.get(c, "string") == "string" else None).cast(A.CLEAN_TYPES.get(c, "string")).alias(c) for c in A.FINAL_COLUMNS]
+    rows = spark.range(50).select(*cells)
+    plain = A.write_clean(rows, str(tmp_path / "plain"), ["csv", "json"])
+    packed = A.write_clean(rows, str(tmp_path / "packed"), ["csv", "json"], compression="gzip")
+    for fmt, read in (("csv", A.read_clean_csv), ("json", A.read_clean_json)):
+        assert {p.name.split(".", 1)[1] for p in (tmp_path / "packed" / fmt).glob("part-*")} == {f"{fmt}.gz"}
+        size = [sum(p.stat().st_size for p in (tmp_path / n / fmt).glob("part-*")) for n in ("plain", "packed")]
+        assert size[1] < size[0] / 3
+        assert read(spark, packed[fmt]).collect() == read(spark, plain[fmt]).collect()
