@@ -22,6 +22,10 @@ from offerwell.llm import text as tx
 #: The split pattern of the byte-level vocabularies.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.iinfo(np.int64).max
+#: Most bytes of text that are encoded and decoded at once; the arrays made on the way take some 50 times that.
+SLICE = 1 << 20
+#: Most pieces and units that a worker remembers; an entry takes some 200 bytes.
+PIECES_HELD, UNITS_HELD = 100_000, 300_000
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: First bytes of white space characters outside ASCII, and separators that only some engines count as white space.
@@ -141,8 +145,8 @@ class ByteBpe:
         self.special = {t["content"]: t["id"] for t in tokenizer.get("added_tokens") or []}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.pattern = regex.compile(PIECES)
-        self.pieces = tx.Cache(self.merger.encode, 200_000)
-        self.units = tx.Cache(self._encode_units)
+        self.pieces = tx.Cache(self.merger.encode, PIECES_HELD)
+        self.units = tx.Cache(self._encode_units, UNITS_HELD)
         table = list(self.merger.token)
         table += [b""] * (max([len(table) - 1, *self.special.values()]) + 1 - len(table))
         for name, i in self.special.items():
@@ -245,4 +249,4 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
         ids, bounds = coder.encode(tx.text_array(text))
         return [tx.list_array(pa.array(ids.astype(np.int32)), bounds), coder.decode(ids, bounds)]
 
-    return tx.attach(docs, run, "ids array<int>, decoded string", text=text)
+    return tx.attach(docs, run, "ids array<int>, decoded string", limit=SLICE, text=text)

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerwell.llm import text as tx
 from offerwell.session import cut_lineage
 
 FANOUT = 3
@@ -46,6 +47,7 @@ def _numbered(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches):
+        tx.forget()
         part, name, at = TaskContext.get().partitionId(), None, 0
         for batch in batches:
             names = batch.column(0)
@@ -171,6 +173,7 @@ def manifest(
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def roots(batches):
+        tx.forget()
         out = []
         for (g, b), (_, n, leaves) in _whole(batches):
             top = subtree(leaves, fanout, levels if n[0] > block else None)[-1][0]
@@ -193,6 +196,7 @@ def manifest(
         width *= fanout
 
     def prove(batches):
+        tx.forget()
         out = []
         for _, (tag, at, n, names, keys, leaves, others, subroots, tops, paths) in _whole(batches):
             above = [(p["left"], p["right"]) for p in paths[0]]

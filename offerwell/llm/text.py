@@ -7,6 +7,7 @@ Python worker does not depend on the number of rows in a batch or partition.
 from __future__ import annotations
 
 import ctypes
+import gc
 import json
 import uuid
 
@@ -119,8 +120,8 @@ def release() -> None:
         trim(0)
 
 
-def attach(df: DataFrame, fn, fields: str, **columns: str) -> DataFrame:
-    """``df`` with the columns of ``fields`` (DDL), which ``fn`` computes from bounded slices of rows.
+def attach(df: DataFrame, fn, fields: str, limit: int | None = None, **columns: str) -> DataFrame:
+    """``df`` with the columns of ``fields`` (DDL), which ``fn`` computes from slices of rows with at most ``limit`` bytes of text.
 
     ``fn`` gets the Arrow arrays of ``columns`` (argument name = column of ``df``; ``text`` bounds the slices) and
     returns one array per field. A column of ``df`` with the name of a new field is replaced by it; all others, whatever
@@ -134,7 +135,7 @@ def attach(df: DataFrame, fn, fields: str, **columns: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, at["text"]):
+            for part in slices(batch, at["text"], limit):
                 made = fn(**{k: part.column(i) for k, i in at.items()})
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=labels)
 
@@ -184,10 +185,18 @@ class Shared:
 _MADE: dict[str, object] = {}
 
 
+def forget() -> None:
+    """Drop what an earlier operator left in this worker, with its memory; caches refer back to their owner, so they are collected."""
+    if _MADE:
+        _MADE.clear()
+        gc.collect()
+        release()
+
+
 def made(shared: Shared, make):
     """``make`` of the shared value, once per worker, so that its caches outlive a task."""
     if shared.id not in _MADE:
-        _MADE.clear()
+        forget()
         _MADE[shared.id] = make(shared.broadcast.value)
     return _MADE[shared.id]
 
