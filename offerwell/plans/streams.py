@@ -8,6 +8,7 @@ from offerwell.functions.numbers import half_up
 from offerwell.operators.negotiation import first_bids
 from offerwell.plans.negotiation import _replay_sql, scaled_bids
 from offerwell.plans.registry import query, r2
+from offerwell.session import cut_lineage
 from offerwell.sources.views import AUDIT, OFFER, STORED, _items
 from offerwell.streaming import jobs as S
 
@@ -87,7 +88,8 @@ def _(t):
     )
     rows, parts = arrivals(bids, "negotiate", "seq")
     # Opening prices are known when a negotiation starts; here they are the stored table of the batch twin.
-    opening = first_bids(scaled_bids(t)).select("negotiation", "current", "floor_price")
+    # They are written, as every micro-batch reads them.
+    opening = cut_lineage(first_bids(scaled_bids(t)).select("negotiation", "current", "floor_price"), "opening")
     spark = t.spark
     before = spark.conf.get(S.STATE_PROVIDER)
     spark.conf.set(S.STATE_PROVIDER, S.ROCKSDB)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -262,6 +263,12 @@ def upsert_sink(stream: DataFrame, key: str, order: Sequence[str], name: str, ar
 # --- negotiation state --------------------------------------------------------------------------------------------
 
 
+def _earliest(seq: np.ndarray, bid: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``n`` rows with the smallest ``seq`` in their order; equal ones as they came, missing ones last."""
+    order = np.argsort(seq, kind="stable")[:n]
+    return seq[order], bid[order]
+
+
 class FirstBids(StatefulProcessor):
     """Keeps the first bids of a negotiation (a handful by contract) and emits them after each accepted bid.
 
@@ -274,50 +281,43 @@ class FirstBids(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.bids = handle.getValueState("bids", "bids array<double>, seen bigint")
-        self.over = handle.getValueState("over", "seen bigint")
+        # Every access is a message to the executor's JVM: one state holds all of a key.
+        self.state = handle.getValueState("negotiation", "bids array<double>, seen bigint, over boolean")
 
     def handleInputRows(self, key, rows, timerValues):
         if pd.isna(key[0]):  # the closing row
             return
-        held, seen = self.bids.get() or ([], 0)
-        over = None if held else self.over.get()
-        held, seen = list(held), over[0] if over else seen
-        start, fresh = len(held), not held and not over
+        state = self.state.get()
+        held, seen, over = state or ([], 0, False)
+        held, start = list(held), len(held)
         arrived = []
         for pdf in rows:
             seen = max(seen, int(pdf["ts"].max().value // 1_000_000))
             # Only as many of the earliest rows as there are rounds left can matter.
-            if not over and start < K.MAX_ROUNDS:
-                arrived.append(pdf.nsmallest(K.MAX_ROUNDS - start, "seq"))
-        if fresh:
+            if not over:
+                arrived.append(_earliest(pdf["seq"].to_numpy(), pdf["bid"].to_numpy(), K.MAX_ROUNDS - start))
+        if not state:
             self.handle.registerTimer(seen + self.idle)
         if over:
-            self.over.update((seen,))
+            self.state.update(([], seen, True))
             return
-        new = pd.concat(arrived).nsmallest(K.MAX_ROUNDS - start, "seq")
-        out = []
-        for bid in new["bid"]:
-            held.append(float(bid))
-            padded = held + [None] * (K.MAX_ROUNDS - len(held))
-            out.append((int(key[0]), len(held), *padded))
-        if len(held) == K.MAX_ROUNDS:
-            self.bids.clear()
-            self.over.update((seen,))
-        else:
-            self.bids.update((held, seen))
-        names = ["negotiation", "upto", *[f"h{i}" for i in range(1, K.MAX_ROUNDS + 1)]]
-        yield pd.DataFrame(out, columns=names).astype({n: "float64" for n in names[2:]})
+        seq, bid = arrived[0] if len(arrived) == 1 else _earliest(*(np.concatenate(x) for x in zip(*arrived)), K.MAX_ROUNDS - start)
+        held += bid.astype("float64").tolist()
+        full = len(held) == K.MAX_ROUNDS
+        self.state.update(([], seen, True) if full else (held, seen, False))
+        upto = np.arange(start + 1, len(held) + 1)
+        out = {"negotiation": np.full(len(upto), int(key[0])), "upto": upto}
+        for i in range(K.MAX_ROUNDS):
+            out[f"h{i + 1}"] = np.where(upto > i, held[i] if i < len(held) else np.nan, np.nan)
+        yield pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        state = self.bids.get()
-        seen = state[1] if state else (self.over.get() or (0,))[0]
-        due = seen + self.idle
+        state = self.state.get()
+        due = (state[1] if state else 0) + self.idle
         if due > timerValues.getCurrentWatermarkInMs():  # bids came since the timer was set
             self.handle.registerTimer(due)
         else:
-            self.bids.clear()
-            self.over.clear()
+            self.state.clear()
         return iter(())
 
     def close(self) -> None:

@@ -3,9 +3,14 @@
 import os
 import time
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from offerwell.operators.negotiation import first_bids, replay
+from offerwell.plans import streams
+from offerwell.plans.registry import QUERIES
+from offerwell.sources.views import Tables
 from offerwell.streaming import jobs as S
 
 SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double"
@@ -85,6 +90,70 @@ def test_negotiation_state_survives_batches_and_is_removed(spark, tmp_path):
     assert rows(open_) > 0 and rows(done) == 0
 
 
+class Held:
+    """A state variable that counts what is asked of it."""
+
+    def __init__(self, asked):
+        self.asked, self.value = asked, None
+
+    def get(self):
+        self.asked.append("get")
+        return self.value
+
+    def update(self, value):
+        self.asked.append("update")
+        self.value = value
+
+    def clear(self):
+        self.asked.append("clear")
+        self.value = None
+
+
+class Handle:
+    def __init__(self):
+        self.asked, self.timers = [], []
+
+    def getValueState(self, name, schema):
+        return Held(self.asked)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_a_key_of_a_batch_is_one_read_and_one_write_of_its_state():
+    def batch(*rows):
+        seq, bid = zip(*rows)
+        return pd.DataFrame({"seq": seq, "bid": bid, "ts": pd.to_datetime(["2024-01-01"] * len(rows))})
+
+    handle = Handle()
+    bids = S.FirstBids(1000)
+    bids.init(handle)
+    got = []
+    for pdfs in ([batch((5, 50.0), (2, 20.0)), batch((3, None))], [batch((9, 90.0), (7, 70.0), (8, 80.0), (7, 71.0))], [batch((10, 1.0))]):
+        handle.asked.clear()
+        got += [r for out in bids.handleInputRows((4,), iter(pdfs), None) for r in out.astype(object).where(out.notna(), None).values.tolist()]
+        assert sorted(handle.asked) == ["get", "update"]
+    assert [r[:2] for r in got] == [[4, i] for i in range(1, 6)] and len(handle.timers) == 1
+    assert got[0][2:] == [20.0, None, None, None, None] and got[4][2:] == [20.0, None, 50.0, 70.0, 71.0]
+    handle.asked.clear()
+    clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda self: handle.timers[0]})()
+    assert list(bids.handleExpiredTimer((4,), clock, None)) == [] and handle.asked == ["get", "clear"]
+
+
+def test_opening_prices_are_not_worked_out_by_every_batch(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def negotiate(bids, opening):
+        plan = opening._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "Join" not in plan
+        raise Stop
+
+    monkeypatch.setattr(streams.S, "negotiate", negotiate)
+    with pytest.raises(Stop):
+        QUERIES["stream_negotiate"](Tables(spark, "/root/testdata/sf0.001"))
+
+
 def test_an_idle_negotiation_is_forgotten(spark, tmp_path):
     parts = [[(1, "2024-01-01 10:00:00", 1, "a", 90.0)], [(2, "2024-01-09 10:00:00", 2, "a", 80.0)], [(3, "2024-01-09 11:00:00", 2, "a", 85.0)],
              [(4, "2024-01-10 10:00:00", 1, "a", 91.0)]]
