@@ -159,15 +159,23 @@ def offer_kpis(offers: DataFrame, tx: DataFrame, negotiations: DataFrame) -> Dat
     ``offers`` carries ``status, gap_pct, total_value, is_suspect``; ``tx`` has ``offer_id, done``;
     ``negotiations`` has ``rounds``.
     """
-    deals = tx.select("offer_id", "done")
-    rows = offers.join(deals, "offer_id", "left")
+    # The join shuffles every offer: it carries what the metrics add up and no texts.
+    narrow = offers.select(
+        "offer_id",
+        "created",
+        "gap_pct",
+        (F.col("status") == "VALIDEE").alias("accepted"),
+        "is_suspect",
+        F.when(F.col("status") == "EN_ATTENTE", F.col("total_value")).alias("open_value"),
+    )
+    rows = narrow.join(tx.select("offer_id", "done"), "offer_id", "left")
     one = rows.agg(
         F.count("*").alias("offers"),
-        half_up(F.count_if(F.col("status") == "VALIDEE") / F.count("*"), 4).alias("acceptance_rate"),
+        half_up(F.count_if("accepted") / F.count("*"), 4).alias("acceptance_rate"),
         half_up(F.avg(F.datediff("done", "created")), 4).alias("avg_days_to_deal"),
         half_up(F.avg("gap_pct"), 4).alias("avg_gap_pct"),
         F.count_if("is_suspect").alias("suspended"),
-        half_up(F.sum(F.when(F.col("status") == "EN_ATTENTE", F.col("total_value")))).alias("open_value"),
+        half_up(F.sum("open_value")).alias("open_value"),
         half_up(F.count("done") / F.count("*"), 4).alias("conversion_rate"),
     )
     return attach_one(one, negotiations.agg(half_up(F.avg("rounds"), 4).alias("avg_rounds")))

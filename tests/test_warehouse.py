@@ -1,5 +1,7 @@
 """Dimensions and facts: results, how often the rows are read and what is carried with them."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,30 @@ def test_fact_carries_numbers_to_the_product_lookup(spark, listings, monkeypatch
     names = {n: {r[f"{n}_id"]: r[0] for r in d.collect()} for n, (d, _, _) in dims.items()}
     shown = sorted((names["product"][r[0]], names["source"][r[1]], names["seller"][r[2]], str(names["category"][r[3]]), names["location"][r[4]]) for r in got.collect())
     assert shown == sorted((r["link"], r["source"], r["seller"], str(r["category"]), r["location"]) for r in rows.collect())
+
+
+def test_offer_kpis_join_carries_no_texts(spark, monkeypatch):
+    day = datetime.date(2024, 1, 1)
+    rows = [("a", "VALIDEE", day, 10.0, 5.0, False), ("a", "VALIDEE", day, 10.0, 5.0, False), ("b", "EN_ATTENTE", day, -4.0, 7.5, True),
+            (None, "EN_ATTENTE", day, None, None, None), ("c", None, None, 2.0, 1.0, True)]
+    offers = spark.createDataFrame(rows, "offer_id string, status string, created date, gap_pct double, total_value double, is_suspect boolean")
+    tx = spark.createDataFrame([("a", datetime.date(2024, 1, 5)), ("a", datetime.date(2024, 1, 3)), (None, day)], "offer_id string, done date")
+    plans, attach = [], L.attach_one
+    monkeypatch.setattr(L, "attach_one", lambda df, one: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or attach(df, one))
+    got = L.offer_kpis(offers, tx, spark.createDataFrame([(2,), (5,)], "rounds int")).collect()
+    assert [tuple(r) for r in got] == [(7, 0.5714, 3.0, 6.3333, 2, 7.5, 0.5714, 3.5)]
+    above = plans[0].split("Join")[0]
+    assert "status" not in above and "total_value" not in above
+
+
+def test_offer_kpis_ids_are_sixteen_bytes(spark, monkeypatch):
+    from offerwell.plans import warehouse as plans
+    from offerwell.plans.registry import QUERIES
+    from offerwell.sources.views import Tables
+
+    seen = []
+    monkeypatch.setattr(plans.L, "offer_kpis", lambda offers, tx, rounds: seen.extend([offers, tx]))
+    QUERIES["offer_kpis"](Tables(spark, "/root/testdata/sf0.001"))
+    for rows in seen:
+        assert rows.schema["offer_id"].dataType.typeName() == "binary"
+        assert rows.select(F.max(F.length("offer_id"))).first()[0] == 16
