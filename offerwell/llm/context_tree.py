@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -185,25 +186,37 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in their order; ``np.unique`` would hash them, which takes several times as long as sorting."""
+    values = np.sort(values)
+    return values[_firsts(values)]
+
+
 def _count_words(batches):
     """Distinct words of a partition with their training counts; the empty word is the end of a text."""
-    held: dict[bytes, int] = {}
 
-    def rows():
-        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-        held.clear()
-        return out
+    def merged(parts):
+        table = pa.concat_tables(parts)
+        parts.clear()
+        return table.group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
+    held, size = [], 0
     for texts, train in _parts(batches):
         values, bounds = tx.words(texts, tx.LOWER)
-        codes, distinct = tx.coded(values)
+        found = values.dictionary_encode()
         weight = np.repeat(train.astype(np.float64), np.diff(bounds))
-        for w, n in zip(distinct, np.bincount(codes, weight, len(distinct)).astype(np.int64).tolist()):
-            held[w] = held.get(w, 0) + n
-        held[b""] = held.get(b"", 0) + int(train.sum())
-        if len(held) > HELD:
-            yield rows()
-    yield rows()
+        count = np.bincount(np.asarray(found.indices), weight, len(found.dictionary)).astype(np.int64)
+        for word, n in ((found.dictionary, count), (pa.array([b""], pa.binary()), [int(train.sum())])):
+            held.append(pa.table([word, pa.array(n, pa.int64())], names=["word", "n"]))
+            size += len(word)
+        if size > 2 * HELD:
+            held = [merged(held)]
+            size = held[0].num_rows
+            if size > HELD:
+                yield from held[0].to_batches()
+                held, size = [], 0
+    if held:
+        yield from merged(held).to_batches()
     tx.release()
 
 
@@ -269,27 +282,32 @@ def fit(rows: DataFrame, depth: int):
     return cut_lineage(dealt.applyInArrow(_predict(depth, shared), "gram bigint, value double"), "model"), by_word
 
 
+def _unified(slices: list) -> tuple[list[np.ndarray], pa.Array, np.ndarray]:
+    """(codes of each slice's words, distinct words of all slices, their order) of dictionary-encoded words."""
+    if not slices:
+        return [], pa.array([], pa.binary()), np.empty(0, np.int64)
+    found = pa.chunked_array(slices).unify_dictionaries()
+    distinct = found.chunk(0).dictionary
+    return [np.asarray(c.indices) for c in found.chunks], distinct, pc.array_sort_indices(distinct).to_numpy()
+
+
 def _asked_words(table: pa.Table) -> pa.Table:
     """(chunk, number, word) of the chunk's distinct words in their order, the empty word (a text's end) first."""
-    chunk, names = table.column("chunk")[0], {b""}
-    for part in _slices(table):
-        names.update(tx.coded(tx.words(part[1], tx.LOWER)[0])[1])
-    names = sorted(names)
-    return pa.table(
-        [pa.array([chunk.as_py()] * len(names), pa.int32()), pa.array(np.arange(len(names))), pa.array(names, pa.binary())],
-        names=["chunk", "i", "word"],
-    )
+    chunk = table.column("chunk")[0].as_py()
+    _, distinct, order = _unified([tx.words(texts, tx.LOWER)[0].dictionary_encode() for _, texts in _slices(table)])
+    names = pa.concat_arrays([pa.array([b""], pa.binary()), distinct.take(pa.array(order))])
+    return pa.table([pa.array(np.full(len(names), chunk, np.int32)), pa.array(np.arange(len(names))), names], names=["chunk", "i", "word"])
 
 
 def _asked_grams(depth: int):
     def run(table: pa.Table) -> pa.Table:
         found, held, size = np.empty(0, np.uint64), [], 0
         for part in _slices(table):
-            held.append(np.unique(grams(part[1], depth)[0]))
+            held.append(_distinct(grams(part[1], depth)[0]))
             size += len(held[-1])
             if size > HELD:
-                found, held, size = np.unique(np.concatenate([found, *held])), [], 0
-        found = np.unique(np.concatenate([found, *held]))
+                found, held, size = _distinct(np.concatenate([found, *held])), [], 0
+        found = _distinct(np.concatenate([found, *held]))
         del held
         tx.release()
         chunk = pa.array(np.full(len(found), table.column("chunk")[0].as_py(), np.int32))
@@ -313,20 +331,23 @@ def _score(depth: int):
         split = int(np.searchsorted(key, 0))
         known = value[:split][::-1]  # count of the chunk's word number 0, 1, ...
         key, value = key[split:].astype(np.uint64), value[split:]
-        parts, found, names = list(_slices(docs)), [], {b"": b""}
+        parts, found, starts = list(_slices(docs)), [], []
         for _, texts in parts:
             values, bounds = tx.words(texts, tx.LOWER)
-            codes, distinct = tx.coded(values)
-            found.append((codes.astype(np.int32), [names.setdefault(w, w) for w in distinct], bounds))  # each word is held once
-        number = {w: i for i, w in enumerate(sorted(names))}
+            found.append(values.dictionary_encode())
+            starts.append(bounds)
+        found, distinct, order = _unified(found)
+        last = len(distinct)  # the code of a text's end
+        count = np.empty(last + 1)
+        count[order], count[last] = known[1 : last + 1], known[0] if len(known) else 0.0
+        del distinct, order
+        log, seen_before = np.log10(count + 0.1), (count > 0).astype(np.float64)
         out = []
-        for (part, texts), (codes, distinct, bounds) in zip(parts, found):
+        for (part, texts), codes, bounds in zip(parts, found, starts):
             n = part.num_rows
-            count = known[[number[w] for w in distinct]] if distinct else np.empty(0)
-            count = np.concatenate([count, [known[0]]])  # the end of a text
-            token, text = np.concatenate([codes, np.full(n, len(distinct))]), np.concatenate([np.repeat(np.arange(n), np.diff(bounds)), np.arange(n)])
-            base = np.bincount(text, np.log10(count + 0.1)[token], n)
-            seen = np.bincount(text, (count > 0).astype(np.float64)[token], n)
+            token, text = np.concatenate([codes, np.full(n, last)]), np.concatenate([np.repeat(np.arange(n), np.diff(bounds)), np.arange(n)])
+            base = np.bincount(text, log[token], n)
+            seen = np.bincount(text, seen_before[token], n)
             gram, text = grams(texts, depth)
             packed = np.sort(gram << np.uint64(16) | text.astype(np.uint64))
             gram = packed >> np.uint64(16)
@@ -336,7 +357,7 @@ def _score(depth: int):
             columns = [part.column("doc_id"), part.column("train"), pa.array(np.diff(bounds).astype(np.int64) + 1)]
             columns += [pa.array(seen.astype(np.int64)), pa.array(base), pa.array(total), pa.array(np.diff(tx.raw(texts)[1]))]
             out.append(pa.RecordBatch.from_arrays(columns, names=SCORED_NAMES))
-        del key, value, known, found, names, number
+        del key, value, known, found, starts, count, log, seen_before
         tx.release()
         return pa.Table.from_batches(out)
 

@@ -6,6 +6,7 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from check_queries import compare, duck
 from pyspark.sql import functions as F
@@ -107,6 +108,32 @@ def test_context_tree_of_nothing(docs):
     assert row["train_tokens"] == 0 and row["held_out"] and row["score"] == pytest.approx(-24 * math.log10(2))
 
 
+def test_words_and_grams_of_a_chunk_are_not_python_objects(monkeypatch):
+    texts = [t or "" for t in some_texts()] * 3
+    train = [i % 3 > 0 for i in range(len(texts))]
+    used, known = Counter(), set()
+    for t, use in zip(texts, train):
+        words = lowered(t).split() + [b""]
+        used.update(words if use else [])
+        known.update(words)
+    monkeypatch.setattr(context_tree, "SLICE", 100)
+    monkeypatch.setattr(context_tree, "HELD", 20)  # several merges
+    monkeypatch.setattr(context_tree.tx, "coded", None)  # makes a Python object of every word
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(train)], names=["text", "train"])
+    counted, seen = Counter(), set()
+    for part in context_tree._count_words([batch]):
+        for word, n in zip(*(c.to_pylist() for c in part.columns)):
+            counted[word] += n
+            seen.add(word)
+    assert seen == known and +counted == used
+    table = pa.table({"chunk": pa.array([7] * len(texts), pa.int32()), "text": texts})
+    asked = context_tree._asked_words(table).to_pydict()
+    assert asked == {"chunk": [7] * len(known), "i": list(range(len(known))), "word": sorted(known)}
+    monkeypatch.setattr(context_tree.np, "unique", None)  # hashes, and takes several times as long as sorting
+    grams = context_tree._asked_grams(5)(table).column("gram").to_pylist()
+    assert grams == sorted(set(context_tree.grams(pa.array(texts), 5)[0].tolist()))
+
+
 def test_model_beats_a_uniform_byte(spark):
     rows = context_tree.score_texts(queries.table(spark, FOLDER, "documents"), F.col("doc_id") % 10 != 0)
     held = rows.where("held_out").agg(F.sum(F.col("bits_per_byte") * F.col("n_bytes")) / F.sum("n_bytes")).first()[0]
