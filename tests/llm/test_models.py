@@ -326,3 +326,17 @@ def test_pipeline_stages(spark, docs, byte_bpe):
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert rows and all(r["round_trip"] for r in rows)
+
+
+def test_every_stage_collects_the_driver_first(spark, monkeypatch):
+    class Collected(Exception):
+        pass
+
+    def release(spark):
+        raise Collected
+
+    monkeypatch.setattr(corpus_pipeline, "release", release)
+    rows = queries.table(spark, FOLDER, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        with pytest.raises(Collected):
+            stage(spark, rows, FOLDER)
