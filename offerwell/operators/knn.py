@@ -3,19 +3,31 @@
 Reference vectors are cut into cells around a bounded set of pivots (Lu, Shen, Chen, Ooi: "Efficient processing of k
 nearest neighbor joins using MapReduce", VLDB 2012). A query can only find one of its k nearest vectors in cells whose
 distance bound reaches its k-th upper bound, so it is sent to those cells alone; a hot cell is cut into blocks of bounded
-size. A task holds one block of queries and one block of vectors, computes the distances as one matrix and emits only k rows per
-query; the k best over all blocks are then chosen by rank. The triangle inequality makes the result exact.
+size. A task holds one block of queries and one block of vectors and emits only k rows per query; the k best over all blocks are
+then chosen by rank. Within two blocks one matrix product in single precision bounds all distances; those that its error leaves
+open are computed in double precision. The triangle inequality and the error bound make the result exact.
+
+Vectors that do not cluster need all pairs. Their number grows with the square of the input; a block grows with the input up to
+``BLOCK_CELLS`` numbers, so that a vector is copied to few blocks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1024
+#: Most numbers of a block of vectors, and most distances that a task bounds at once.
+BLOCK_CELLS = 1 << 21
+#: Blocks that all vectors are cut into at least, from ``BLOCK`` vectors a block.
+BLOCKS = 8
 MAX_PIVOTS = 64
+#: Distances are compared as rounded to so many digits.
+DIGITS = 9
 
 
 def _pivots(vectors: DataFrame, key: str, vec: str, n: int):
@@ -48,16 +60,116 @@ def _assign(df: DataFrame, key: str, vec: str, pivots) -> DataFrame:
     )
 
 
+def _block(vectors: int, width: int) -> int:
+    """Vectors of a block: an eighth of all, within ``BLOCK`` and ``BLOCK_CELLS`` numbers."""
+    return max(1, min(max(BLOCK, -(-vectors // BLOCKS)), max(1, BLOCK_CELLS // max(width, 1))))
+
+
+def _finite(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """(ids, matrix) of the rows whose numbers are all finite."""
+    vecs, ids = (table.column(c).combine_chunks() for c in ("vec", "id"))
+    flat = pc.list_flatten(vecs).to_numpy(zero_copy_only=False).astype("float64")
+    points = flat.reshape(len(vecs), -1) if len(vecs) else flat.reshape(0, 0)
+    good = np.isfinite(points).all(axis=1)
+    return ids.filter(pa.array(good)).cast(pa.int64()), points[good]
+
+
+def _same(qid: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For every query the first and the end of the vectors with its key; ``ids`` ascend, nulls last and like no key."""
+    known = ids.drop_null().to_numpy()
+    wanted, null = qid.fill_null(0).to_numpy(), qid.is_null().to_numpy(zero_copy_only=False)
+    first = np.searchsorted(known, wanted)
+    return first, np.where(null, first, np.searchsorted(known, wanted, side="right"))
+
+
+def _up_to(squares: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the numbers that do not exceed their row's limit."""
+    return np.divmod(np.flatnonzero(squares <= limit[:, None]), squares.shape[1])
+
+
+def _open(squares: np.ndarray, k: int, limit_of) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the numbers within ``limit_of`` a bound per row that at least ``k`` of its numbers do not exceed.
+
+    Of long rows only the least of every 32 numbers are looked at first.
+    """
+    stride = squares.shape[1] // 32
+    if stride < 4 * k:
+        return _up_to(squares, limit_of(np.partition(squares, k - 1, axis=1)[:, k - 1]))
+    least = squares[:, : 32 * stride].reshape(len(squares), 32, stride).min(axis=1)
+    limit = limit_of(np.partition(least, k - 1, axis=1)[:, k - 1])
+    row, column = _up_to(least, limit)
+    at = column[:, None] + stride * np.arange(32)
+    near = squares[row[:, None], at] <= limit[row][:, None]
+    row_rest, at_rest = _up_to(squares[:, 32 * stride :], limit)
+    return np.concatenate([np.repeat(row, 32)[near.ravel()], row_rest]), np.concatenate([at[near], at_rest + 32 * stride])
+
+
+def _nearest(asked: np.ndarray, points: np.ndarray, k: int, same=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, distance) of the ``k`` nearest points of every query, of equal distances the first points; ``same`` are left out."""
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    if not len(asked) or not len(points):
+        return found[0]
+    n, width = points.shape
+    middle = points.mean(axis=0)
+    y, x = points - middle, asked - middle
+    yy, xx = (y * y).sum(axis=1), (x * x).sum(axis=1)
+    top = max(yy.max(), xx.max())
+    kind = np.float32 if top < 1e30 else np.float64
+    # |x - y|^2 - |x|^2 = |y|^2 - 2xy as one product; every sum of ``width + 1`` products is off by at most this much.
+    length = np.sqrt(yy.max())
+    off = (width + 16) * float(np.finfo(kind).eps) * length * (2 * np.sqrt(xx) + length) + 1e-30
+    right = np.vstack([y.T, yy]).astype(kind)
+    step = min(len(x), max(1, BLOCK_CELLS // n))
+    held = np.empty((step, n), kind)  # new memory for every step costs more than the product
+
+    def limit_of(bound, xx, off):
+        # The k-th distance is at most ``reach``; distances that round to the same number are as near.
+        reach = np.sqrt(np.maximum(xx + bound + off, 0.0)) * (1 + 1e-12) + 2 * 10.0**-DIGITS
+        return np.nextafter((reach * reach * (1 + 1e-12) - xx * (1 - 1e-12) + off).astype(kind), kind(np.inf))
+
+    for i in range(0, len(x), step):
+        part = x[i : i + step]
+        m = len(part)
+        if n > k and np.isfinite(top):
+            squares = np.matmul(np.hstack([-2 * part, np.ones((m, 1))]).astype(kind), right, out=held[:m])
+            if same is not None:
+                first, size = same[0][i : i + m], (same[1] - same[0])[i : i + m]
+                row = np.repeat(np.arange(m), size)
+                squares[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + first[row]] = np.inf
+            row, at = _open(squares, k, lambda bound, at=slice(i, i + m): limit_of(bound, xx[at], off[at]))
+        else:
+            row, at = np.divmod(np.arange(m * n), n)
+        if same is not None:
+            own = (at >= same[0][i + row]) & (at < same[1][i + row])
+            row, at = row[~own], at[~own]
+        d = np.empty(len(row))
+        for j in range(0, len(row), 1 << 15):
+            diff = asked[i + row[j : j + (1 << 15)]] - points[at[j : j + (1 << 15)]]
+            d[j : j + (1 << 15)] = np.round(np.sqrt((diff * diff).sum(axis=1)), DIGITS)
+        order = np.lexsort((at, d, row))
+        row, at, d = row[order], at[order], d[order]
+        start = np.searchsorted(row, np.arange(m))
+        kept = (np.arange(len(row)) - start[row] < k) & np.isfinite(d)
+        found.append((i + row[kept], at[kept], d[kept]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def knn_join(
     queries: DataFrame, vectors: DataFrame, k: int, key: str = "vec_id", vec: str = "embedding",
-    block: int = BLOCK, exclude_same_key: bool = True,
+    block: int | None = None, exclude_same_key: bool = True,
 ) -> DataFrame:
     """The ``k`` nearest vectors of every query by Euclidean distance, ties by key, with 1/d weights.
 
     Returns (query_id, vec_id, distance, position, weight).
     """
+    count = vectors.count()
+    if block is None:
+        first = vectors.select(F.size(vec).alias("n")).where("n > 0").first()
+        block = _block(count, first["n"] if first else 1)
     # A pivot per half block of vectors, at most MAX_PIVOTS.
-    centre = _pivots(vectors, key, vec, max(1, min(MAX_PIVOTS, vectors.count() * 2 // block)))
+    centre = _pivots(vectors, key, vec, max(1, min(MAX_PIVOTS, count * 2 // block)))
+    # A stored file can be one split: the work on its rows is dealt to all tasks.
+    queries, vectors = queries.select(key, vec).repartition(key), vectors.select(key, vec).repartition(key)
     need = k + 1 if exclude_same_key else k
     assigned = _assign(vectors, key, vec, centre)
     # One row per cell: bounded by the number of pivots.
@@ -94,33 +206,17 @@ def knn_join(
     v = assigned.drop("reach").withColumn("v_block", F.pmod(F.xxhash64("id"), split[F.col("cell")]).cast("int"))
     v = v.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.coalesce(q_split[F.col("cell")], F.lit(0)) - 1)))
 
-    def nearest_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
-        right = right.sort_values("id", ignore_index=True)  # a stable sort by distance then breaks ties by id
-        ids = right["id"].to_numpy()
-        points = np.array(right["vec"].tolist(), dtype="float64")
-        asked = np.array(left["vec"].tolist(), dtype="float64")
-        out = []
-        for i in range(0, len(left), 64):
-            qid = left["id"].to_numpy()[i : i + 64]
-            diff = asked[i : i + 64, None, :] - points[None, :, :]
-            d = np.round(np.sqrt((diff * diff).sum(axis=2)), 9)
-            if exclude_same_key:
-                d[qid[:, None] == ids[None, :]] = np.inf
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            dist = np.take_along_axis(d, best, axis=1)
-            part = pd.DataFrame(
-                {"query_id": np.repeat(qid, best.shape[1]), "vec_id": ids[best].ravel(), "distance": dist.ravel()}
-            )
-            out.append(part[np.isfinite(part["distance"])])
-        return pd.concat(out, ignore_index=True)
+    def nearest_in_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        # A stable sort by distance then breaks ties by id. Vectors with numbers that are missing or not finite have no distance.
+        (qid, asked), (ids, points) = _finite(left), _finite(right.sort_by("id"))
+        row, at, d = _nearest(asked, points, k, _same(qid, ids) if exclude_same_key else None)
+        return pa.table({"query_id": qid.take(row), "vec_id": ids.take(at), "distance": d})
 
     keys = ["cell", "v_block", "q_block"]
     found = (
-        q.groupBy(*keys)
-        .cogroup(v.groupBy(*keys))
-        .applyInPandas(nearest_in_block, "query_id bigint, vec_id bigint, distance double")
+        q.select("id", "vec", *keys).groupBy(*keys)
+        .cogroup(v.select("id", "vec", *keys).groupBy(*keys))
+        .applyInArrow(nearest_in_block, "query_id bigint, vec_id bigint, distance double")
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
     best = found.withColumn("position", rank).where(F.col("position") <= k)

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from offerwell.operators import knn
 from offerwell.operators.knn import knn_join, knn_predict
 
 
@@ -26,3 +27,51 @@ def test_knn_equals_brute_force(spark, block):
         assert [(v, x) for _, v, x in sorted(got[i])] == [(j, d[j]) for j in order]
     predicted = {r["query_id"]: r["prediction"] for r in knn_predict(found, df, "label").collect()}
     assert len(predicted) == len(points) and predicted[3] == 1.0
+
+
+def brute(asked, points, k, skip):
+    out = []
+    for i, x in enumerate(asked):
+        d = np.round(np.sqrt(((x - points) ** 2).sum(axis=1)), 9)
+        out += [(i, j, d[j]) for j in [j for j in np.lexsort((np.arange(len(d)), d)) if np.isfinite(d[j]) and j not in skip(i)][:k]]
+    return out
+
+
+@pytest.mark.parametrize("case", ["plain", "copies", "far", "huge", "tiny", "near_ties", "few"])
+def test_product_bounds_lose_no_neighbour(case, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_CELLS", 5000)  # several steps
+    rng = np.random.default_rng(3)
+    points = rng.normal(0, 1, (900, 6))
+    if case == "copies":
+        points[100:400] = points[0]
+    elif case == "far":
+        points += 1e7
+    elif case == "huge":
+        points *= 1e20
+    elif case == "tiny":
+        points *= 1e-25
+    elif case == "near_ties":  # apart by less than single precision sees, some by less than is compared
+        points = np.repeat(rng.normal(0, 1, (30, 6)), 30, axis=0) + rng.normal(0, 1e-9, (900, 6))
+    elif case == "few":
+        points = points[:4]
+    asked = np.concatenate([points[:150], rng.normal(0, 1, (20, 6))])
+    first = np.minimum(np.arange(len(asked)), len(points))
+    end = np.minimum(first + 2, len(points))  # a key that two vectors have
+    row, at, d = knn._nearest(asked, points, 5, (first, end))
+    want = brute(asked, points, 5, lambda i: range(first[i], end[i]))
+    assert list(zip(row.tolist(), at.tolist(), d.tolist())) == want
+
+
+def test_vectors_are_copied_to_few_blocks():
+    """Every vector goes to every block of queries: their number has a bound, where the old one grew with the input up to the largest blocks."""
+    for n in (10_000, 100_000, 262_000):
+        assert -(-n // knn._block(n, 64)) <= knn.BLOCKS
+    assert knn._block(10**9, 64) * 64 <= knn.BLOCK_CELLS and knn._block(500, 64) == knn.BLOCK and knn._block(10**9, 10**7) == 1
+
+
+def test_odd_keys_and_numbers(spark):
+    rows = [(i, [float(i), 0.0]) for i in range(12)] + [(None, [50.0, 0.0]), (3, [3.5, 0.0]), (20, [float("inf"), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(r["query_id"], r["distance"]) for r in knn_join(df, df, 1).collect()}
+    # A key that two vectors have excludes both; a missing key is like no other; what is not finite is near nothing.
+    assert (3, 0.5) in got and (3, 0.0) not in got and (None, 0.0) in got and 20 not in {q for q, _ in got}
