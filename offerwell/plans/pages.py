@@ -205,10 +205,10 @@ def _(t):
 
 @query("read_raw", _RAW_UNIFIED)
 def _(t):
-    """The same from JSON files on disk; the listings are joined once for all shops."""
+    """The same from JSON files on disk, packed because plain text is most of what the job stores; the listings are joined once for all shops."""
     base, parts = work_dir(t.spark, "raw"), []
     for name, df in raw_records(t.written()).items():
-        df.write.json(f"{base}/{name}")
+        df.write.json(f"{base}/{name}", compression="gzip")
         parts.append(normalise(A.read_raw(t.spark, f"{base}/{name}", multiline=False), name, as_of="2026-04-01"))
     return union_all(parts).withColumn("date", F.col("date").cast("string"))
 

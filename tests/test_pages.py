@@ -87,3 +87,15 @@ def test_accents_fold_as_before(spark):
     from offerwell.functions.text import strip_accents
 
     assert [r[0] for r in rows.select(strip_accents(F.col("t"))).collect()] == ["Ete", "plain A-1", "ea", "", None]
+
+
+def test_read_raw_stores_packed_files(spark, tmp_path, monkeypatch):
+    from offerwell.plans import pages as P
+    from offerwell.plans.catalogue import callables
+
+    monkeypatch.setattr(P, "work_dir", lambda spark, name: str(tmp_path / name))
+    read, parsed = (callables()[q](spark, "/root/testdata/sf0.001") for q in ("read_raw", "normalise"))
+    assert read.exceptAll(parsed).count() == 0 and read.count() == parsed.count()
+    files = [f for f in (tmp_path / "raw").rglob("part-*")]
+    assert {f.parent.name for f in files} == {"amazon", "cdiscount", "avito", "jumia", "steam"}
+    assert all(f.name.endswith(".json.gz") for f in files)
