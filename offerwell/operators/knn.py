@@ -20,12 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerwell.session import cut_lineage
+
 BLOCK = 1024
 #: Most numbers of a block of vectors, and most distances that a task bounds at once.
 BLOCK_CELLS = 1 << 21
 #: Blocks that all vectors are cut into at least, from ``BLOCK`` vectors a block.
 BLOCKS = 8
 MAX_PIVOTS = 64
+#: Hashes of a vector in the approximate join.
+LSH_TABLES = 4
 #: Distances are compared as rounded to so many digits.
 DIGITS = 9
 
@@ -74,6 +78,16 @@ def _finite(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
     return ids.filter(pa.array(good)).cast(pa.int64()), points[good]
 
 
+def _hashed(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(ids, matrix, hashes) of the rows whose numbers are all finite."""
+    ids, vecs, codes = (table.column(c).combine_chunks() for c in ("id", "vec", "codes"))
+    points, codes = (
+        pc.list_flatten(x).to_numpy(zero_copy_only=False).astype("float64").reshape(len(x), -1 if len(x) else 0) for x in (vecs, codes)
+    )
+    good = np.isfinite(points).all(axis=1)
+    return ids.filter(pa.array(good)), points[good], codes[good]
+
+
 def _same(qid: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """For every query the first and the end of the vectors with its key; ``ids`` ascend, nulls last and like no key."""
     known = ids.drop_null().to_numpy()
@@ -236,18 +250,82 @@ def knn_predict(neighbours: DataFrame, labels: DataFrame, label: str, key: str =
     return out.select("query_id", F.coalesce("_same", F.try_divide("_wy", "_w")).alias("prediction"))
 
 
-def knn_join_lsh(queries: DataFrame, vectors: DataFrame, key: str, vec: str, radius: float, bucket: float = 2.0):
-    """Approximate pairs within a radius by random projections; for loads where the exact join costs too much."""
+def _within(asked: np.ndarray, points: np.ndarray, radius: float):
+    """(query, point, distance) of all pairs nearer than ``radius``, part by part; a product in single precision leaves few to compute."""
+    if not len(asked) or not len(points):
+        return
+    n, width = points.shape
+    middle = points.mean(axis=0)
+    y, x = points - middle, asked - middle
+    yy, xx = (y * y).sum(axis=1), (x * x).sum(axis=1)
+    kind = np.float32 if max(yy.max(), xx.max()) < 1e30 else np.float64
+    length = np.sqrt(yy.max())
+    off = (width + 16) * float(np.finfo(kind).eps) * length * (2 * np.sqrt(xx) + length) + 1e-30
+    limit = np.nextafter((radius * radius * (1 + 1e-9) - xx * (1 - 1e-12) + off).astype(kind), kind(np.inf))
+    right = np.vstack([y.T, yy]).astype(kind)
+    step = max(1, BLOCK_CELLS // n)
+    for i in range(0, len(x), step):
+        part = x[i : i + step]
+        squares = np.matmul(np.hstack([-2 * part, np.ones((len(part), 1))]).astype(kind), right)
+        row, at = np.divmod(np.flatnonzero(~(squares > limit[i : i + step, None])), n)
+        for j in range(0, len(row), 1 << 15):
+            r, a = i + row[j : j + (1 << 15)], at[j : j + (1 << 15)]
+            diff = asked[r] - points[a]
+            d = np.sqrt((diff * diff).sum(axis=1))
+            near = d < radius
+            if near.any():
+                yield r[near], a[near], d[near]
+
+
+def knn_join_lsh(
+    queries: DataFrame, vectors: DataFrame, key: str, vec: str, radius: float, bucket: float = 2.0, block: int | None = None
+) -> DataFrame:
+    """Approximate pairs within a radius by random projections; for loads where the exact join costs too much.
+
+    The pairs are those of ``BucketedRandomProjectionLSH.approxSimilarityJoin``: two vectors meet if one of their ``LSH_TABLES`` hashes is equal, and a pair
+    of rows counts once. Buckets are cut into blocks of bounded size on both sides; a task bounds the distances of two blocks with one product and
+    hands on only near pairs, from the first table whose hashes are equal. Vectors with numbers that are not finite are near to none.
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    left = queries.select(F.col(key).alias("query_id"), array_to_vector(vec).alias("features"))
-    right = vectors.select(F.col(key).alias("vec_id"), array_to_vector(vec).alias("features"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=4, seed=42
-    )
-    model = lsh.fit(right)
-    pairs = model.approxSimilarityJoin(left, right, radius, "distance")
-    return pairs.select(
-        F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.vec_id").alias("vec_id"), "distance"
-    ).where("query_id <> vec_id")
+    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=LSH_TABLES, seed=42)
+    model = lsh.fit(vectors.select(array_to_vector(vec).alias("features")))
+    codes = F.array(*[F.get(vector_to_array(F.col("hashes")[k]), F.lit(0)) for k in range(LSH_TABLES)])
+
+    def hashed(rows: DataFrame, name: str) -> DataFrame:
+        # A stored file can be one split: the work on its rows is dealt to all tasks. Equal rows are one.
+        rows = rows.select(F.col(key).alias("id"), F.col(vec).alias("vec")).distinct()
+        rows = model.transform(rows.withColumn("features", array_to_vector("vec")))
+        return cut_lineage(rows.select("id", "vec", codes.alias("codes")), name)
+
+    left, right = hashed(queries, "lsh-queries"), hashed(vectors, "lsh-vectors")
+    if block is None:
+        first = right.select(F.size("vec").alias("n")).where("n > 0").first()
+        block = _block(right.count(), first["n"] if first else 1)
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        sizes = rows.select(F.posexplode("codes").alias("t", "h")).groupBy("t", "h").agg(F.count("*").alias("n"))
+        return sizes.select("t", "h", F.ceil(F.col("n") / block).cast("int").alias(name))
+
+    cells = cut_lineage(blocks(left, "q_n").join(blocks(right, "v_n"), ["t", "h"]), "lsh-buckets")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        each = rows.select("id", "vec", "codes", F.posexplode("codes").alias("t", "h")).join(cells, ["t", "h"])
+        each = each.withColumn(f"{own}_block", F.pmod(F.xxhash64("id"), F.col(f"{own}_n")).cast("int"))
+        return each.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1)))
+
+    def near(left: pa.Table, right: pa.Table):
+        (qid, asked, mine), (ids, points, theirs) = _hashed(left), _hashed(right)
+        earlier = left.column("t")[0].as_py() if left.num_rows else 0
+        out = [(qid[:0], ids[:0], np.empty(0))]
+        for row, at, d in _within(asked, points, radius):
+            new = ~(mine[row, :earlier] == theirs[at, :earlier]).any(axis=1)
+            out.append((qid.take(row[new]), ids.take(at[new]), d[new]))
+        columns = [pa.concat_arrays([o[0] for o in out]), pa.concat_arrays([o[1] for o in out]), np.concatenate([o[2] for o in out])]
+        return pa.table(columns, names=["query_id", "vec_id", "distance"])
+
+    keys, kind = ["t", "h", "q_block", "v_block"], lambda rows: rows.schema["id"].dataType.simpleString()
+    q, v = dealt(left, "q", "v").select("id", "vec", "codes", *keys), dealt(right, "v", "q").select("id", "vec", "codes", *keys)
+    schema = f"query_id {kind(left)}, vec_id {kind(right)}, distance double"
+    return q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInArrow(near, schema).where("query_id <> vec_id")

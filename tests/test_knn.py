@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from offerwell.operators import knn
 from offerwell.operators.knn import knn_join, knn_predict
@@ -75,3 +76,29 @@ def test_odd_keys_and_numbers(spark):
     got = {(r["query_id"], r["distance"]) for r in knn_join(df, df, 1).collect()}
     # A key that two vectors have excludes both; a missing key is like no other; what is not finite is near nothing.
     assert (3, 0.5) in got and (3, 0.0) not in got and (None, 0.0) in got and 20 not in {q for q, _ in got}
+
+
+@pytest.mark.parametrize("block", [None, 16])
+def test_lsh_pairs_are_those_of_sparks_join(spark, block):
+    """Clusters, equal rows, equal keys with different vectors, null keys, and fewer pairs compared than Spark hands on."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 5)) * 4
+    rows = [(int(k), [float(x) for x in centres[k % 6] + rng.normal(size=5) * 0.4]) for k in range(150)]
+    rows += rows[:7] + [(3, [0.5] * 5), (None, [0.5] * 5), (200, [float("nan")] * 5), (201, [float("inf")] + [0.0] * 4), (202, [0.5] * 5)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = knn.knn_join_lsh(df, df, "vec_id", "embedding", 1.0, block=block)
+
+    def featured(name):
+        return df.select(F.col("vec_id").alias(name), array_to_vector("embedding").alias("features"))
+
+    left, right = featured("query_id"), featured("vec_id")
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=4, seed=42).fit(right)
+    pairs = model.approxSimilarityJoin(left, right, 1.0, "distance").select("datasetA.query_id", "datasetB.vec_id", "distance").where("query_id <> vec_id")
+    listed = lambda x: sorted((r[0], r[1], round(r[2], 9)) for r in x.collect())
+    assert listed(found) == listed(pairs) and len(listed(found)) > 1000
+    # All meeting pairs, once per table, were rows of a join before; now only near ones leave a task.
+    plans = [x._jdf.queryExecution().sparkPlan().toString() for x in (found, pairs)]
+    assert ["CoGroupsInArrow" in p for p in plans] == [True, False]
