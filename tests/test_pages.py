@@ -99,3 +99,28 @@ def test_read_raw_stores_packed_files(spark, tmp_path, monkeypatch):
     files = [f for f in (tmp_path / "raw").rglob("part-*")]
     assert {f.parent.name for f in files} == {"amazon", "cdiscount", "avito", "jumia", "steam"}
     assert all(f.name.endswith(".json.gz") for f in files)
+
+
+def test_a_subtree_is_the_run_of_elements_that_follow_it():
+    html = "<div><p>a<p>b<b>c</b><ul><li>1<li>2<i>x</i></ul></div><article><img src='q'><h1>t &amp; u</h1></article></b><s></s>"
+    for text in (html, html.replace(" &amp;", "").replace("'", '"')):
+        root = B._Page(text).root
+
+        def below(node):
+            return [x for c in node.children if isinstance(c, B._Node) for x in (c, *below(c))]
+
+        assert len(root.walk()) > 10 and all(n.walk() == below(n) for n in (root, *root.walk()))
+
+
+def test_heuristic_prices_read_every_text_once(spark):
+    """The old price was a filter that read all texts again for each of them: its plan held their pattern several times."""
+    from offerwell.functions import offers as O
+
+    rows = spark.createDataFrame([(["a", "5 €", None, "5  €", " 7 EUR", "9 €"],), (["5 €", "5 €"],), ([],), (None,)], "nodes array<string>")
+    prices = O.pick_prices(F.col("nodes"))
+    found = rows.select(prices["price_new"], prices["price_old"])
+    assert [tuple(r) for r in found.collect()] == [("5 €", "7 EUR"), ("5 €", ""), (None, ""), (None, "")]
+    old = rows.select(prices["price_old"])._jdf.queryExecution().optimizedPlan().toString()
+    assert old.count("regexp_replace") <= 2  # 4 before
+    rated = rows.select(O.pick_rating(F.array(F.lit("4,5/5"), F.lit(None), F.lit("3 étoiles")), F.lit("")).alias("r")).first()[0]
+    assert rated == "4.5"
